@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from siftlane.functions.idents import class_of_key, item_ident
-from siftlane.llm import keeping_together, linking, quota_sampling, survivors, top_items
+from siftlane.llm import keeping_together, linking, mojibake, quota_sampling, survivors, top_items
 from siftlane.session import Scratch
 from siftlane.sources.tables import canonical_items, table
 
@@ -105,7 +105,19 @@ def p6_group_sizes(spark: SparkSession, d: str) -> DataFrame:
     return _groups(spark, d).groupBy(F.col("root").alias("group_id")).agg(F.count("*").alias("items"))
 
 
-QUERIES = {f.__name__: f for f in (p2_found, p2_splits, p2_shares, p3_found, p3_top, p4_found, p4_same_class, p5_found, p5_sample, p5_report, p6_found, p6_group_sizes)}
+def _garbled(spark: SparkSession, d: str) -> DataFrame:
+    return mojibake.find_garbled(spark, table(spark, d, "documents"))
+
+
+def p9_found(spark: SparkSession, d: str) -> DataFrame:
+    return _garbled(spark, d).select("doc_id")
+
+
+def p9_restored(spark: SparkSession, d: str) -> DataFrame:
+    return _garbled(spark, d)
+
+
+QUERIES = {f.__name__: f for f in (p2_found, p2_splits, p2_shares, p3_found, p3_top, p4_found, p4_same_class, p5_found, p5_sample, p5_report, p6_found, p6_group_sizes, p9_found, p9_restored)}
 
 _IDENT = r"regexp_replace(regexp_extract(lower({0}), '(?:^|[/\\])\s*(?:(?:plastic|paper|cardboard|metal|glass|organic|wilderness)__)?([^/\\]*?)\s*(?:\.(?:jpg|jpeg|png|bmp|webp|txt))?\s*$', 1), '\s+', '', 'g')"
 
