@@ -10,9 +10,10 @@ CLASSES = ("plastic", "paper", "cardboard", "metal", "glass", "organic")
 SPLITS = ("train", "val", "test", "clean_test", "wild_test")
 IMAGE_SUFFIXES = ("jpg", "jpeg", "png", "bmp", "webp")
 
-_FOLDERS = "|".join((*CLASSES, "wilderness"))
-_SUFFIX = r"\.(?:" + "|".join((*IMAGE_SUFFIXES, "txt")) + ")"
-_IDENT = rf"(?:^|[/\\])\s*(?:(?:{_FOLDERS})__)?([^/\\]*?)\s*(?:{_SUFFIX})?\s*$"
+_FOLDER = "^(?:" + "|".join((*CLASSES, "wilderness")) + ")__"
+_SUFFIX = r"\.(?:" + "|".join((*IMAGE_SUFFIXES, "txt")) + ")$"
+#: Blanks that a name may have gained or lost.
+_BLANKS = " \t\n\r\f\u00a0"
 
 
 def unescaped(name: Column) -> Column:
@@ -27,8 +28,9 @@ def item_ident(name: Column) -> Column:
     Case, blanks, path prefix, separators and suffix carry no meaning in a reference to an item,
     so two references name the same item exactly when this value is equal.
     """
-    stem = F.regexp_extract(F.lower(unescaped(name)), _IDENT, 1)
-    return F.nullif(F.regexp_replace(stem, r"\s+", ""), F.lit(""))
+    # translate() turns backslashes into slashes and deletes blanks. Every step refers to the one before once: nothing is evaluated twice.
+    last = F.substring_index(F.translate(F.lower(unescaped(name)), "\\" + _BLANKS, "/"), "/", -1)
+    return F.nullif(F.regexp_replace(F.regexp_replace(last, _SUFFIX, ""), _FOLDER, ""), F.lit(""))
 
 
 def class_of_key(key: Column) -> Column:

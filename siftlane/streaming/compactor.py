@@ -13,7 +13,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -21,30 +21,27 @@ from siftlane.functions.idents import IMAGE_SUFFIXES, item_ident, unescaped
 from siftlane.session import Scratch
 
 #: Suffixes that interrupted and backed-up writes add behind the name proper.
-_LEFTOVER = r"(?i)(?:\.(?:part|partial|bak|tmp|old|orig|crdownload)|~)+\s*$"
+_LEFTOVER = r"(?i)(?:\.(?:part|partial|bak|tmp|old|orig|crdownload))+$"
 #: What file managers and retries add between the stem and the suffix.
-_COPY_MARK = r"(?i)(?:\s*\(\d+\)|\s*-\s*copy(?:\s*\(\d+\))?|_copy\d*|\.copy\d*)+$"
-_KIND = r"(?i)\.([a-z0-9]+)\s*$"
-
-
-def name_columns(path: Column) -> dict[str, Column]:
-    """What a path tells: its kind of record, its own ident, the ident its copy mark hides, and whether it is a leftover."""
-    text = F.trim(unescaped(path))
-    proper = F.regexp_replace(text, _LEFTOVER, "")
-    suffix = F.lower(F.regexp_extract(proper, _KIND, 1))
-    own = item_ident(proper)
-    return {
-        "kind": F.when(suffix == "txt", F.lit("label")).when(suffix.isin(*IMAGE_SUFFIXES), F.lit("image")),
-        "own": own,
-        "leftover": F.length(proper) < F.length(text),
-    }
-
-
-def original_ident(path: Column) -> Column:
-    """The ident left when the copy mark goes; NULL where the name carries none."""
-    stem = F.regexp_replace(F.regexp_replace(F.trim(unescaped(path)), _LEFTOVER, ""), r"\.[A-Za-z0-9]+\s*$", "")
-    bare = F.regexp_replace(stem, _COPY_MARK, "")
-    return F.when(F.length(bare) < F.length(stem), item_ident(bare))
+_COPY_MARK = r"(?i)(?:\s*\(\d+\)|\s*-\s*copy(?:\s*\(\d+\))?|_copy\d*|\.copy\d*)+(?=\.[a-z]+$)"
+
+
+def named_files(files: DataFrame) -> DataFrame:
+    """Files that are images or labels by name, with the ident of their own name and, in ``original``, the ident left when
+    the copy mark of the name goes (NULL where it carries none)."""
+    rows = files.select("file_id", "n_bytes", "modified_at", "body", F.rtrim(unescaped(F.col("path"))).alias("text"))
+    rows = rows.withColumn("proper", F.regexp_replace("text", _LEFTOVER, ""))
+    rows = rows.withColumn("suffix", F.lower(F.substring_index("proper", ".", -1))).where(F.col("suffix").isin("txt", *IMAGE_SUFFIXES))
+    marked = F.contains("proper", F.lit("(")) | F.contains(F.lower("proper"), F.lit("copy"))
+    bare = F.when(marked, F.regexp_replace("proper", _COPY_MARK, ""))
+    rows = rows.select(
+        "file_id", "n_bytes", "modified_at", "body", "proper",
+        F.when(F.col("suffix") == "txt", "label").otherwise("image").alias("kind"),
+        (F.length("proper") < F.length("text")).alias("leftover"),
+        item_ident(F.col("proper")).alias("own"),
+        bare.alias("bare"),
+    ).where("own IS NOT NULL")
+    return rows.withColumn("original", F.when(F.length("bare") < F.length("proper"), item_ident(F.col("bare")))).drop("proper", "bare")
 
 
 def bind_files(files: DataFrame, items: DataFrame) -> DataFrame:
@@ -57,14 +54,10 @@ def bind_files(files: DataFrame, items: DataFrame) -> DataFrame:
     ``scan (7)`` never takes part in the second join, however many of its kind there are.
     NULL paths and names of no item hold no record. A NULL body counts as empty.
     """
-    named = files.select(
-        "file_id", "n_bytes", "modified_at", "body",
-        *[c.alias(n) for n, c in name_columns(F.col("path")).items()],
-        original_ident(F.col("path")).alias("original"),
-    ).where("kind IS NOT NULL AND own IS NOT NULL")
+    named = named_files(files)
     keep = ["key", "kind", "file_id", "n_bytes", "modified_at", "leftover"]
-    first = named.join(items, named.own == items.ident).select(*keep, F.lit(False).alias("renamed"), "body")
-    rest = named.where("original IS NOT NULL").join(items, named.own == items.ident, "left_anti")
+    first = named.join(items, F.col("own") == items.ident).select(*keep, F.lit(False).alias("renamed"), "body")
+    rest = named.where("original IS NOT NULL").join(items, F.col("own") == items.ident, "left_anti")
     second = rest.join(items, rest.original == items.ident).select(*keep, F.lit(True).alias("renamed"), "body")
     return first.unionByName(second)
 
