@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from siftlane.functions.idents import class_of_key, item_ident
-from siftlane.llm import keeping_together, linking, mojibake, quota_sampling, survivors, top_items
+from siftlane.llm import keeping_together, leakage, linking, mixing, mojibake, quota_sampling, survivors, top_items
 from siftlane.session import Scratch
 from siftlane.sources.tables import canonical_items, table
 
@@ -105,6 +105,35 @@ def p6_group_sizes(spark: SparkSession, d: str) -> DataFrame:
     return _groups(spark, d).groupBy(F.col("root").alias("group_id")).agg(F.count("*").alias("items"))
 
 
+def _leaks(spark: SparkSession, d: str) -> DataFrame:
+    return leakage.find_leaks(spark, table(spark, d, "documents"), table(spark, d, "eval_passages"))
+
+
+def p7_found(spark: SparkSession, d: str) -> DataFrame:
+    return _leaks(spark, d).select("doc_id", "passage_id")
+
+
+def p7_leaked_passages(spark: SparkSession, d: str) -> DataFrame:
+    leaks = _leaks(spark, d).groupBy("passage_id").agg(F.count("*").alias("documents"), F.max("share").alias("largest_share"))
+    return table(spark, d, "eval_passages").select("passage_id", "lang", "tier").join(leaks, "passage_id")
+
+
+def _mix(spark: SparkSession, d: str) -> mixing.Mix:
+    return mixing.mix_sources(spark, table(spark, d, "documents"), table(spark, d, "mix_targets"))
+
+
+def p8_found(spark: SparkSession, d: str) -> DataFrame:
+    return _mix(spark, d).shares.where("short").select("mix_id", "source")
+
+
+def p8_shares(spark: SparkSession, d: str) -> DataFrame:
+    return _mix(spark, d).shares
+
+
+def p8_mix(spark: SparkSession, d: str) -> DataFrame:
+    return _mix(spark, d).copies
+
+
 def _garbled(spark: SparkSession, d: str) -> DataFrame:
     return mojibake.find_garbled(spark, table(spark, d, "documents"))
 
@@ -117,7 +146,7 @@ def p9_restored(spark: SparkSession, d: str) -> DataFrame:
     return _garbled(spark, d)
 
 
-QUERIES = {f.__name__: f for f in (p2_found, p2_splits, p2_shares, p3_found, p3_top, p4_found, p4_same_class, p5_found, p5_sample, p5_report, p6_found, p6_group_sizes, p9_found, p9_restored)}
+QUERIES = {f.__name__: f for f in (p2_found, p2_splits, p2_shares, p3_found, p3_top, p4_found, p4_same_class, p5_found, p5_sample, p5_report, p6_found, p6_group_sizes, p7_found, p7_leaked_passages, p8_found, p8_shares, p8_mix, p9_found, p9_restored)}
 
 _IDENT = r"regexp_replace(regexp_extract(lower({0}), '(?:^|[/\\])\s*(?:(?:plastic|paper|cardboard|metal|glass|organic|wilderness)__)?([^/\\]*?)\s*(?:\.(?:jpg|jpeg|png|bmp|webp|txt))?\s*$', 1), '\s+', '', 'g')"
 
