@@ -131,16 +131,17 @@ def membership(docs: DataFrame, domains: list[str], model: tuple[np.ndarray, np.
     return docs.select("doc_id", "domain", "text").mapInArrow(judge, f"doc_id {kind}, domain string, n_tokens long, p array<double>")
 
 
-def _rates(p: np.ndarray, lam: np.ndarray, caps: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """(rates, caps) of posteriors (rows) in mixes (columns)."""
-    most = p @ caps.T
+def _rates(p: np.ndarray, label: np.ndarray, lam: np.ndarray, caps: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(rates, caps) of documents (rows) in mixes (columns). ``label`` is the domain's number, -1 for none: a labelled document has the
+    cap of its source, another the whole part of the expected cap."""
+    most = np.where(label[:, None] >= 0, caps.T[label], np.floor(p @ caps.T + 1e-9))
     return np.clip(p @ lam.T, 0.0, most), most
 
 
 def fit_rates(spark: SparkSession, cells: DataFrame, targets: np.ndarray, caps: np.ndarray, steps: int = STEPS) -> np.ndarray:
-    """lambda (mixes x domains): the rate of a document in a mix is posterior . lambda, projected to [0, posterior . caps].
+    """lambda (mixes x domains): the rate of a document in a mix is posterior . lambda, projected to [0, its cap].
 
-    cells: ``p, tokens``. Each step is one pass; a task gives back one row, of a size set by mixes and domains. The step is scaled by the
+    cells: ``p, label, tokens``. Each step is one pass; a task gives back one row, of a size set by mixes and domains. The step is scaled by the
     curvature over the rates that aren't at a bound, so few passes do; the best step so far is kept.
     """
     mixes, domains = targets.shape
@@ -153,14 +154,14 @@ def fit_rates(spark: SparkSession, cells: DataFrame, targets: np.ndarray, caps:
             got, curve = np.zeros((mixes, domains)), np.zeros((mixes, domains, domains))
             for b in batches:
                 p = np.array(b.column(0).to_pylist(), float).reshape(-1, domains)
-                t = b.column(1).to_numpy(zero_copy_only=False).astype(float)
-                r, most = _rates(p, lam, caps)
+                label, t = b.column(1).to_numpy(zero_copy_only=False), b.column(2).to_numpy(zero_copy_only=False).astype(float)
+                r, most = _rates(p, label, lam, caps)
                 got += (t[:, None] * r).T @ p
                 free = t[:, None] * ((r > 0) & (r < most))
                 curve += np.einsum("im,id,ie->mde", free, p, p)
             yield pa.RecordBatch.from_arrays([pa.array([got.ravel().tolist()], pa.list_(pa.float64())), pa.array([curve.ravel().tolist()], pa.list_(pa.float64()))], names=["got", "curve"])
 
-        sums = cells.select("p", "tokens").mapInArrow(total, "got array<double>, curve array<double>")
+        sums = cells.select("p", "label", "tokens").mapInArrow(total, "got array<double>, curve array<double>")
         parts = sums.select(F.posexplode(F.concat("got", "curve")).alias("k", "x")).groupBy("k").agg(F.sum("x").alias("x")).collect()
         flat = np.zeros(mixes * domains * (1 + domains))
         for r in parts:
@@ -210,14 +211,23 @@ def mix_sources(spark: SparkSession, docs: DataFrame, targets: DataFrame, path:
             at = mixes.index(g["mix_id"]), domains.index(g["source"])
             wanted[at] += g["target_weight"] * g["size_factor"] * everything
             caps[at] = max(caps[at], g["max_repeat"])
-    cells = scratch.keep(mass.groupBy("p").agg(F.sum("n_tokens").alias("tokens"), F.count("*").alias("documents")), "cells")
-    lam = fit_rates(spark, cells, wanted, caps) if everything else np.zeros_like(wanted)
+    label = F.lit(-1)
+    for k, domain in enumerate(domains):
+        label = F.when(F.col("domain") == domain, F.lit(k)).otherwise(label)
+    label = label.alias("label")
+    cells = scratch.keep(mass.groupBy("p", label).agg(F.sum("n_tokens").alias("tokens"), F.count("*").alias("documents")), "cells")
+    # A domain that can't reach its target is asked for what it has; else the others would be drawn into the gap.
+    soft = np.zeros(len(domains))
+    for r in cells.select(F.posexplode("p").alias("k", "x"), "tokens").groupBy("k").agg(F.sum(F.col("x") * F.col("tokens")).alias("x")).collect():
+        soft[r["k"]] = r["x"]
+    reach = np.array([[by_domain.get(d, 0) for d in domains]]) * caps
+    lam = fit_rates(spark, cells, np.minimum(wanted, np.minimum(reach, soft * caps)), caps) if everything else np.zeros_like(wanted)
 
     def draw(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             p = np.array(b.column(1).to_pylist(), float).reshape(-1, len(domains))
             chance = b.column(2).to_numpy(zero_copy_only=False).astype(np.uint64)
-            r, _ = _rates(p, lam, caps)
+            r, _ = _rates(p, b.column(5).to_numpy(zero_copy_only=False), lam, caps)
             for m, mix in enumerate(mixes):
                 # Another uniform number for each mix, from the hash of the document.
                 u = ((chance * np.uint64(2 * m + 1) * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(11)).astype(float) / 2.0**53
@@ -230,7 +240,7 @@ def mix_sources(spark: SparkSession, docs: DataFrame, targets: DataFrame, path:
                 )
 
     kind = docs.schema["doc_id"].dataType.simpleString()
-    drawn = mass.select("doc_id", "p", F.xxhash64(F.lit(seed), "doc_id").alias("chance"), "domain", "n_tokens").mapInArrow(
+    drawn = mass.select("doc_id", "p", F.xxhash64(F.lit(seed), "doc_id").alias("chance"), "domain", "n_tokens", label).mapInArrow(
         draw, f"mix_id int, doc_id {kind}, domain string, n_tokens long, copies long"
     )
     got = drawn.groupBy("mix_id", "domain").agg(F.sum(F.col("n_tokens") * F.col("copies")).alias("tokens"), F.sum("copies").alias("copies"))
