@@ -1,6 +1,6 @@
 """The N best rows of every group, by descending score bands.
 
-The rows are staged once, partitioned by score band. Bands are taken from the top: within a band
+The rows are staged once, range-partitioned by score band. Bands are taken from the top: within a band
 every group keeps its first N rows by the exact order, groups that higher bands have filled are
 anti-joined away, and a group that higher bands have filled in part takes only what it lacks. Equal
 scores share a band, so ties never cross a boundary and the order inside a band settles them.
@@ -65,18 +65,20 @@ def top_n(
         raise ValueError("n must be at least 1")
     scratch = Scratch(spark, "top")
     cols = [group, score, *ties]
-    clean = rows.select(*cols, row_id).where(F.col(group).isNotNull() & F.col(score).isNotNull() & ~F.isnan(score))
-    staged = scratch.keep(clean, "rows")
-    edges = band_edges(staged, score, bands)
+    scored = rows.where(F.col(score).isNotNull() & ~F.isnan(score))
+    edges = band_edges(scored.select(score), score, bands)
+    clean = scored.select(*cols, row_id).where(F.col(group).isNotNull())
+    band_of = F.lit(len(edges) - 1)
+    for b in range(len(edges) - 2, -1, -1):
+        band_of = F.when(F.col(score) >= F.lit(edges[b]), F.lit(b)).otherwise(band_of)
+    staged = scratch.keep(clean.withColumn("band", band_of.cast("int")), "rows", partition_by="band")
     total_hot = _hot_groups(staged, group)
 
     order = [F.col(score).desc(), *[F.col(t).asc_nulls_first() for t in ties]]
     full: DataFrame | None = None  # group, have: what higher bands gave
     results: list[DataFrame] = []
-    upper: float | None = None
-    for b, lower in enumerate(edges):
-        inside = F.col(score) >= F.lit(lower) if upper is None else (F.col(score) >= F.lit(lower)) & (F.col(score) < F.lit(upper))
-        band = staged.where(inside)
+    for b in range(len(edges)):
+        band = staged.where(F.col("band") == b)
         if full is not None:
             done = full.where(F.col("have") >= n)
             hot_done = total_hot.join(done, group, "left_semi")
@@ -97,7 +99,6 @@ def top_n(
             if full is not None:
                 counts = full.unionByName(counts).groupBy(group).agg(F.max("have").alias("have"))
             full = scratch.keep(counts, f"full{b}")
-        upper = lower
     out = results[0]
     for more in results[1:]:
         out = out.unionByName(more)
