@@ -43,14 +43,21 @@ CAP, FLOOR = 300, 250
 # ---------------------------------------------------------------- compaction
 
 
+def _unmarked(times: int) -> str:
+    """The ident of a file's name without its last one or two copy marks."""
+    name = "p"
+    for _ in range(times):
+        name = rf"regexp_replace({name}, '(?i)(\s*\(\d+\)|\s*-\s*copy)(\.[a-z]+)$', '\2')"
+    return views.ident_sql(name)
+
+
 def _log(spark: SparkSession, d: str) -> DataFrame:
     return compactor.stored_record_log(spark, f"{d}/item_files.parquet", canonical_items(table(spark, d, "items")))
 
 
 @query(
-    rf"""WITH {FILES_SQL}, f3 AS (SELECT file_id, CASE WHEN suffix = 'txt' THEN 'label' ELSE 'image' END AS kind, own,
-  {views.ident_sql(r"regexp_replace(p, '(?i)(\s*\(\d+\)|\s*-\s*copy)+(\.[a-z]+)$', '\2')")} AS other FROM f2 WHERE suffix IN ('txt', 'jpg', 'jpeg', 'png', 'bmp', 'webp')),
-r AS (SELECT file_id, kind, coalesce(a.k, b.k) AS k FROM f3 LEFT JOIN it a ON a.id = own LEFT JOIN it b ON b.id = other WHERE coalesce(a.k, b.k) IS NOT NULL)
+    rf"""WITH {FILES_SQL}, f3 AS (SELECT file_id, CASE WHEN suffix = 'txt' THEN 'label' ELSE 'image' END AS kind, own, {_unmarked(1)} AS o1, {_unmarked(2)} AS o2 FROM f2 WHERE suffix IN ('txt', 'jpg', 'jpeg', 'png', 'bmp', 'webp')),
+r AS (SELECT file_id, kind, coalesce(a.k, b.k, c.k) AS k FROM f3 LEFT JOIN it a ON a.id = own LEFT JOIN it b ON b.id = o1 LEFT JOIN it c ON c.id = o2 WHERE coalesce(a.k, b.k, c.k) IS NOT NULL)
 SELECT a.file_id AS file_a, b.file_id AS file_b FROM r a JOIN r b ON a.k = b.k AND a.kind = b.kind AND a.file_id < b.file_id"""
 )
 def p1_found(spark: SparkSession, d: str) -> DataFrame:

@@ -22,26 +22,25 @@ from siftlane.session import Scratch
 
 #: Suffixes that interrupted and backed-up writes add behind the name proper.
 _LEFTOVER = r"(?i)(?:\.(?:part|partial|bak|tmp|old|orig|crdownload))+$"
-#: What file managers and retries add between the stem and the suffix.
-_COPY_MARK = r"(?i)(?:\s*\(\d+\)|\s*-\s*copy(?:\s*\(\d+\))?|_copy\d*|\.copy\d*)+(?=\.[a-z]+$)"
+#: What file managers and retries add between the stem and the suffix; marks may be stacked.
+_COPY_MARK = r"(?i)(?:\s*\(\d+\)|\s*-\s*copy|_copy\d*|\.copy\d*)(?=\.[a-z]+$)"
+MARKS = 3
 
 
 def named_files(files: DataFrame) -> DataFrame:
-    """Files that are images or labels by name, with the ident of their own name and, in ``original``, the ident left when
-    the copy mark of the name goes (NULL where it carries none)."""
+    """Files that are images or labels by name, with the ident of their own name, and ``marked``: the name proper, where it may carry a
+    copy mark."""
     rows = files.select("file_id", "n_bytes", "modified_at", "body", F.rtrim(unescaped(F.col("path"))).alias("text"))
     rows = rows.withColumn("proper", F.regexp_replace("text", _LEFTOVER, ""))
     rows = rows.withColumn("suffix", F.lower(F.substring_index("proper", ".", -1))).where(F.col("suffix").isin("txt", *IMAGE_SUFFIXES))
-    marked = F.contains("proper", F.lit("(")) | F.contains(F.lower("proper"), F.lit("copy"))
-    bare = F.when(marked, F.regexp_replace("proper", _COPY_MARK, ""))
-    rows = rows.select(
-        "file_id", "n_bytes", "modified_at", "body", "proper",
+    may_be = F.contains("proper", F.lit("(")) | F.contains(F.lower("proper"), F.lit("copy"))
+    return rows.select(
+        "file_id", "n_bytes", "modified_at", "body",
         F.when(F.col("suffix") == "txt", "label").otherwise("image").alias("kind"),
         (F.length("proper") < F.length("text")).alias("leftover"),
         item_ident(F.col("proper")).alias("own"),
-        bare.alias("bare"),
-    ).where("own IS NOT NULL")
-    return rows.withColumn("original", F.when(F.length("bare") < F.length("proper"), item_ident(F.col("bare")))).drop("proper", "bare")
+        F.when(may_be, F.col("proper")).alias("marked"),
+    )
 
 
 def bind_files(files: DataFrame, items: DataFrame) -> DataFrame:
@@ -50,15 +49,21 @@ def bind_files(files: DataFrame, items: DataFrame) -> DataFrame:
     files: ``file_id, path, body, n_bytes, modified_at`` (more columns are ignored).
     items: ``ident, key``, one row per ident.
     A file whose own name is an item's belongs to that item. Only a file whose own name is no
-    item's is looked up again without its copy mark (``(1)``, ``- Copy``), so an item named
-    ``scan (7)`` never takes part in the second join, however many of its kind there are.
-    NULL paths and names of no item hold no record. A NULL body counts as empty.
+    item's is looked up again with one copy mark less (``(1)``, ``- Copy``), then two, then three; the
+    longest name that is an item's counts. So an item named ``scan (7)`` never takes part in the second join, however many of its
+    kind there are. NULL paths and names of no item hold no record. A NULL body counts as empty.
     """
     named = named_files(files)
     keep = ["key", "kind", "file_id", "n_bytes", "modified_at", "leftover"]
     first = named.join(items, F.col("own") == items.ident).select(*keep, F.lit(False).alias("renamed"), "body")
-    rest = named.where("original IS NOT NULL").join(items, F.col("own") == items.ident, "left_anti")
-    second = rest.join(items, rest.original == items.ident).select(*keep, F.lit(True).alias("renamed"), "body")
+    rest = named.where("marked IS NOT NULL").join(items, F.col("own") == items.ident, "left_anti")
+    bare, tries = F.col("marked"), []
+    for _ in range(MARKS):
+        bare = F.regexp_replace(bare, _COPY_MARK, "")
+        tries.append(item_ident(bare))
+    tried = rest.select("file_id", F.posexplode(F.array(*tries)).alias("less", "ident"))
+    found = tried.join(items, "ident").groupBy("file_id").agg(F.min_by("key", "less").alias("key"))
+    second = rest.join(found, "file_id").select(*keep, F.lit(True).alias("renamed"), "body")
     return first.unionByName(second)
 
 
