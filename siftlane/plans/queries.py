@@ -13,7 +13,7 @@ from siftlane.functions.idents import plain_name
 from siftlane.operators import autobox, balance, calibrate, consensus, dedup, evaluate, graph, qa, quality, remap, reports, split, sweep
 from siftlane.plans import views
 from siftlane.plans.views import DETS_SQL, EDGES_SQL, FILES_SQL, ITEMS_SQL, LABELS_SQL, reach_sql
-from siftlane.session import Scratch
+from siftlane.session import Scratch, ship_package
 from siftlane.sources.tables import canonical_items, table
 from siftlane.streaming import compactor
 
@@ -325,19 +325,19 @@ def sc3_bad_lines(spark: SparkSession, d: str) -> DataFrame:
     return bx.boxes_table(views.labels(spark, d)).where("NOT ok").select("image", F.col("pos").cast("bigint").alias("pos"))
 
 
-@query(f"WITH {LABELS_SQL} SELECT l.image, round(CASE WHEN bool_and(ok) THEN max(w * h) END, 9) AS largest FROM labels l LEFT JOIN allbox b ON b.image = l.image GROUP BY 1")
+@query(f"WITH {LABELS_SQL} SELECT l.image, round(CASE WHEN bool_and(ok) THEN max(w * h) END, 12) AS largest FROM labels l LEFT JOIN allbox b ON b.image = l.image GROUP BY 1")
 def sc4_largest_box(spark: SparkSession, d: str) -> DataFrame:
-    return views.labels(spark, d).select("image", F.round(quality.largest_box(F.col("label_text")), 9).alias("largest"))
+    return views.labels(spark, d).select("image", F.round(quality.largest_box(F.col("label_text")), 12).alias("largest"))
 
 
 @query(
-    f"""WITH {LABELS_SQL} SELECT image, pos, round(w * h, 9) AS area, round(w / nullif(h, 0), 6) AS aspect, round(cx - w / 2, 9) AS x1, round(cy - h / 2, 9) AS y1, round(cx + w / 2, 9) AS x2, round(cy + h / 2, 9) AS y2,
+    f"""WITH {LABELS_SQL} SELECT image, pos, round(w * h, 12) AS area, round(w / nullif(h, 0), 6) AS aspect, round(cx - w / 2, 9) AS x1, round(cy - h / 2, 9) AS y1, round(cx + w / 2, 9) AS x2, round(cy + h / 2, 9) AS y2,
   (cx - w / 2 <= 0.005)::INT + (cy - h / 2 <= 0.005)::INT + (cx + w / 2 >= 0.995)::INT + (cy + h / 2 >= 0.995)::INT AS edges FROM box"""
 )
 def ge1_geometry(spark: SparkSession, d: str) -> DataFrame:
     c = [F.col(x) for x in ("cx", "cy", "w", "h")]
     corners = [x.alias(n) for n, x in zip(("x1", "y1", "x2", "y2"), [F.round(v, 9) for v in bx.corners(*c)], strict=True)]
-    return _boxes(spark, d).select("image", F.col("pos").cast("bigint").alias("pos"), F.round(bx.area(c[2], c[3]), 9).alias("area"), F.round(bx.aspect(c[2], c[3]), 6).alias("aspect"), *corners, bx.edges_touched(*c).alias("edges"))
+    return _boxes(spark, d).select("image", F.col("pos").cast("bigint").alias("pos"), F.round(bx.area(c[2], c[3]), 12).alias("area"), F.round(bx.aspect(c[2], c[3]), 6).alias("aspect"), *corners, bx.edges_touched(*c).alias("edges"))
 
 
 _Z = """single AS (SELECT * FROM box QUALIFY count(*) OVER (PARTITION BY image) = 1),
@@ -603,6 +603,7 @@ def pf13_boxed_sources(spark: SparkSession, d: str) -> DataFrame:
 
 def _hashed(spark: SparkSession, d: str) -> DataFrame:
     """``key, source, prio, h``: documents by similarity hash; the order of sources is that of their names, none last."""
+    ship_package(spark)
     docs = table(spark, d, "documents").select(F.lpad(F.col("doc_id").cast("string"), 12, "0").alias("key"), F.coalesce(plain_name(F.col("source")), F.lit("~")).alias("source"), similarity_hash(F.col("text")).alias("h"))
     docs = Scratch(spark, "hashes").keep(docs, "docs")
     names = sorted(r["source"] for r in docs.select("source").distinct().limit(10_000).collect())
@@ -864,9 +865,9 @@ def ag15_headline(spark: SparkSession, d: str) -> DataFrame:
     return evaluate.headline(tiers)
 
 
-@query(f"WITH {DETS_SQL}, {_METRICS} SELECT severity, round(avg(precision), 6) AS value FROM mt GROUP BY 1")
+@query(f"WITH {DETS_SQL}, {_METRICS} SELECT severity, round(avg(precision), 8) AS value FROM mt GROUP BY 1")
 def wn10_severity_curve(spark: SparkSession, d: str) -> DataFrame:
-    m = _metrics(spark, d).groupBy("severity").agg(F.round(F.avg("precision"), 6).alias("value"))
+    m = _metrics(spark, d).groupBy("severity").agg(F.round(F.avg("precision"), 8).alias("value"))
     return evaluate.severity_curve(m.where("severity > 0"), m.where("severity = 0"))
 
 

@@ -2,8 +2,11 @@
 
 from __future__ import annotations
 
+import hashlib
 import tempfile
 import uuid
+import zipfile
+from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -36,6 +39,28 @@ def checkpoint_root(spark: SparkSession) -> str:
     return root.rstrip("/")
 
 
+def ship_package(spark: SparkSession) -> None:
+    """Give this package to the Python workers of a session, once; they need not have it on their path."""
+    context = spark.sparkContext
+    if getattr(context, "_siftlane_shipped", False):
+        return
+    context._siftlane_shipped = True
+    package = Path(__file__).resolve().parent
+    if not package.is_dir():  # it runs from the shipped file itself
+        return
+    sources = sorted(package.rglob("*.py"))
+    digest = hashlib.sha256(b"".join(p.read_bytes() for p in sources)).hexdigest()[:16]
+    root = checkpoint_root(spark)
+    folder = Path(root.removeprefix("file://")) if root.startswith(("file:", "/")) else Path(tempfile.mkdtemp(prefix="siftlane-"))
+    folder = Path(str(folder).removeprefix("file:"))
+    folder.mkdir(parents=True, exist_ok=True)
+    target = folder / f"siftlane_{digest}.zip"
+    with zipfile.ZipFile(target, "w") as z:
+        for p in sources:
+            z.write(p, Path(package.name) / p.relative_to(package))
+    context.addPyFile(str(target))
+
+
 class Scratch:
     """Tables written for one run of an operator, in the shared folder.
 
@@ -46,6 +71,7 @@ class Scratch:
 
     def __init__(self, spark: SparkSession, label: str) -> None:
         self.spark = spark
+        ship_package(spark)
         self.root = f"{checkpoint_root(spark)}/siftlane/{label}-{uuid.uuid4().hex[:12]}"
 
     def path(self, name: str) -> str:
