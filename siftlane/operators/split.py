@@ -56,14 +56,15 @@ def train_val(spark: SparkSession, members: DataFrame, groups: DataFrame, fracti
     gifts = placed.select("group_id", F.col("before")).join(foreign, "group_id").groupBy("ps", "pc", "ts", "tc", "before").agg(F.sum("n").alias("n"))
     gifts = scratch.keep(gifts, "gifts")
     givers = {(r["ps"], r["pc"]) for r in gifts.select("ps", "pc").distinct().collect()}
-    start = {s: 0 for s in sizes}
+    start, room = dict.fromkeys(sizes, 0), {}
     for s in sorted(sizes):
-        if s not in givers or targets[s] - start[s] <= 0:
+        room[s] = targets[s] - start[s]  # what later strata give comes too late
+        if s not in givers or room[s] <= 0:
             continue
-        taken = gifts.where((F.col("ps") == s[0]) & (F.col("pc") == s[1]) & (F.col("before") < targets[s] - start[s]))
+        taken = gifts.where((F.col("ps") == s[0]) & (F.col("pc") == s[1]) & (F.col("before") < room[s]))
         for r in taken.groupBy("ts", "tc").agg(F.sum("n").alias("n")).collect():
             start[r["ts"], r["tc"]] += r["n"]
-    limits = spark.createDataFrame([(a, b, targets[a, b] - start[a, b]) for a, b in sizes], "source string, class_name string, room bigint")
+    limits = spark.createDataFrame([(a, b, room[a, b]) for a, b in sizes], "source string, class_name string, room bigint")
     return placed.join(F.broadcast(limits), ["source", "class_name"]).select("group_id", F.when(F.col("before") < F.col("room"), "val").otherwise("train").alias("split"))
 
 
