@@ -3,11 +3,10 @@
 Vertices are hashed into B blocks; an edge lies in the cell of its two blocks. Every cell is one
 edge partition, in which a local union-find links what its edges link and names each vertex's
 smallest local representative. A vertex occurs in the cells of one row and one column of the grid;
-exchanging representatives over these gives it the smallest as parent, and edges between its
-other representatives and this parent keep together what the cells had linked. Only representatives
-remain as vertices, so the graph shrinks each round; the parents are stable when no edge remains.
-Following the parents downwards over the (geometrically smaller) rounds gives each vertex its root,
-which is the smallest vertex of its component.
+exchanging representatives over these gives it the smallest as parent. Parents of parents are then exchanged until they are stable: every
+vertex points to a local minimum. Edges between the minima of a vertex's representatives keep together what the cells had linked. A
+vertex with a smaller neighbour is no minimum, so at most half of the vertices remain each round, and the grid is hashed anew.
+Following the parents over the rounds gives each vertex the smallest vertex of its component.
 """
 
 from __future__ import annotations
@@ -27,9 +26,9 @@ CELL_EDGES = 200_000
 MAX_ROUNDS = 60
 
 
-def grid_cell(a: Column, b: Column, blocks: int) -> Column:
+def grid_cell(a: Column, b: Column, blocks: int, step: int = 0) -> Column:
     """The cell of an edge; the two orders of an edge share one."""
-    block = lambda v: F.pmod(F.xxhash64(v), F.lit(blocks)).cast("int")
+    block = lambda v: F.pmod(F.xxhash64(v, F.lit(step)), F.lit(blocks)).cast("int")
     x, y = block(a), block(b)
     return F.least(x, y) * F.lit(blocks) + F.greatest(x, y)
 
@@ -81,14 +80,22 @@ def grid_components(spark: SparkSession, edges: DataFrame, a: str = "a", b: str
         if not left:
             break
         blocks = max(4, math.ceil(math.sqrt(2 * left / cell_edges)))
-        cells = current.select(grid_cell(F.col("a"), F.col("b"), blocks).alias("cell"), "a", "b")
+        cells = current.select(grid_cell(F.col("a"), F.col("b"), blocks, step).alias("cell"), "a", "b")
         per_cell = cells.groupBy("cell").agg(F.count("*").alias("n")).agg(F.max("n")).first()[0]
         parts = math.ceil(per_cell / cell_edges)
         spread = F.pmod(F.xxhash64("a", "b"), F.lit(parts)).cast("int")
         local = cells.withColumn("part", spread).groupBy("cell", "part").applyInPandas(_link_cells, "v string, r string")
         local = scratch.keep(local.distinct(), f"local{step}")
-        parent = scratch.keep(local.groupBy("v").agg(F.min("r").alias("p")), f"parent{step}")
-        moved = local.join(parent, "v").where("r <> p").select(F.least("r", "p").alias("a"), F.greatest("r", "p").alias("b")).distinct()
+        parent = scratch.keep(local.groupBy("v").agg(F.min("r").alias("p")), f"parent{step}_0")
+        for jump in range(1, MAX_ROUNDS):
+            above = parent.select(F.col("v").alias("p"), F.col("p").alias("pp"))
+            further = parent.join(above, "p").select("v", F.col("pp").alias("p"), (F.col("p") != F.col("pp")).alias("moved"))
+            further = scratch.keep(further, f"parent{step}_{jump}")
+            parent = further.select("v", "p")
+            if not further.where("moved").take(1):
+                break
+        mine, theirs = parent.withColumnRenamed("p", "x"), parent.select(F.col("v").alias("r"), F.col("p").alias("y"))
+        moved = local.where("v <> r").join(mine, "v").join(theirs, "r").where("x <> y").select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).distinct()
         scratch.drop(f"edges{step}")
         current = scratch.keep(moved, f"edges{step + 1}")
         scratch.drop(f"local{step}")
@@ -98,9 +105,8 @@ def grid_components(spark: SparkSession, edges: DataFrame, a: str = "a", b: str
         raise RuntimeError(f"parents are not stable after {MAX_ROUNDS} rounds")
     if not parents:
         return spark.createDataFrame([], "v string, root string")
-    known = parents[-1].select("v", F.col("p").alias("root"))
-    for step in range(len(parents) - 2, -1, -1):
-        below = known.select(F.col("v").alias("p"), "root")
-        known = parents[step].join(below, "p", "left").select("v", F.coalesce("root", "p").alias("root"))
-        known = scratch.keep(known, f"known{step}")
-    return known
+    known = parents[0].select("v", F.col("p").alias("root"))
+    for parent in parents[1:]:
+        later = parent.select(F.col("v").alias("root"), F.col("p").alias("next"))
+        known = known.join(later, "root", "left").select("v", F.coalesce("next", "root").alias("root"))
+    return scratch.keep(known, "known")
