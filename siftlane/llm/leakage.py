@@ -24,6 +24,8 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 
+from siftlane.session import ship_package
+
 #: 1: a position that must agree, 0: one that is ignored.
 MASKS = ((1, 1, 0, 1, 1, 1), (1, 0, 1, 1, 0, 1, 1), (1, 1, 1, 0, 0, 1, 0, 1))
 #: Share of a passage's positions that seed hits must cover before it is aligned; of its words and of its information that must match.
@@ -169,6 +171,7 @@ def find_leaks(spark: SparkSession, docs: DataFrame, passages: DataFrame, doc_id
     ``LEAST_WORDS`` words, leak nothing. Repeated documents are found each; a passage given twice is found under both ids. An empty side
     gives an empty result.
     """
+    ship_package(spark)
     kinds = docs.schema[doc_id].dataType.simpleString(), passages.schema[passage_id].dataType.simpleString()
     schema = f"doc_id {kinds[0]}, passage_id {kinds[1]}, share double"
     id_type = {"bigint": pa.int64(), "int": pa.int32(), "string": pa.string()}

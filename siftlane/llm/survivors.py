@@ -20,6 +20,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from siftlane.functions.idents import class_of_key, has_label, item_ident, source_of_ident
+from siftlane.session import ship_package
 
 #: Cost of leaving a bundle empty; more than any rank.
 EMPTY = 1 << 40
@@ -62,6 +63,7 @@ def best_representative(candidates: DataFrame, bundles: Sequence[str], weights:
     or NULL: unconstrained); ``candidate`` a string that names the source of the bundle. Rows without group or candidate are
     left out. The trust is turned into ranks among the few candidates that survive the aggregation.
     """
+    ship_package(candidates.sparkSession)
     weight = dict(weights or {b: 1.0 for b in bundles})
     names, factors = list(bundles), [weight[b] for b in bundles]
     rows = candidates.where(F.col("group").isNotNull() & F.col("candidate").isNotNull())
