@@ -29,9 +29,9 @@ from siftlane.session import ship_package
 #: 1: a position that must agree, 0: one that is ignored.
 MASKS = ((1, 1, 0, 1, 1, 1), (1, 0, 1, 1, 0, 1, 1), (1, 1, 1, 0, 0, 1, 0, 1))
 #: Share of a passage's positions that seed hits must cover before it is aligned; of its words and of its information that must match.
-COVERED, SHARE = 0.3, 0.5
-#: Shortest matching run that counts, and how far the copy may stretch beyond the passage's length.
-RUN, SLACK = 3, 60
+COVERED, SHARE = 0.4, 0.5
+#: Shortest matching run that counts, and by how many words of other text a copy may be interrupted in all.
+RUN, SLACK = 3, 150
 #: Passages with fewer words are stock phrases or short quotations.
 LEAST_WORDS = 12
 #: Passages of one block.
