@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from siftlane.functions.idents import CLASSES, class_of_key, item_ident, source_of_ident
+from siftlane.functions.idents import CLASSES, class_of_key, item_ident, source_of_ident  # noqa: F401
 from siftlane.operators.quality import latest_record
 from siftlane.session import Scratch
 from siftlane.sources.tables import canonical_items, table
