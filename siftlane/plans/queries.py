@@ -55,19 +55,28 @@ def _log(spark: SparkSession, d: str) -> DataFrame:
     return compactor.stored_record_log(spark, f"{d}/item_files.parquet", canonical_items(table(spark, d, "items")))
 
 
+_STORED = rf"""{FILES_SQL}, f3 AS (SELECT *, CASE WHEN suffix = 'txt' THEN 'label' ELSE 'image' END AS kind, {_unmarked(1)} AS o1, {_unmarked(2)} AS o2 FROM f2 WHERE suffix IN ('txt', 'jpg', 'jpeg', 'png', 'bmp', 'webp')),
+r AS (SELECT file_id, kind, coalesce(a.k, b.k, c.k) AS k, t <> p AS leftover, a.k IS NULL AS renamed, modified_at, body
+  FROM f3 LEFT JOIN it a ON a.id = own LEFT JOIN it b ON b.id = o1 LEFT JOIN it c ON c.id = o2 WHERE coalesce(a.k, b.k, c.k) IS NOT NULL)"""
+
+
 @query(
-    rf"""WITH {FILES_SQL}, f3 AS (SELECT file_id, CASE WHEN suffix = 'txt' THEN 'label' ELSE 'image' END AS kind, own, {_unmarked(1)} AS o1, {_unmarked(2)} AS o2 FROM f2 WHERE suffix IN ('txt', 'jpg', 'jpeg', 'png', 'bmp', 'webp')),
-r AS (SELECT file_id, kind, coalesce(a.k, b.k, c.k) AS k FROM f3 LEFT JOIN it a ON a.id = own LEFT JOIN it b ON b.id = o1 LEFT JOIN it c ON c.id = o2 WHERE coalesce(a.k, b.k, c.k) IS NOT NULL)
-SELECT a.file_id AS file_a, b.file_id AS file_b FROM r a JOIN r b ON a.k = b.k AND a.kind = b.kind AND a.file_id < b.file_id"""
+    f"""WITH {_STORED} SELECT a.file_id AS file_a, b.file_id AS file_b FROM r a JOIN r b ON a.k = b.k AND a.kind = b.kind AND a.file_id < b.file_id"""
 )
 def p1_found(spark: SparkSession, d: str) -> DataFrame:
     return compactor.same_record_pairs(_log(spark, d))
 
 
-@query()
+@query(
+    f"""WITH {_STORED}, best AS (SELECT * FROM r QUALIFY row_number() OVER (PARTITION BY k, kind ORDER BY leftover, renamed, modified_at DESC, octet_length(body) DESC, file_id) = 1), n AS (SELECT k, count(*) AS copies FROM r GROUP BY 1)
+SELECT n.k AS key, i.file_id AS image_file, octet_length(i.body)::INT AS image_bytes, md5(i.body) AS image_md5, l.file_id AS label_file, octet_length(l.body)::INT AS label_bytes, md5(l.body) AS label_md5, copies
+FROM n LEFT JOIN best i ON i.k = n.k AND i.kind = 'image' LEFT JOIN best l ON l.k = n.k AND l.kind = 'label'"""
+)
 def p1_compacted(spark: SparkSession, d: str) -> DataFrame:
+    """The sealed records, with digests in place of the contents."""
     sealed = compactor.seal(_log(spark, d))
-    return sealed.select("key", "image_file", F.length("image").alias("image_bytes"), "label_file", F.length("label").alias("label_bytes"), "copies", "image", "label")
+    about = lambda c: [F.col(f"{c}_file"), F.length(c).alias(f"{c}_bytes"), F.md5(c).alias(f"{c}_md5")]
+    return sealed.select("key", *about("image"), *about("label"), "copies")
 
 
 # ---------------------------------------------------------------- decisions
@@ -225,7 +234,16 @@ def th4_cell_taus(spark: SparkSession, d: str) -> DataFrame:
     return sweep.cell_taus(sweep.grid(spark, TAUS, [2], [0.5]), _anchors(spark, d)).withColumn("tau", F.round("tau", 6))
 
 
-@query()
+_TUNED = _SWEEP.replace("SELECT t AS tau, object, class_id, count(*) FILTER (score >= t) AS q, max(score) AS hi FROM top, (SELECT unnest(" + _list(TAUS) + ")::DOUBLE AS t) WHERE", "SELECT tau_frame AS tau, object, class_id, count(*) FILTER (score >= t.tau) AS q, max(score) AS hi FROM top JOIN taus t USING (class_id) WHERE").replace(
+    "round(tau_frame, 9) AS tau_mean", "round((SELECT avg(tau) FROM taus x WHERE x.tau_frame = fact.tau_frame), 9) AS tau_mean"
+)
+
+
+@query(
+    f"""WITH {DETS_SQL}, {_CURVE}, {_SUSTAIN}, {_ANCHORS}, {_CELL_TAUS}, {_TUNED}, {_FRONT},
+pick AS (SELECT cell_idx FROM (SELECT cell_idx, 0 AS a, rest_rate AS b, wrong_bin_rate AS c FROM front WHERE wrong_bin_rate <= {sweep.WRONG_MOST} UNION ALL SELECT cell_idx, 1, wrong_bin_rate, rest_rate FROM swept) ORDER BY a, b, c, cell_idx LIMIT 1)
+SELECT *, (cell_idx = (SELECT cell_idx FROM pick))::INT AS chosen FROM swept"""
+)
 def th10_tune(spark: SparkSession, d: str) -> DataFrame:
     """The whole tuning: anchors from the curves, per-class thresholds for each cell, the sweep, the choice."""
     cells = sweep.grid(spark, TAUS, VOTE_GRID, WATERS)
@@ -792,7 +810,21 @@ def sp4_trainval(spark: SparkSession, d: str) -> DataFrame:
     return pool.join(done, "group_id").withColumnRenamed("group_id", "key")
 
 
-@query()
+_SEQUENTIAL = f"""tv AS (SELECT * FROM mem WHERE group_id NOT IN (SELECT group_id FROM clean)),
+st AS (SELECT source, class_name, floor(count(*) * {VAL} + 0.5)::BIGINT AS target, row_number() OVER (ORDER BY source, class_name) AS j FROM tv GROUP BY 1, 2),
+gv AS (SELECT group_id, map_from_entries(list((j, n))) AS m FROM (SELECT group_id, j, count(*) AS n FROM tv JOIN st USING (source, class_name) GROUP BY 1, 2) GROUP BY 1),
+gl AS (SELECT group_id, j AS own, m, row_number() OVER (ORDER BY source, class_name, md5('42:split:' || source || ':' || class_name || ':' || group_id), group_id) AS i FROM gv JOIN strat USING (group_id) JOIN st USING (source, class_name)),
+gs AS (SELECT list(own ORDER BY i) AS os, list(m ORDER BY i) AS ms FROM gl), tg AS (SELECT list(target ORDER BY j) AS ts FROM st),
+step(i, counts, val) AS (SELECT 0::BIGINT, list_transform(ts, lambda x: 0::BIGINT), false FROM tg UNION ALL
+  SELECT i + 1, CASE WHEN t THEN list_transform(range(1, len(counts) + 1), lambda k: counts[k] + coalesce(m[k], 0)) ELSE counts END, t FROM (SELECT i, counts, ms[i + 1] AS m, counts[os[i + 1]] < ts[os[i + 1]] AS t FROM step, gs, tg WHERE i < len(os)))"""
+
+
+@query(
+    f"""WITH RECURSIVE {EDGES_SQL}, {_POOL}, {reach_sql('pe')}, {_POOL_GROUPS}, {_SEQUENTIAL}
+SELECT key, class_name, source, CASE WHEN val THEN 'val' ELSE 'train' END AS split, tv.group_id FROM tv JOIN gl ON gl.group_id = tv.group_id JOIN step ON step.i = gl.i
+UNION ALL SELECT key, class_name, source, 'clean_test', group_id FROM mem WHERE group_id IN (SELECT group_id FROM clean)
+UNION ALL SELECT k, class_name, source, CASE WHEN source = '{LEAVE_OUT}' THEN 'test' ELSE 'wild_test' END, NULL FROM it WHERE source IN ('{LEAVE_OUT}', '{WILD[0]}')"""
+)
 def sp5_split(spark: SparkSession, d: str) -> DataFrame:
     return _split(spark, d)
 

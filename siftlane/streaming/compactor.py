@@ -53,7 +53,7 @@ def bind_files(files: DataFrame, items: DataFrame) -> DataFrame:
     longest name that is an item's counts. So an item named ``scan (7)`` never takes part in the second join, however many of its
     kind there are. NULL paths and names of no item hold no record. A NULL body counts as empty.
     """
-    named = named_files(files)
+    named, items = named_files(files), items.select("ident", "key")
     keep = ["key", "kind", "file_id", "n_bytes", "modified_at", "leftover"]
     first = named.join(items, F.col("own") == items.ident).select(*keep, F.lit(False).alias("renamed"), "body")
     rest = named.where("marked IS NOT NULL").join(items, F.col("own") == items.ident, "left_anti")

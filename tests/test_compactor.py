@@ -86,4 +86,5 @@ def test_no_files(spark, items, tmp_path):
 
 def test_extra_columns_with_clashing_names(spark, items, tmp_path):
     df = files(spark, [(1, "a/milltray__scan.jpg", b"1")]).withColumn("key", F.lit("no")).withColumn("kind", F.lit("no")).withColumn("own", F.lit("no"))
+    items = items.withColumn("kind", F.lit("no")).withColumn("body", F.lit("no")).withColumn("less", F.lit("no"))
     assert rows(compactor.bind_files(df, items), "key", "kind") == {("metal/milltray__scan.jpg", "image")}
