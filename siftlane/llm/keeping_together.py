@@ -117,7 +117,7 @@ def current_assignments(results: DataFrame, items: DataFrame) -> DataFrame:
         ).alias("now"),
     ).where("run_id IS NOT NULL AND ident IS NOT NULL AND now.split IS NOT NULL")
     latest = rows.groupBy("run_id", "ident").agg(F.max("now").alias("now"))
-    return latest.join(items, "ident").select(
+    return latest.join(items.select("ident", "key"), "ident").select(
         "run_id", "ident", "key", source_of_ident(F.col("ident")).alias("source"), "now.split", "now.group", "now.leave_out"
     )
 

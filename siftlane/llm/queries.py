@@ -162,12 +162,26 @@ _CURRENT = f"""{_ITEMS}, cur AS (
       arg_max(struct_pack(sp := regexp_replace(trim(lower(split)), '[\\s_\\-]+', '_', 'g'), g := nullif({ident_sql('group_id')}, ''), lo := leave_out_source), assigned_at) AS s
     FROM split_results GROUP BY 1, 2) JOIN it USING (id))"""
 
+_QUOTAS = f"""{_CURRENT}, have AS (SELECT run_id, split_part(k, '/', 1) AS c, count(*) AS n FROM cur WHERE sp = 'train' GROUP BY 1, 2),
+w AS (SELECT manifest_id, c, sum(n) AS n FROM (SELECT manifest_id, lower(trim(e.key)) AS c, e.value AS n FROM (SELECT manifest_id, unnest(map_entries(any_value(class_counts))) AS e FROM remap_manifests GROUP BY manifest_id))
+  WHERE c IN ('plastic', 'paper', 'cardboard', 'metal', 'glass', 'organic') GROUP BY 1, 2),
+t AS (SELECT manifest_id, sum(n) AS total FROM w GROUP BY 1),
+q AS (SELECT plan_id, p.run_id, w.c, greatest(coalesce(min_rows, 0), (sample_size * w.n + total - 1) // total)::BIGINT AS quota, coalesce(h.n, 0)::BIGINT AS available
+  FROM sample_plans p JOIN w USING (manifest_id) JOIN t USING (manifest_id) LEFT JOIN have h ON h.run_id = p.run_id AND h.c = w.c WHERE w.n > 0)"""
+_LINKED = f"""{_ITEMS}, e AS (SELECT DISTINCT a.k AS a, b.k AS b FROM near_edges JOIN it a ON a.id = {ident_sql('key_a')} JOIN it b ON b.id = {ident_sql('key_b')}
+  WHERE distance BETWEEN 3 AND 8 AND a.id <> b.id),
+u AS (SELECT a, b FROM e UNION SELECT b, a FROM e),
+reach(v, w) AS (SELECT a, a FROM u UNION SELECT r.v, u.b FROM reach r JOIN u ON u.a = r.w)"""
+
 SQL = {
     "p2_found": f"""WITH {_CURRENT}, torn AS (SELECT run_id, g FROM cur WHERE g IS NOT NULL GROUP BY 1, 2 HAVING count(DISTINCT sp) > 1)
 SELECT run_id, k AS key FROM cur WHERE (run_id, g) IN (SELECT run_id, g FROM torn) OR (src = lo AND sp <> 'test') OR (sp = 'test' AND src IS DISTINCT FROM lo)""",
     "p3_found": f"""WITH d AS (SELECT {ident_sql('object_id')} AS o, image_id, class_id, score, severity, min(det_id) AS det_id FROM detections
   WHERE object_id IS NOT NULL AND NOT isnan(score) AND score BETWEEN 0 AND 1 GROUP BY ALL)
 SELECT det_id FROM d QUALIFY row_number() OVER (PARTITION BY o ORDER BY score DESC, class_id, image_id, severity) <= 3""",
+    "p3_top": f"""WITH d AS (SELECT {ident_sql('object_id')} AS object, image_id, class_id, score, severity, min(det_id) AS det_id FROM detections
+  WHERE object_id IS NOT NULL AND NOT isnan(score) AND score BETWEEN 0 AND 1 GROUP BY ALL)
+SELECT * FROM (SELECT *, (row_number() OVER (PARTITION BY object ORDER BY score DESC, class_id, image_id, severity))::INT AS rank FROM d) WHERE rank <= 3""",
     "p4_found": f"""WITH {_ITEMS}, p AS (SELECT DISTINCT {ident_sql('duplicate_of')} AS g, {ident_sql('key')} AS m FROM dropped_dups),
 mem AS (SELECT g, m FROM p UNION SELECT g, g FROM p),
 m2 AS (SELECT gi.k AS gk, mi.k AS mk, mi.id AS mid FROM mem JOIN it gi ON gi.id = mem.g JOIN it mi ON mi.id = mem.m),
@@ -177,15 +191,10 @@ l AS (SELECT gk, mk FROM m2 JOIN lab ON lab.id = mid LEFT JOIN source_specs s ON
 r AS (SELECT gk, record_id FROM m2 JOIN (SELECT DISTINCT {ident_sql('image')} AS id, record_id, confidence, boxed_at FROM box_records WHERE confidence > 0 AND confidence <= 1 AND NOT isnan(confidence)) b ON b.id = mid
   QUALIFY row_number() OVER (PARTITION BY gk ORDER BY boxed_at DESC, confidence DESC, record_id) = 1)
 SELECT g.gk AS group_key, coalesce(l.mk, '') AS label_key, coalesce(r.record_id, 0) AS record_id FROM (SELECT DISTINCT gk FROM m2) g LEFT JOIN l USING (gk) LEFT JOIN r USING (gk)""",
-    "p5_found": f"""WITH {_CURRENT}, have AS (SELECT run_id, split_part(k, '/', 1) AS c, count(*) AS n FROM cur WHERE sp = 'train' GROUP BY 1, 2),
-w AS (SELECT manifest_id, c, sum(n) AS n FROM (SELECT manifest_id, lower(trim(e.key)) AS c, e.value AS n FROM (SELECT manifest_id, unnest(map_entries(any_value(class_counts))) AS e FROM remap_manifests GROUP BY manifest_id))
-  WHERE c IN ('plastic', 'paper', 'cardboard', 'metal', 'glass', 'organic') GROUP BY 1, 2),
-t AS (SELECT manifest_id, sum(n) AS total FROM w GROUP BY 1)
-SELECT plan_id, w.c AS class_name FROM sample_plans p JOIN w USING (manifest_id) JOIN t USING (manifest_id) LEFT JOIN have h ON h.run_id = p.run_id AND h.c = w.c
-WHERE w.n > 0 AND coalesce(h.n, 0) < greatest(min_rows, (sample_size * w.n + total - 1) // total)""",
-    "p6_found": f"""WITH RECURSIVE {_ITEMS}, e AS (SELECT DISTINCT a.k AS a, b.k AS b FROM near_edges JOIN it a ON a.id = {ident_sql('key_a')} JOIN it b ON b.id = {ident_sql('key_b')}
-  WHERE distance BETWEEN 3 AND 8 AND a.id <> b.id),
-u AS (SELECT a, b FROM e UNION SELECT b, a FROM e),
-reach(v, w) AS (SELECT a, a FROM u UNION SELECT r.v, u.b FROM reach r JOIN u ON u.a = r.w)
-SELECT v AS key, least(v, min(w)) AS group_id FROM reach GROUP BY v""",
+    "p5_found": f"""WITH {_QUOTAS} SELECT plan_id, c AS class_name FROM q WHERE available < quota""",
+    "p5_report": f"""WITH {_QUOTAS} SELECT plan_id, c AS class_name, quota, available, least(quota, available) AS taken, available < quota AS exhausted FROM q""",
+    "p5_sample": f"""WITH {_QUOTAS}, pool AS (SELECT run_id, split_part(k, '/', 1) AS c, k, row_number() OVER (PARTITION BY run_id, split_part(k, '/', 1) ORDER BY md5('42:' || run_id || ':' || split_part(k, '/', 1) || ':' || k), k) AS place FROM cur WHERE sp = 'train')
+SELECT plan_id, c AS class_name, k AS key FROM q JOIN pool USING (run_id, c) WHERE place <= quota""",
+    "p6_group_sizes": f"""WITH RECURSIVE {_LINKED}, g AS (SELECT v, min(w) AS group_id FROM reach GROUP BY v) SELECT group_id, count(*) AS items FROM g GROUP BY 1""",
+    "p6_found": f"""WITH RECURSIVE {_LINKED} SELECT v AS key, min(w) AS group_id FROM reach GROUP BY v""",
 }

@@ -15,7 +15,8 @@ from siftlane.functions.idents import CLASSES
 
 
 def draw_order(seed: int, *cols: str) -> Column:
-    return F.xxhash64(F.lit(seed), *[F.col(c) for c in cols])
+    """A seeded order that every engine reproduces."""
+    return F.md5(F.concat_ws(":", F.lit(str(seed)), *[F.col(c) for c in cols]))
 
 
 def reservoirs(rows: DataFrame, strata: list[str], row_key: str, sizes: DataFrame, seed: int = 42) -> DataFrame:
@@ -28,7 +29,7 @@ def reservoirs(rows: DataFrame, strata: list[str], row_key: str, sizes: DataFram
     ranked = rows.select(*strata, row_key).withColumn("spot", spot)
     place = F.row_number().over(Window.partitionBy(*strata).orderBy("spot", row_key))
     kept = ranked.withColumn("place", place).where(F.col("place") <= int(most))
-    return kept.join(sizes, strata).where("place <= k").select(*strata, row_key, "place")
+    return kept.join(sizes.select(*strata, "k"), strata).where("place <= k").select(*strata, row_key, "place")
 
 
 def class_weights(manifests: DataFrame) -> DataFrame:
@@ -47,14 +48,16 @@ def class_weights(manifests: DataFrame) -> DataFrame:
 def quotas(plans: DataFrame, weights: DataFrame) -> DataFrame:
     """``plan_id, run_id, class_name, quota``: the larger of the plan's minimum and the class's share, rounded up, in integers."""
     share = F.expr("(CAST(sample_size AS BIGINT) * n + total - 1) div total")
-    return plans.join(weights, "manifest_id").select(
+    plans = plans.select("plan_id", "run_id", "manifest_id", "sample_size", "min_rows")
+    return plans.join(weights.select("manifest_id", "class_name", "n", "total"), "manifest_id").select(
         "plan_id", "run_id", "class_name", "n", "total", "sample_size", F.greatest(F.coalesce("min_rows", F.lit(0)).cast("bigint"), F.coalesce(share, F.lit(0).cast("bigint"))).alias("quota")
     )
 
 
 def quota_report(pool_counts: DataFrame, wanted: DataFrame) -> DataFrame:
     """Each quota with what the pool has: ``available``, ``taken`` and whether the category is ``exhausted``."""
-    both = wanted.join(pool_counts, ["run_id", "class_name"], "left").withColumn("available", F.coalesce("available", F.lit(0).cast("bigint")))
+    counts = pool_counts.select("run_id", "class_name", "available")
+    both = wanted.select("plan_id", "run_id", "class_name", "quota").join(counts, ["run_id", "class_name"], "left").withColumn("available", F.coalesce("available", F.lit(0).cast("bigint")))
     return both.withColumn("taken", F.least("quota", "available")).withColumn("exhausted", F.col("available") < F.col("quota"))
 
 
@@ -65,4 +68,4 @@ def draw(pool: DataFrame, wanted: DataFrame, seed: int = 42) -> DataFrame:
     """
     sizes = wanted.groupBy("run_id", "class_name").agg(F.max("quota").alias("k"))
     kept = reservoirs(pool, ["run_id", "class_name"], "key", sizes, seed)
-    return wanted.join(kept, ["run_id", "class_name"]).where("place <= quota").select("plan_id", "class_name", "key")
+    return wanted.select("plan_id", "run_id", "class_name", "quota").join(kept, ["run_id", "class_name"]).where("place <= quota").select("plan_id", "class_name", "key")

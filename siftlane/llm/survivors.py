@@ -66,7 +66,7 @@ def best_representative(candidates: DataFrame, bundles: Sequence[str], weights:
     ship_package(candidates.sparkSession)
     weight = dict(weights or {b: 1.0 for b in bundles})
     names, factors = list(bundles), [weight[b] for b in bundles]
-    rows = candidates.where(F.col("group").isNotNull() & F.col("candidate").isNotNull())
+    rows = candidates.select("group", "bundle", "trust", "determinants", "candidate").where(F.col("group").isNotNull() & F.col("candidate").isNotNull())
     det = F.to_json(F.map_from_entries(F.array_sort(F.map_entries(F.coalesce("determinants", F.create_map().cast("map<string,string>"))))))
     kept = rows.withColumn("det", det).groupBy("group", "bundle", "det").agg(F.min(F.struct("trust", "candidate")).alias("top"))
     options = kept.groupBy("group", "bundle").agg(F.sort_array(F.collect_list(F.struct("top", "det"))).alias("o"))
@@ -97,6 +97,7 @@ def duplicate_members(dropped: DataFrame, items: DataFrame) -> DataFrame:
     dropped key that is no item is no member; an item dropped for several kept items is a member of each group.
     """
     pairs = dropped.select(item_ident(F.col("duplicate_of")).alias("kept"), item_ident(F.col("key")).alias("gone")).where("kept IS NOT NULL").distinct()
+    items = items.select("ident", "key")
     kept = pairs.select("kept").distinct().join(items, F.col("kept") == F.col("ident")).select("kept", F.col("key").alias("group_key"))
     both = pairs.where("gone IS NOT NULL").unionByName(pairs.select("kept", F.col("kept").alias("gone"))).distinct()
     named = both.join(kept, "kept").join(items, F.col("gone") == F.col("ident"))
@@ -110,7 +111,7 @@ def label_candidates(members: DataFrame, items: DataFrame, specs: DataFrame) ->
     """
     labelled = items.where(has_label(F.col("label"))).select(item_ident(F.col("key")).alias("ident")).distinct()
     ranks = specs.select(F.regexp_replace(F.lower(F.trim("source")), r"[\s_]+", "-").alias("source"), "priority").where("source IS NOT NULL").groupBy("source").agg(F.min("priority").alias("priority"))
-    with_label = members.join(labelled, "ident").withColumn("source", source_of_ident(F.col("ident"))).join(ranks, "source", "left")
+    with_label = members.select("group_key", "key", "ident").join(labelled, "ident").withColumn("source", source_of_ident(F.col("ident"))).join(ranks, "source", "left")
     trust = F.struct(F.coalesce("priority", F.lit(2**31 - 1)).cast("double").alias("first"), F.lit(0.0).alias("second"), F.col("key").alias("third"))
     return with_label.select(F.col("group_key").alias("group"), F.lit("label").alias("bundle"), trust.alias("trust"), F.col("key").alias("candidate"), class_of_key(F.col("key")).alias("class"))
 
@@ -128,7 +129,7 @@ def box_candidates(members: DataFrame, records: DataFrame) -> DataFrame:
         (-F.col("confidence")).alias("second"),
         F.lpad(F.col("record_id").cast("string"), 20, "0").alias("third"),
     )
-    found = members.join(usable, "ident")
+    found = members.select("group_key", "key", "ident").join(usable, "ident")
     return found.select(F.col("group_key").alias("group"), F.lit("box").alias("bundle"), trust.alias("trust"), F.col("record_id").cast("string").alias("candidate"), class_of_key(F.col("key")).alias("class"))
 
 

@@ -122,3 +122,10 @@ def test_new_splits_keep_ties(spark, items):
 def test_empty(spark, items):
     current = kt.current_assignments(results(spark, []), items)
     assert kt.broken_ties(spark, current).count() == 0 and kt.assign_splits(spark, current).count() == 0
+
+
+def test_extra_columns_with_clashing_names(spark, items):
+    spec = [("r", "paper/a__1.jpg", "train", "paper/a__1.jpg", None, 1), ("r", "paper/a__2.jpg", "val", "paper/a__1.jpg", None, 1)]
+    noisy = results(spark, spec).withColumns({c: F.lit("x") for c in ("ident", "now", "source", "group", "v", "root")})
+    more = items.withColumns({c: F.lit("y") for c in ("run_id", "split", "group", "source")})
+    assert rows(kt.broken_ties(spark, kt.current_assignments(noisy, more))) == {("r", "paper/a__1.jpg"), ("r", "paper/a__2.jpg")}

@@ -89,3 +89,11 @@ def test_empty(spark, docs, goals):
     mix = mx.mix_sources(spark, docs.where("false"), goals)
     assert mix.copies.count() == 0 and mix.shares.count() == len(GOALS)
     assert rows(mix.shares, "mix_id", "source", "tokens") == {(m, s, 0) for m, s, *_ in GOALS}
+
+
+def test_extra_columns_with_clashing_names(spark, docs, goals):
+    from pyspark.sql import functions as F
+
+    clash = lambda df, *cols: df.withColumns({c: F.lit("x") for c in cols if c not in df.columns})
+    mix = mx.mix_sources(spark, clash(docs, "domain", "p", "label", "n_tokens", "mix_id", "copies"), clash(goals, "spelled", "domain", "tokens", "short"))
+    assert mix.shares.count() == len(GOALS) and mix.copies.count() > 0

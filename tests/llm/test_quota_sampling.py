@@ -53,3 +53,13 @@ def test_empty(spark, weights, pool):
     wanted = qs.quotas(plan(spark, (1, "r", 1, 10, 0)).where("false"), weights)
     assert qs.draw(pool, wanted).count() == 0
     assert qs.draw(pool.where("false"), qs.quotas(plan(spark, (1, "r", 1, 10, 0)), weights)).count() == 0
+
+
+def test_extra_columns_with_clashing_names(spark, weights, pool):
+    from pyspark.sql import functions as F
+
+    clash = lambda df, *cols: df.withColumns({c: F.lit("x") for c in cols if c not in df.columns})
+    wanted = clash(qs.quotas(clash(plan(spark, (1, "r", 1, 10, 0)), "n", "total", "class_name", "quota"), clash(weights, "plan_id", "sample_size")), "key", "place", "k", "available", "spot")
+    counts = clash(pool.groupBy("run_id", "class_name").count().withColumnRenamed("count", "available"), "quota", "plan_id", "taken")
+    assert rows(qs.quota_report(counts, wanted), "class_name", "taken") == {("paper", 8), ("metal", 2)}
+    assert qs.draw(clash(pool, "quota", "plan_id", "k", "place", "spot"), wanted).count() == 10

@@ -93,3 +93,12 @@ def test_empty(spark, tables):
     idents, items, specs, drops = tables
     none = sv.duplicate_members(drops.where("false"), idents)
     assert sv.representatives(none, items, specs, records(spark, [])).count() == 0
+
+
+def test_extra_columns_with_clashing_names(spark, tables):
+    idents, items, specs, drops = tables
+    clash = lambda df, *cols: df.withColumns({c: F.lit("x") for c in cols if c not in df.columns})
+    members = clash(sv.duplicate_members(clash(drops, "ident", "kept", "gone", "group_key"), clash(idents, "kept", "group_key", "gone")), "source", "priority", "record_id", "label")
+    recs = clash(records(spark, [(6, "b__1.jpg", 0.6, 9)]), "ident", "group_key", "key", "source")
+    got = rows(sv.representatives(members, clash(items, "ident", "source", "group_key"), clash(specs, "ident", "key"), recs))
+    assert got == {("paper/a__1.jpg", "metal/b__2.jpg", 6), ("metal/b__2.jpg", "metal/b__2.jpg", 0), ("glass/d__1.jpg", "", 0)}
