@@ -6,16 +6,16 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from siftlane.functions.hashing import rank_hash
+from siftlane.functions.ranking import place
 
 
 def hash_sample(items: DataFrame, strata: list[str], n: str, purpose: str, seed: int = 42) -> DataFrame:
     """At most ``n`` (a column, the same within a stratum) items of each stratum, without replacement, in the seeded order of their keys.
 
-    The rank is limited before the shuffle where ``n`` is small; ties of the hash are broken by key.
+    Ties of the hash are broken by key. A stratum of any size is ranked over many tasks.
     """
     label = F.concat_ws(":", F.lit(purpose), *[F.col(c) for c in strata])
-    place = F.row_number().over(Window.partitionBy(*strata).orderBy(rank_hash(seed, label, F.col("key")), "key"))
-    return items.withColumn("place", place).where(F.col("place") <= F.col(n)).drop("place")
+    return place(items, strata, rank_hash(seed, label, F.col("key")), "key", "_place").where(F.col("_place") <= F.col(n)).drop("_place")
 
 
 def allocate(pools: DataFrame, cap: int) -> DataFrame:

@@ -4,10 +4,11 @@ from __future__ import annotations
 
 import math
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from siftlane.functions.hashing import rank_hash
+from siftlane.functions.ranking import place, running_sum
 from siftlane.operators.checks import DataError
 from siftlane.operators.graph import group_ids, primary_stratum
 from siftlane.session import Scratch
@@ -22,8 +23,7 @@ def route_sources(items: DataFrame, leave_out: str | None, wild: list[str] | Non
 def _places(groups: DataFrame, purpose: str, seed: int) -> DataFrame:
     """Groups (``group_id, source, class_name``) with their ``place`` in the seeded order of their stratum."""
     label = F.concat_ws(":", F.lit(purpose), "source", "class_name")
-    w = Window.partitionBy("source", "class_name").orderBy(rank_hash(seed, label, F.col("group_id")), "group_id")
-    return groups.withColumn("place", F.row_number().over(w))
+    return place(groups, ["source", "class_name"], rank_hash(seed, label, F.col("group_id")), "group_id")
 
 
 def clean_holdout(groups: DataFrame, sources: list[str], fraction: float, seed: int = 42) -> DataFrame:
@@ -39,7 +39,7 @@ def train_val(spark: SparkSession, members: DataFrame, groups: DataFrame, fracti
     members: ``group_id, source, class_name`` per item; groups: the primary stratum of each group. In the seeded order of a stratum groups are
     taken for val while the stratum's count is below its target. A group that also has members of other strata adds these to
     *their* counts, and strata go in sorted order, so a later stratum starts with what earlier ones have given it. Per
-    stratum that is a running sum over its groups, shifted by this start: one window over all strata, then one small sum per stratum
+    stratum that is a running sum over its groups, shifted by this start: one pass for all strata, then one small sum per stratum
     that gives anything away.
     """
     scratch = Scratch(spark, "trainval")
@@ -47,8 +47,8 @@ def train_val(spark: SparkSession, members: DataFrame, groups: DataFrame, fracti
     parts = scratch.keep(parts.join(groups.select("group_id", F.col("source").alias("ps"), F.col("class_name").alias("pc")), "group_id"), "parts")
     own = parts.where("source = ps AND class_name = pc").select("group_id", "source", "class_name", F.col("n").alias("own"))
     label = F.concat_ws(":", F.lit("split"), "source", "class_name")
-    w = Window.partitionBy("source", "class_name").orderBy(rank_hash(seed, label, F.col("group_id")), "group_id").rowsBetween(Window.unboundedPreceding, -1)
-    placed = scratch.keep(own.withColumn("before", F.coalesce(F.sum("own").over(w), F.lit(0))), "placed")
+    placed = running_sum(own, ["source", "class_name"], rank_hash(seed, label, F.col("group_id")), "group_id", F.col("own"), "before")
+    placed = scratch.keep(placed, "placed")
     sizes = {(r["source"], r["class_name"]): r["n"] for r in members.groupBy("source", "class_name").agg(F.count("*").alias("n")).collect()}
     targets = {s: math.floor(n * fraction + 0.5) for s, n in sizes.items()}
     # Only groups of several strata couple strata.

@@ -392,3 +392,17 @@ def test_manifest_counts(spark):
 def test_report_tables():
     assert reports.latex_escape(r"a_b & 5% \x") == r"a\_b \& 5\% \textbackslash{}x"
     assert r"a\_b & 1 \\" in reports.latex_table([("a_b", 1)], ["n", "k"], "lr")
+
+
+def test_spread_ranks_equal_a_window(spark):
+    from pyspark.sql import Window
+
+    from siftlane.functions.ranking import place, running_sum
+
+    df = spark.range(3000).select((F.col("id") % 3 % 2).alias("g"), F.col("id").cast("string").alias("key"), (F.col("id") % 7).alias("n"))
+    digest = F.md5("key")
+    got = rows(place(df, ["g"], digest, "key"), "g", "key", "place")
+    assert got == rows(df.withColumn("place", F.row_number().over(Window.partitionBy("g").orderBy(digest))), "g", "key", "place")
+    before = Window.partitionBy("g").orderBy(digest).rowsBetween(Window.unboundedPreceding, -1)
+    assert rows(running_sum(df, ["g"], digest, "key", F.col("n"), "s"), "key", "s") == rows(df.withColumn("s", F.coalesce(F.sum("n").over(before), F.lit(0))), "key", "s")
+    assert place(df.where("false"), ["g"], digest, "key").count() == 0
