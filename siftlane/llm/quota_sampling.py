@@ -14,6 +14,10 @@ from pyspark.sql import functions as F
 from siftlane.functions.idents import CLASSES
 
 
+#: Largest reservoir whose rank limit runs before the shuffle by itself, and the parts of a stratum for larger ones.
+RANK_LIMIT, PARTS = 1000, 64
+
+
 def draw_order(seed: int, *cols: str) -> Column:
     """A seeded order that every engine reproduces."""
     return F.md5(F.concat_ws(":", F.lit(str(seed)), *[F.col(c) for c in cols]))
@@ -24,11 +28,15 @@ def reservoirs(rows: DataFrame, strata: list[str], row_key: str, sizes: DataFram
 
     ``row_key`` must be unique within a stratum. A stratum without a size has no reservoir. ``place`` counts from 1.
     """
-    most = sizes.agg(F.max("k")).first()[0] or 0
+    most = int(sizes.agg(F.max("k")).first()[0] or 0)
     spot = draw_order(seed, *strata, row_key)
     ranked = rows.select(*strata, row_key).withColumn("spot", spot)
-    place = F.row_number().over(Window.partitionBy(*strata).orderBy("spot", row_key))
-    kept = ranked.withColumn("place", place).where(F.col("place") <= int(most))
+    rank = lambda *keys: F.row_number().over(Window.partitionBy(*keys).orderBy("spot", row_key))
+    if most > RANK_LIMIT:
+        # Beyond this size Spark doesn't limit ranks before the shuffle: parts of a stratum keep their own reservoirs first.
+        ranked = ranked.withColumn("part", F.pmod(F.xxhash64(row_key), F.lit(PARTS)))
+        ranked = ranked.withColumn("place", rank(*strata, "part")).where(F.col("place") <= most).drop("part", "place")
+    kept = ranked.withColumn("place", rank(*strata)).where(F.col("place") <= most)
     return kept.join(sizes.select(*strata, "k"), strata).where("place <= k").select(*strata, row_key, "place")
 
 

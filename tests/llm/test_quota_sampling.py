@@ -49,6 +49,13 @@ def test_reservoirs_merge_and_are_uniform(spark, pool):
     assert len(seen) > 90 and max(seen.values()) < 15
 
 
+def test_large_reservoirs_are_the_same(spark, pool, monkeypatch):
+    sizes = spark.createDataFrame([("r", "paper", 30), ("r", "metal", 30)], "run_id string, class_name string, k int")
+    want = rows(qs.reservoirs(pool, ["run_id", "class_name"], "key", sizes, 3))
+    monkeypatch.setattr(qs, "RANK_LIMIT", 5)
+    assert rows(qs.reservoirs(pool, ["run_id", "class_name"], "key", sizes, 3)) == want and len(want) == 32
+
+
 def test_empty(spark, weights, pool):
     wanted = qs.quotas(plan(spark, (1, "r", 1, 10, 0)).where("false"), weights)
     assert qs.draw(pool, wanted).count() == 0
