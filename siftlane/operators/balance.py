@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from siftlane.functions.hashing import rank_hash
-from siftlane.functions.ranking import place
+from siftlane.functions.ranking import place, twister_sample
 
 
 def hash_sample(items: DataFrame, strata: list[str], n: str, purpose: str, seed: int = 42) -> DataFrame:
@@ -36,10 +36,10 @@ def allocate(pools: DataFrame, cap: int) -> DataFrame:
     return q.withColumn("more", more).select("class_name", "source", "size", F.when(F.col("total") <= cap, F.col("size")).otherwise(F.col("given") + F.col("more")).cast("bigint").alias("take"))
 
 
-def balance(items: DataFrame, cap: int, seed: int = 42, exempt: list[str] | None = None, source_caps: DataFrame | None = None) -> DataFrame:
+def balance(items: DataFrame, cap: int, seed: int = 42, exempt: list[str] | None = None, source_caps: DataFrame | None = None, generator: str = "hash") -> DataFrame:
     """items (``key, class_name, source``) with ``kept``.
 
-    Exempt sources keep everything. source_caps: ``source, class_name, source_cap``, applied before the class cap.
+    ``generator``: ``hash``, or ``twister`` for the picks of Python's generator (see `twister_sample`). Exempt sources keep everything. source_caps: ``source, class_name, source_cap``, applied before the class cap.
     """
     if cap <= 0:
         raise ValueError("cap must be positive")
@@ -53,8 +53,13 @@ def balance(items: DataFrame, cap: int, seed: int = 42, exempt: list[str] | None
     counts = counts.withColumn("size", F.least("all_items", F.coalesce("source_cap", "all_items")).cast("bigint"))
     takes = allocate(counts.select("class_name", "source", "size"), cap)
     sized = pool.join(F.broadcast(takes), ["class_name", "source"])
-    first = hash_sample(sized, ["class_name", "source"], "size", "srccap", seed)
-    kept = hash_sample(first, ["class_name", "source"], "take", "cap", seed).select("key", F.lit(True).alias("chosen"))
+    strata = ["class_name", "source"]
+    if generator == "twister":
+        first = twister_sample(sized, strata, "size", "srccap", "key", seed)
+        chosen = twister_sample(first, strata, "take", "cap", "key", seed)
+    else:
+        chosen = hash_sample(hash_sample(sized, strata, "size", "srccap", seed), strata, "take", "cap", seed)
+    kept = chosen.select("key", F.lit(True).alias("chosen"))
     return items.join(kept, "key", "left").select("key", "class_name", "source", (free | F.coalesce("chosen", F.lit(False))).alias("kept"))
 
 

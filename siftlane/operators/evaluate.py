@@ -95,3 +95,28 @@ def tidy_metrics(wide: DataFrame, key: str) -> DataFrame:
     """``key, metric, value`` of a table with one column per metric."""
     names = [c for c in wide.columns if c != key]
     return wide.unpivot([key], names, "metric", "value")
+
+
+def uneven_curves(curves: DataFrame) -> DataFrame:
+    """Tiers and classes whose curve has another number of points than most of its tier. curves: ``tier, class_name, idx``."""
+    points = curves.groupBy("tier", "class_name").agg(F.count("*").alias("points"))
+    usual = points.groupBy("tier").agg(F.mode("points", True).alias("usual"))
+    return points.join(usual, "tier").where("points <> usual").select("tier", "class_name", "points")
+
+
+def tier_curves(tiers: DataFrame, curves: DataFrame, fallback: str = "val") -> DataFrame:
+    """``tier, curve``: the curve file named like the tier, else that of ``fallback``. tiers: ``tier``; curves: ``curve``."""
+    named = curves.select(F.col("curve").alias("tier"), "curve")
+    return tiers.join(named, "tier", "left").select("tier", F.coalesce("curve", F.lit(fallback)).alias("curve"))
+
+
+def tier_comparison(tiers: DataFrame, classes: DataFrame) -> DataFrame:
+    """``tier, class_name, map50``: val, test1 and the worst degraded tier side by side; a class that a tier lacks has 0.
+
+    tiers: ``tier, severity, class_name, map50``, degraded tiers named ``test2...``.
+    """
+    late = F.startswith("tier", F.lit("test2"))
+    worst = F.max(F.when(late, F.col("severity"))).over(Window.partitionBy())
+    kept = tiers.withColumn("worst", worst).where(F.col("tier").isin("val", "test1") | (late & (F.col("severity") == F.col("worst")))).drop("worst")
+    cells = kept.select("tier").distinct().crossJoin(F.broadcast(classes.select("class_name")))
+    return cells.join(kept.select("tier", "class_name", "map50"), ["tier", "class_name"], "left").select("tier", "class_name", F.coalesce("map50", F.lit(0.0)).alias("map50"))

@@ -4,11 +4,11 @@ from __future__ import annotations
 
 import math
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from siftlane.functions.hashing import rank_hash
-from siftlane.functions.ranking import place, running_sum
+from siftlane.functions.ranking import place, running_sum, twister_place
 from siftlane.operators.checks import DataError
 from siftlane.operators.graph import group_ids, primary_stratum
 from siftlane.session import Scratch
@@ -20,20 +20,22 @@ def route_sources(items: DataFrame, leave_out: str | None, wild: list[str] | Non
     return items.withColumn("split", route.when(F.col("source").isin(wild or []), "wild_test"))
 
 
-def _places(groups: DataFrame, purpose: str, seed: int) -> DataFrame:
+def _places(groups: DataFrame, purpose: str, seed: int, generator: str = "hash") -> DataFrame:
     """Groups (``group_id, source, class_name``) with their ``place`` in the seeded order of their stratum."""
+    if generator == "twister":
+        return twister_place(groups.select("group_id", "source", "class_name"), ["source", "class_name"], purpose, "group_id", seed)
     label = F.concat_ws(":", F.lit(purpose), "source", "class_name")
     return place(groups, ["source", "class_name"], rank_hash(seed, label, F.col("group_id")), "group_id")
 
 
-def clean_holdout(groups: DataFrame, sources: list[str], fraction: float, seed: int = 42) -> DataFrame:
+def clean_holdout(groups: DataFrame, sources: list[str], fraction: float, seed: int = 42, generator: str = "hash") -> DataFrame:
     """``group_id`` of the first ``round(n * fraction)`` groups of each stratum of the clean sources."""
-    eligible = _places(groups.where(F.col("source").isin(sources)), "clean_holdout", seed)
+    eligible = _places(groups.where(F.col("source").isin(sources)), "clean_holdout", seed, generator)
     counts = eligible.groupBy("source", "class_name").agg(F.floor(F.count("*") * F.lit(float(fraction)) + 0.5).alias("take"))
     return eligible.join(F.broadcast(counts), ["source", "class_name"]).where("place <= take").select("group_id")
 
 
-def train_val(spark: SparkSession, members: DataFrame, groups: DataFrame, fraction: float = 0.15, seed: int = 42) -> DataFrame:
+def train_val(spark: SparkSession, members: DataFrame, groups: DataFrame, fraction: float = 0.15, seed: int = 42, generator: str = "hash") -> DataFrame:
     """``group_id, split`` with about ``fraction`` of each stratum's items in val.
 
     members: ``group_id, source, class_name`` per item; groups: the primary stratum of each group. In the seeded order of a stratum groups are
@@ -47,7 +49,12 @@ def train_val(spark: SparkSession, members: DataFrame, groups: DataFrame, fracti
     parts = scratch.keep(parts.join(groups.select("group_id", F.col("source").alias("ps"), F.col("class_name").alias("pc")), "group_id"), "parts")
     own = parts.where("source = ps AND class_name = pc").select("group_id", "source", "class_name", F.col("n").alias("own"))
     label = F.concat_ws(":", F.lit("split"), "source", "class_name")
-    placed = running_sum(own, ["source", "class_name"], rank_hash(seed, label, F.col("group_id")), "group_id", F.col("own"), "before")
+    if generator == "twister":
+        shuffled = own.join(_places(own, "split", seed, generator).select("group_id", "place"), "group_id")
+        w = Window.partitionBy("source", "class_name").orderBy("place").rowsBetween(Window.unboundedPreceding, -1)
+        placed = shuffled.withColumn("before", F.coalesce(F.sum("own").over(w), F.lit(0))).drop("place")
+    else:
+        placed = running_sum(own, ["source", "class_name"], rank_hash(seed, label, F.col("group_id")), "group_id", F.col("own"), "before")
     placed = scratch.keep(placed, "placed")
     sizes = {(r["source"], r["class_name"]): r["n"] for r in members.groupBy("source", "class_name").agg(F.count("*").alias("n")).collect()}
     targets = {s: math.floor(n * fraction + 0.5) for s, n in sizes.items()}
@@ -78,8 +85,12 @@ def split_items(
     clean_fraction: float = 0.0,
     fraction: float = 0.15,
     seed: int = 42,
+    generator: str = "hash",
 ) -> DataFrame:
-    """``key, class_name, source, split, group_id`` for all items; groups exist only in the pool of train, val and clean_test."""
+    """``key, class_name, source, split, group_id`` for all items; groups exist only in the pool of train, val and clean_test.
+
+    ``generator``: ``hash``, or ``twister`` for the orders of Python's generator (see `twister_place`).
+    """
     if not 0 < fraction < 1:
         raise DataError(f"the val fraction must lie between 0 and 1, not {fraction}")
     if leave_out is not None and not items.where(F.col("source") == leave_out).take(1):
@@ -89,9 +100,9 @@ def split_items(
     pool = routed.where("split IS NULL").drop("split")
     grouped = scratch.keep(group_ids(spark, pool, edges), "grouped")
     strata = scratch.keep(primary_stratum(grouped), "strata")
-    clean = scratch.keep(clean_holdout(strata, clean_sources or [], clean_fraction, seed), "clean")
+    clean = scratch.keep(clean_holdout(strata, clean_sources or [], clean_fraction, seed, generator), "clean")
     rest = grouped.join(clean, "group_id", "left_anti")
-    two = train_val(spark, rest, strata.join(clean, "group_id", "left_anti"), fraction, seed)
+    two = train_val(spark, rest, strata.join(clean, "group_id", "left_anti"), fraction, seed, generator)
     by_group = two.unionByName(clean.withColumn("split", F.lit("clean_test")))
     cols = ["key", "class_name", "source", "split", "group_id"]
     inside = grouped.join(by_group, "group_id").select(*cols)

@@ -908,6 +908,29 @@ def wn9_worst_tier(spark: SparkSession, d: str) -> DataFrame:
     return evaluate.worst_tier(_metrics(spark, d))
 
 
+@query(
+    f"""WITH {DETS_SQL}, {_METRICS}, t AS (SELECT CASE severity WHEN 0 THEN 'val' WHEN 1 THEN 'test1' ELSE 'test2_s' || severity END AS tier, severity, target AS class_name, precision AS map50 FROM mt JOIN cls USING (class_id) WHERE target <> 'metal' OR severity > 0),
+k AS (SELECT * FROM t WHERE tier IN ('val', 'test1') OR severity = (SELECT max(severity) FROM t))
+SELECT a.tier, cls.target AS class_name, coalesce(map50, 0.0) AS map50 FROM (SELECT DISTINCT tier FROM k) a CROSS JOIN cls LEFT JOIN k ON k.tier = a.tier AND k.class_name = cls.target"""
+)
+def fig_tier_comparison(spark: SparkSession, d: str) -> DataFrame:
+    """Figures by tier and class; one class is left out of val on purpose."""
+    name = F.when(F.col("severity") == 0, "val").when(F.col("severity") == 1, "test1").otherwise(F.concat(F.lit("test2_s"), F.col("severity").cast("string")))
+    tiers = _metrics(spark, d).join(F.broadcast(views.class_table(spark)), "class_id").select(name.alias("tier"), "severity", F.col("target").alias("class_name"), F.col("precision").alias("map50"))
+    return evaluate.tier_comparison(tiers.where("class_name <> 'metal' OR severity > 0"), views.class_table(spark).select(F.col("target").alias("class_name")))
+
+
+@query(
+    f"""WITH {DETS_SQL}, s AS (SELECT t.class_id IS NOT NULL AS known, image_id, severity, max(score) AS score FROM dets JOIN truth t USING (object) GROUP BY 1, 2, 3)
+SELECT known, least(floor(score * 40), 39)::INT AS bin, count(*) AS n FROM s GROUP BY 1, 2"""
+)
+def fig_separation(spark: SparkSession, d: str) -> DataFrame:
+    """Top scores of known and unknown objects by cell."""
+    known = views.truth(spark, d).select("object", F.col("class_id").isNotNull().alias("known"))
+    top = views.detections(spark, d).join(known, "object").groupBy("known", "image_id", "severity").agg(F.max("score").alias("score"))
+    return top.groupBy("known", F.least(F.floor(F.col("score") * 40), F.lit(39)).cast("int").alias("bin")).agg(F.count("*").alias("n"))
+
+
 @query(
     """WITH p AS (SELECT date_diff('day', DATE '2025-01-01', logged_at::DATE)::INT AS epoch, round(avg(score), 6) AS fitness FROM detections WHERE logged_at IS NOT NULL AND NOT isnan(score) AND score BETWEEN 0 AND 1 GROUP BY 1)
 SELECT epoch, fitness FROM p ORDER BY fitness DESC, epoch LIMIT 1"""

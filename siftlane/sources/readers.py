@@ -103,3 +103,11 @@ def split_index(assignments: DataFrame) -> DataFrame:
     df = assignments.select(stem.alias("stem"), "key", "split", "group_id")
     require_unique(df, ["stem"], "stems shared by several keys")
     return df
+
+
+def read_split(spark: SparkSession, path: str, name: str) -> DataFrame:
+    """The rows of one split of a finished set, by name; an empty or unknown split is an error. Only its partition is read."""
+    df = spark.read.parquet(path).where(F.col("split") == name)
+    if not df.take(1):
+        raise DataError(f"{path} has no rows for the split {name}")
+    return df.orderBy("name")

@@ -406,3 +406,34 @@ def test_spread_ranks_equal_a_window(spark):
     before = Window.partitionBy("g").orderBy(digest).rowsBetween(Window.unboundedPreceding, -1)
     assert rows(running_sum(df, ["g"], digest, "key", F.col("n"), "s"), "key", "s") == rows(df.withColumn("s", F.coalesce(F.sum("n").over(before), F.lit(0))), "key", "s")
     assert place(df.where("false"), ["g"], digest, "key").count() == 0
+
+
+def test_picks_of_the_python_generator(spark):
+    items = pool(spark, ("paper", "s", 30), ("paper", "t", 10), ("glass", "s", 3))
+    got = {r["key"] for r in balance.balance(items, 20, seed=7, generator="twister").where("kept").collect()}
+    keys = sorted(f"paper/s__{i:04}.png" for i in range(30))
+    other = sorted(f"paper/t__{i:04}.png" for i in range(10))
+    want = set(random.Random("7:cap:paper:s").sample(keys, 15)) | set(random.Random("7:cap:paper:t").sample(other, 5)) | {f"glass/s__{i:04}.png" for i in range(3)}
+    assert got == want
+
+
+def test_orders_of_the_python_generator(spark):
+    rng = random.Random(9)
+    members = [(f"g{rng.randrange(90):03}", rng.choice("st"), rng.choice(["p", "q"])) for _ in range(300)]
+
+    def order(stratum, groups):
+        groups = sorted(groups)
+        random.Random(f"42:split:{stratum[0]}:{stratum[1]}").shuffle(groups)
+        return groups
+
+    df = spark.createDataFrame(members, "group_id string, source string, class_name string")
+    strata = graph.primary_stratum(df)
+    got = {r["group_id"]: r["split"] for r in split.train_val(spark, df, strata, 0.25, generator="twister").collect()}
+    assert got == replay_train_val(members, 0.25, order)
+    clean = {r["group_id"] for r in split.clean_holdout(strata, ["s"], 0.5, 42, "twister").collect()}
+    want = set()
+    for c in "pq":
+        gs = sorted(r["group_id"] for r in strata.where(f"source = 's' AND class_name = '{c}'").collect())
+        random.Random(f"42:clean_holdout:s:{c}").shuffle(gs)
+        want |= set(gs[: int(len(gs) * 0.5 + 0.5)])
+    assert clean == want

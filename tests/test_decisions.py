@@ -179,3 +179,13 @@ def test_interpolation(spark):
     curve = spark.createDataFrame([(0, 0, 0.0, 0.2), (0, 1, 0.5, 0.6), (0, 2, 1.0, 1.0)], "class_id int, idx int, confidence double, precision double")
     at = spark.createDataFrame([(0, 0.25), (0, 1.0)], "class_id int, conf double")
     assert rows(evaluate.interpolate(curve, at)) == {(0, 0.25, 0.4), (0, 1.0, 1.0)}
+
+
+def test_tiers_and_curves(spark):
+    tiers = spark.createDataFrame([("val", 0, "paper", 0.9), ("test1", 0, "glass", 0.8), ("test2_s1", 1, "paper", 0.7), ("test2_s5", 5, "paper", 0.5), ("wild", 0, "paper", 0.1)], "tier string, severity int, class_name string, map50 double")
+    classes = spark.createDataFrame([("paper",), ("glass",)], "class_name string")
+    assert rows(evaluate.tier_comparison(tiers, classes)) == {("val", "paper", 0.9), ("val", "glass", 0.0), ("test1", "paper", 0.0), ("test1", "glass", 0.8), ("test2_s5", "paper", 0.5), ("test2_s5", "glass", 0.0)}
+    curves = spark.createDataFrame([("val", "a", i) for i in range(3)] + [("val", "b", i) for i in range(3)] + [("val", "c", i) for i in range(2)], "tier string, class_name string, idx int")
+    assert rows(evaluate.uneven_curves(curves)) == {("val", "c", 2)}
+    got = evaluate.tier_curves(tiers.select("tier").distinct(), spark.createDataFrame([("val",), ("test1",)], "curve string"))
+    assert rows(got.where("tier <> 'wild'")) == {("val", "val"), ("test1", "test1"), ("test2_s1", "val"), ("test2_s5", "val")}

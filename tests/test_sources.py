@@ -211,6 +211,9 @@ def test_sinks(spark, tmp_path):
     about = sinks.emit_dataset(df, str(tmp_path / "set"), CLASSES)
     assert list(about["splits"]) == ["train", "val"]
     assert rows(spark.read.parquet(str(tmp_path / "set")), "name", "split") == {("paper__s__a.jpg", "train"), ("paper__s__b.jpg", "val")}
+    assert readers.read_split(spark, str(tmp_path / "set"), "val").count() == 1
+    with pytest.raises(DataError):
+        readers.read_split(spark, str(tmp_path / "set"), "test")
     with pytest.raises(DataError):
         sinks.emit_dataset(df.union(spark.createDataFrame([("k", "val", "i", None)], df.schema)), str(tmp_path / "set2"), CLASSES)
     sinks.write_by_source(spark.createDataFrame([("a", 1), ("b", 1)], "source string, n int"), str(tmp_path / "by"))
