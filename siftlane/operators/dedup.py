@@ -98,6 +98,10 @@ def greedy_dedup(spark: SparkSession, items: DataFrame) -> DataFrame:
     for more in known_kept[1:]:
         every = every.unionByName(more)
     every = scratch.keep(every, "kept")
+    for k in range(step + 1):
+        scratch.drop(f"kept{k}")
+        scratch.drop(f"dropped{k}")
+        scratch.drop(f"rest{k}")
     by = heads.select(F.col("h").alias("earlier"), F.col("place").alias("by_place"))
     choice = all_edges.join(every.select(F.col("h").alias("earlier")), "earlier", "left_semi").join(by, "earlier")
     choice = choice.groupBy(F.col("later").alias("h")).agg(F.min_by(F.struct("by_place.key", "distance"), "by_place").alias("c"))

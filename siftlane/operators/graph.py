@@ -21,6 +21,7 @@ def components(spark: SparkSession, edges: DataFrame) -> DataFrame:
     ends = edges.select(F.col("key_a").alias("a"), F.col("key_b").alias("b")).where("a <> b")
     current = scratch.keep(ends.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct(), "edges0")
     rounds: list[DataFrame] = []
+    depths: list[int] = []
     while current.take(1):
         step = len(rounds)
         if step >= MAX_ROUNDS:
@@ -31,19 +32,25 @@ def components(spark: SparkSession, edges: DataFrame) -> DataFrame:
             further = minimum.join(minimum.select(F.col("v").alias("p"), F.col("p").alias("pp")), "p").select("v", F.col("pp").alias("p"), (F.col("p") != F.col("pp")).alias("moved"))
             further = scratch.keep(further, f"low{step}_{jump}")
             minimum = further.select("v", "p")
+            scratch.drop(f"low{step}_{jump - 1}")
             if not further.where("moved").take(1):
                 break
         a, b = minimum.select(F.col("v").alias("a"), F.col("p").alias("x")), minimum.select(F.col("v").alias("b"), F.col("p").alias("y"))
         new = current.join(a, "a").join(b, "b").where("x <> y").select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).distinct()
         current = scratch.keep(new, f"edges{step + 1}")
+        scratch.drop(f"edges{step}")
         rounds.append(minimum)
+        depths.append(jump)
     if not rounds:
         return spark.createDataFrame([], "key string, group_id string")
     known = rounds[0].select(F.col("v").alias("key"), F.col("p").alias("group_id"))
     for minimum in rounds[1:]:
         later = minimum.select(F.col("v").alias("group_id"), F.col("p").alias("root"))
         known = known.join(later, "group_id", "left").select("key", F.coalesce("root", "group_id").alias("group_id"))
-    return scratch.keep(known, "known")
+    known = scratch.keep(known, "known")
+    for step, jumps in enumerate(depths):
+        scratch.drop(f"low{step}_{jumps}")
+    return known
 
 
 def group_ids(spark: SparkSession, pool: DataFrame, edges: DataFrame) -> DataFrame:
