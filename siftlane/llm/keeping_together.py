@@ -69,6 +69,8 @@ def random_mate_components(spark: SparkSession, edges: DataFrame) -> DataFrame:
         mine = moves[step].join(later, "to", "left").select("v", F.coalesce("root", "to").alias("root"))
         labels = labels.unionByName(mine)
         labels = scratch.keep(labels, f"labels{step}")
+        scratch.drop(f"move{step}")
+        scratch.drop(f"labels{step + 1}")
     roots = labels.select(F.col("root").alias("v"), "root").distinct()
     return labels.unionByName(roots)
 

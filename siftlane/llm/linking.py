@@ -75,6 +75,7 @@ def grid_components(spark: SparkSession, edges: DataFrame, a: str = "a", b: str
     ends = edges.select(F.col(a).alias("x"), F.col(b).alias("y")).where("x <> y")
     current = scratch.keep(ends.select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).distinct(), "edges0")
     parents: list[DataFrame] = []
+    depths: list[int] = []
     left = current.count()
     for step in range(MAX_ROUNDS):
         if not left:
@@ -92,6 +93,7 @@ def grid_components(spark: SparkSession, edges: DataFrame, a: str = "a", b: str
             further = parent.join(above, "p").select("v", F.col("pp").alias("p"), (F.col("p") != F.col("pp")).alias("moved"))
             further = scratch.keep(further, f"parent{step}_{jump}")
             parent = further.select("v", "p")
+            scratch.drop(f"parent{step}_{jump - 1}")
             if not further.where("moved").take(1):
                 break
         mine, theirs = parent.withColumnRenamed("p", "x"), parent.select(F.col("v").alias("r"), F.col("p").alias("y"))
@@ -100,6 +102,7 @@ def grid_components(spark: SparkSession, edges: DataFrame, a: str = "a", b: str
         current = scratch.keep(moved, f"edges{step + 1}")
         scratch.drop(f"local{step}")
         parents.append(parent)
+        depths.append(jump)
         left = current.count()
     else:
         raise RuntimeError(f"parents are not stable after {MAX_ROUNDS} rounds")
@@ -109,4 +112,8 @@ def grid_components(spark: SparkSession, edges: DataFrame, a: str = "a", b: str
     for parent in parents[1:]:
         later = parent.select(F.col("v").alias("root"), F.col("p").alias("next"))
         known = known.join(later, "root", "left").select("v", F.coalesce("next", "root").alias("root"))
-    return scratch.keep(known, "known")
+    known = scratch.keep(known, "known")
+    for step, jumps in enumerate(depths):
+        scratch.drop(f"parent{step}_{jumps}")
+    scratch.drop(f"edges{len(parents)}")
+    return known

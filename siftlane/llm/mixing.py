@@ -223,6 +223,8 @@ def mix_sources(spark: SparkSession, docs: DataFrame, targets: DataFrame, path:
     reach = np.array([[by_domain.get(d, 0) for d in domains]]) * caps
     lam = fit_rates(spark, cells, np.minimum(wanted, np.minimum(reach, soft * caps)), caps) if everything else np.zeros_like(wanted)
 
+    scratch.drop("cells")
+
     def draw(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             p = np.array(b.column(1).to_pylist(), float).reshape(-1, len(domains))

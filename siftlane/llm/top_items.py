@@ -99,6 +99,8 @@ def top_n(
             if full is not None:
                 counts = full.unionByName(counts).groupBy(group).agg(F.max("have").alias("have"))
             full = scratch.keep(counts, f"full{b}")
+    for name in ["rows", *[f"full{b}" for b in range(len(edges) - 1)]]:
+        scratch.drop(name)
     out = results[0]
     for more in results[1:]:
         out = out.unionByName(more)
