@@ -61,6 +61,16 @@ def ship_package(spark: SparkSession) -> None:
     context.addPyFile(str(target))
 
 
+def _session_folder(spark: SparkSession) -> str:
+    return f"{checkpoint_root(spark)}/siftlane/{spark.sparkContext.applicationId}"
+
+
+def clear_scratch(spark: SparkSession) -> None:
+    """Remove all tables that operators have written in this session; results that still read them are gone with them."""
+    where = spark._jvm.org.apache.hadoop.fs.Path(_session_folder(spark))
+    where.getFileSystem(spark._jsc.hadoopConfiguration()).delete(where, True)
+
+
 class Scratch:
     """Tables written for one run of an operator, in the shared folder.
 
@@ -72,7 +82,7 @@ class Scratch:
     def __init__(self, spark: SparkSession, label: str) -> None:
         self.spark = spark
         ship_package(spark)
-        self.root = f"{checkpoint_root(spark)}/siftlane/{label}-{uuid.uuid4().hex[:12]}"
+        self.root = f"{_session_folder(spark)}/{label}-{uuid.uuid4().hex[:12]}"
 
     def path(self, name: str) -> str:
         return f"{self.root}/{name}"

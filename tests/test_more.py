@@ -101,3 +101,13 @@ def test_command_line(spark, tmp_path):
     assert main(["query", "so4_repeated", "--data", "/nowhere"]) == 1
     assert main(["compact", "--files", f"{SF}/item_files.parquet", "--items", f"{SF}/items.parquet", "--out", str(tmp_path / "c")]) == 0
     assert spark.read.parquet(str(tmp_path / "c/records")).count() > 0
+
+
+def test_scratch_can_be_cleared(spark):
+    from siftlane.session import Scratch, clear_scratch
+
+    kept = Scratch(spark, "t").keep(spark.range(3), "x")
+    assert kept.count() == 3
+    clear_scratch(spark)
+    with pytest.raises(Exception):  # noqa: B017
+        kept.count()
