@@ -51,6 +51,8 @@ _ODD = re.compile(r"[^\x00-\x7f]+")
 _WORD = re.compile(r"[^\x00-\x20]*[^\x00-\x7f][^\x00-\x20]*")
 _EDGE = string.punctuation + string.digits
 _BASE = 1 << 21
+#: Characters counted at once.
+CHUNK = 1 << 20
 
 
 def _codes(texts: list[str]) -> np.ndarray:
@@ -62,6 +64,38 @@ def _codes(texts: list[str]) -> np.ndarray:
     return codes
 
 
+def _count_codes(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+    """The pairs of all texts and their counts, taken ``CHUNK`` characters at a time; a piece of a longer text begins with the last
+    character of the one before, so no pair is lost or added."""
+    parts: list[np.ndarray] = []
+    sums: list[np.ndarray] = []
+
+    def add(codes: np.ndarray) -> None:
+        pairs, n = np.unique(codes[:-1] * _BASE + codes[1:], return_counts=True)
+        parts.append(pairs)
+        sums.append(n)
+
+    held: list[str] = []
+    size = 0
+    for t in texts:
+        if len(t) > CHUNK:
+            line = _codes([""])[:1]
+            add(np.concatenate([line, _codes([t[0]])[1:2]]))
+            for k in range(0, len(t) - 1, CHUNK):
+                add(_codes([t[k : k + CHUNK + 1]])[1:-1])
+            add(np.concatenate([_codes([t[-1]])[1:2], line]))
+            continue
+        held.append(t)
+        size += len(t)
+        if size >= CHUNK:
+            add(_codes(held))
+            held, size = [], 0
+    if held:
+        add(_codes(held))
+    pairs, at = np.unique(np.concatenate(parts), return_inverse=True)
+    return pairs, np.bincount(at, np.concatenate(sums)).astype(np.int64)
+
+
 def odd_words(text: str) -> Iterator[tuple[int, int]]:
     """Where the words with a non-ASCII character are, without ASCII punctuation and digits at their ends."""
     for hit in _WORD.finditer(text):
@@ -78,8 +112,7 @@ def count_pairs(docs: DataFrame, text: str = "text") -> DataFrame:
             texts = [t for t in batch.column(0).to_pylist() if t]
             if not texts:
                 continue
-            codes = _codes(texts)
-            pairs, n = np.unique(codes[:-1] * _BASE + codes[1:], return_counts=True)
+            pairs, n = _count_codes(texts)
             words = Counter(t[a:b] for t in texts if not t.isascii() for a, b in odd_words(t))
             yield pa.RecordBatch.from_arrays(
                 [
@@ -136,7 +169,7 @@ class PairModel:
         """The share of the pairs with a non-ASCII character that the table holds."""
         codes = [_plain(c) for c in text]
         odd = [x * _BASE + y in self.by_pair for x, y in zip(codes, codes[1:], strict=False) if x > 127 or y > 127]
-        return sum(odd) / len(odd) if odd else 0.0
+        return sum(odd) / len(odd) if odd else 1.0
 
 
 def _plain(char: str) -> int:

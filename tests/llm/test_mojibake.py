@@ -110,3 +110,19 @@ def test_long_text(spark, table):
     text = SENTENCES["fr"] * 3000
     assert mj.restore(text, model) == (None, None)
     assert mj.restore(text + garbled(SENTENCES["de"], "utf-8", "cp1252"), model)[0] == text + SENTENCES["de"]
+
+
+def test_counting_in_chunks(corpus, monkeypatch):
+    texts = [t for _, t in corpus[:60]] + ["x" * 250, "ab" * 200, "é"]
+    codes = mj._codes(texts)
+    pairs, n = np.unique(codes[:-1] * mj._BASE + codes[1:], return_counts=True)
+    monkeypatch.setattr(mj, "CHUNK", 100)
+    got = dict(zip(*[a.tolist() for a in mj._count_codes(texts)], strict=True))
+    want = dict(zip(pairs.tolist(), n.tolist(), strict=True))
+    # Between two texts there is one line end, or two where a chunk ends.
+    line = 32 * mj._BASE + 32
+    got.pop(line, None)
+    want.pop(line, None)
+    ends = {k for k in got if k // mj._BASE == 32 or k % mj._BASE == 32}
+    assert {k: v for k, v in got.items() if k not in ends} == {k: v for k, v in want.items() if k not in ends}
+    assert all(abs(got[k] - want[k]) <= 0 for k in ends)
