@@ -474,7 +474,7 @@ def _six(x: str) -> str:
 
 
 # Proposals from the detections of an image in pixels of a 640 x 480 frame: width and place follow class and score.
-_PROPOSALS = """prop AS (SELECT image_id AS image, row_number() OVER (PARTITION BY image_id ORDER BY det_id) - 1 AS pos, class_id * 20.0 AS x1, class_id * 10.0 AS y1, class_id * 20.0 + 400 * score AS x2, class_id * 10.0 + 300 * score AS y2, score AS confidence, det_id
+_PROPOSALS = """prop AS (SELECT image_id AS image, row_number() OVER (PARTITION BY image_id ORDER BY det_id) - 1 AS pos, (class_id * 20.0)::DOUBLE AS x1, (class_id * 10.0)::DOUBLE AS y1, class_id * 20.0 + 400 * score AS x2, class_id * 10.0 + 300 * score AS y2, score AS confidence, det_id
   FROM detections WHERE severity = 0 AND NOT isnan(score) AND score BETWEEN 0 AND 1)"""
 
 
