@@ -1,10 +1,11 @@
-"""Command line: ``python -m siftlane query|build|compact ...``; 0 done, 1 failed, 2 wrong use."""
+"""Command line: ``python -m siftlane query|build|compact ...``; 0 done, 1 failed, 2 wrong use, 3 halted until people have looked."""
 
 from __future__ import annotations
 
 import argparse
 import sys
 
+from siftlane.plans.pipeline import Halt
 from siftlane.session import build_session
 
 
@@ -25,6 +26,7 @@ def main(argv: list[str] | None = None) -> int:
     b.add_argument("--wild", action="append", default=[])
     b.add_argument("--cap", type=int, default=1500)
     b.add_argument("--val", type=float, default=0.15)
+    b.add_argument("--ack-review", action="store_true", help="people have seen the review queue")
     c = sub.add_parser("compact", help="take up new small files into few large ones")
     c.add_argument("--files", required=True)
     c.add_argument("--items", required=True)
@@ -44,7 +46,7 @@ def main(argv: list[str] | None = None) -> int:
         elif args.what == "build":
             from siftlane.plans.build import BuildConfig, build
 
-            build(spark, args.data, args.out, BuildConfig(cap=args.cap, val_fraction=args.val, leave_out=args.leave_out, wild=tuple(args.wild)), args.stage, args.force)
+            build(spark, args.data, args.out, BuildConfig(cap=args.cap, val_fraction=args.val, leave_out=args.leave_out, wild=tuple(args.wild), ack_review=args.ack_review), args.stage, args.force)
         else:
             from siftlane.sources.tables import canonical_items
             from siftlane.streaming import compactor
@@ -52,6 +54,9 @@ def main(argv: list[str] | None = None) -> int:
             log = compactor.stored_record_log(spark, args.files, canonical_items(spark.read.parquet(args.items)), f"{args.out}/log", f"{args.out}/progress")
             compactor.seal(log).write.mode("overwrite").parquet(f"{args.out}/records")
         return 0
+    except Halt as e:
+        print(f"halted: {e}", file=sys.stderr)
+        return 3
     except Exception as e:
         print(f"failed: {e}", file=sys.stderr)
         return 1
