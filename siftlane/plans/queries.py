@@ -623,10 +623,7 @@ def _hashed(spark: SparkSession, d: str) -> DataFrame:
     """``key, source, prio, h``: documents by similarity hash; the order of sources is that of their names, none last."""
     ship_package(spark)
     docs = table(spark, d, "documents").select(F.lpad(F.col("doc_id").cast("string"), 12, "0").alias("key"), F.coalesce(plain_name(F.col("source")), F.lit("~")).alias("source"), similarity_hash(F.col("text")).alias("h"))
-    docs = Scratch(spark, "hashes").keep(docs, "docs")
-    names = sorted(r["source"] for r in docs.select("source").distinct().limit(10_000).collect())
-    ranks = spark.createDataFrame([(n, k) for k, n in enumerate(names)], "source string, prio int")
-    return docs.join(F.broadcast(ranks), "source")
+    return Scratch(spark, "hashes").keep(docs.withColumn("prio", F.col("source")), "docs")
 
 
 _HASH = """doc AS (SELECT lpad(doc_id::VARCHAR, 12, '0') AS key, coalesce(nullif(regexp_replace(trim(lower(source)), '[\\s_\\-]+', '-', 'g'), ''), '~') AS source, text FROM documents),
