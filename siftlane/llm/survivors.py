@@ -146,8 +146,8 @@ def representatives(members: DataFrame, items: DataFrame, specs: DataFrame, reco
     det = F.create_map(F.lit("class"), F.col("class")).alias("determinants") if same_class else _free()
     cols = ["group", "bundle", "trust", "candidate", det]
     candidates = label_candidates(members, items, specs).select(*cols).unionByName(box_candidates(members, records).select(*cols))
-    # Labels first: no gain in boxes makes up for a rank of trust in the label.
-    chosen = best_representative(candidates, ["label", "box"], {"label": 1.0, "box": 1e-6})
+    # Labels first: no gain in boxes, not even one for none, makes up for a rank of trust in the label.
+    chosen = best_representative(candidates, ["label", "box"], {"label": 1.0, "box": 0.5 / EMPTY})
     wide = chosen.groupBy("group").agg(F.max(F.when(F.col("bundle") == "label", F.col("candidate"))).alias("label_key"), F.max(F.when(F.col("bundle") == "box", F.col("candidate"))).alias("record"))
     groups = members.select("group_key").distinct()
     return groups.join(wide, F.col("group_key") == F.col("group"), "left").select(

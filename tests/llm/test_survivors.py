@@ -102,3 +102,10 @@ def test_extra_columns_with_clashing_names(spark, tables):
     recs = clash(records(spark, [(6, "b__1.jpg", 0.6, 9)]), "ident", "group_key", "key", "source")
     got = rows(sv.representatives(members, clash(items, "ident", "source", "group_key"), clash(specs, "ident", "key"), recs))
     assert got == {("paper/a__1.jpg", "metal/b__2.jpg", 6), ("metal/b__2.jpg", "metal/b__2.jpg", 0), ("glass/d__1.jpg", "", 0)}
+
+
+def test_the_most_trusted_label_stays_without_a_box_of_its_class(spark, tables):
+    idents, items, specs, drops = tables
+    recs = records(spark, [(6, "b__1.jpg", 0.6, 9)])
+    got = {r["group_key"]: (r["label_key"], r["record_id"]) for r in sv.representatives(sv.duplicate_members(drops, idents), items, specs, recs, same_class=True).collect()}
+    assert got["paper/a__1.jpg"] == ("metal/b__2.jpg", 0)
