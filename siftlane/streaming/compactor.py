@@ -23,8 +23,8 @@ from siftlane.session import Scratch
 #: Suffixes that interrupted and backed-up writes add behind the name proper.
 _LEFTOVER = r"(?i)(?:\.(?:part|partial|bak|tmp|old|orig|crdownload))+$"
 #: What file managers and retries add between the stem and the suffix; marks may be stacked.
-_COPY_MARK = r"(?i)(?:\s*\(\d+\)|\s*-\s*copy|_copy\d*|\.copy\d*)(?=\.[a-z]+$)"
-MARKS = 3
+_COPY_MARK = r"(?i)(?:\s*\(\d+\)|\s*-\s*copy|_copy\d*|\.copy\d*)"
+_MARKS = rf"(?i)(?:{_COPY_MARK})+(\.[a-z]+)$"
 
 
 def named_files(files: DataFrame) -> DataFrame:
@@ -49,7 +49,7 @@ def bind_files(files: DataFrame, items: DataFrame) -> DataFrame:
     files: ``file_id, path, body, n_bytes, modified_at`` (more columns are ignored).
     items: ``ident, key``, one row per ident.
     A file whose own name is an item's belongs to that item. Only a file whose own name is no
-    item's is looked up again with one copy mark less (``(1)``, ``- Copy``), then two, then three; the
+    item's is looked up again with one copy mark less (``(1)``, ``- Copy``), then two, until none is left; the
     longest name that is an item's counts. So an item named ``scan (7)`` never takes part in the second join, however many of its
     kind there are. NULL paths and names of no item hold no record. A NULL body counts as empty.
     """
@@ -57,11 +57,10 @@ def bind_files(files: DataFrame, items: DataFrame) -> DataFrame:
     keep = ["key", "kind", "file_id", "n_bytes", "modified_at", "leftover"]
     first = named.join(items, F.col("own") == items.ident).select(*keep, F.lit(False).alias("renamed"), "body")
     rest = named.where("marked IS NOT NULL").join(items, F.col("own") == items.ident, "left_anti")
-    bare, tries = F.col("marked"), []
-    for _ in range(MARKS):
-        bare = F.regexp_replace(bare, _COPY_MARK, "")
-        tries.append(item_ident(bare))
-    tried = rest.select("file_id", F.posexplode(F.array(*tries)).alias("less", "ident"))
+    stack = F.regexp_extract("marked", _MARKS, 0)
+    parts = rest.select("file_id", F.regexp_replace("marked", _MARKS, "").alias("stem"), F.regexp_extract_all(stack, F.lit(_COPY_MARK), F.lit(0)).alias("marks"), F.regexp_extract("marked", _MARKS, 1).alias("end")).where("size(marks) > 0")
+    tried = parts.select("file_id", "stem", "marks", "end", F.explode(F.sequence(F.lit(1), F.size("marks"))).alias("less"))
+    tried = tried.select("file_id", "less", item_ident(F.concat("stem", F.array_join(F.slice("marks", F.lit(1), F.size("marks") - F.col("less")), ""), "end")).alias("ident"))
     found = tried.join(items, "ident").groupBy("file_id").agg(F.min_by("key", "less").alias("key"))
     second = rest.join(found, "file_id").select(*keep, F.lit(True).alias("renamed"), "body")
     return first.unionByName(second)

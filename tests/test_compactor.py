@@ -88,3 +88,9 @@ def test_extra_columns_with_clashing_names(spark, items, tmp_path):
     df = files(spark, [(1, "a/milltray__scan.jpg", b"1")]).withColumn("key", F.lit("no")).withColumn("kind", F.lit("no")).withColumn("own", F.lit("no"))
     items = items.withColumn("kind", F.lit("no")).withColumn("body", F.lit("no")).withColumn("less", F.lit("no"))
     assert rows(compactor.bind_files(df, items), "key", "kind") == {("metal/milltray__scan.jpg", "image")}
+
+
+def test_any_number_of_copy_marks(spark, items):
+    spec = [(1, "a/milltray__scan (7) (1) (1) (1) (1).jpg", b"a"), (2, "a/milltray__scan_copy2 - Copy (3).copy (1) - copy.JPG", b"b"), (3, "a/milltray__none (1) (1) (1) (1).jpg", b"c"), (4, "a/milltray__scan (1) x.jpg", b"c")]
+    got = rows(compactor.bind_files(files(spark, spec), items), "file_id", "key")
+    assert got == {(1, "metal/milltray__scan (7).jpg"), (2, "metal/milltray__scan.jpg")}
