@@ -359,11 +359,14 @@ def restore(text: str, model: PairModel) -> tuple[str | None, str | None]:
         text = step[0]
         undone.append(step[1])
         runs = improbable_runs(text, model)
-    if runs and not undone:
+    # Each step makes the words of the text more common by at least GAIN bits, so this ends.
+    while runs:
         step = _undo_confusion(text, runs, model)
-        if step is not None:
-            text = step[0]
-            undone.append(step[1])
+        if step is None:
+            break
+        text = step[0]
+        undone.append(step[1])
+        runs = improbable_runs(text, model)
     return (text, "; ".join(undone)) if undone else (None, None)
 
 

@@ -126,3 +126,19 @@ def test_counting_in_chunks(corpus, monkeypatch):
     ends = {k for k in got if k // mj._BASE == 32 or k % mj._BASE == 32}
     assert {k: v for k, v in got.items() if k not in ends} == {k: v for k, v in want.items() if k not in ends}
     assert all(abs(got[k] - want[k]) <= 0 for k in ends)
+
+
+def test_every_garbled_passage_is_restored(table, corpus):
+    texts = [t for _, t in corpus]
+    words = {}
+    for t in texts:
+        for a, b in mj.odd_words(t):
+            words[t[a:b]] = words.get(t[a:b], 0) + 1
+    codes = mj._codes(texts)
+    pairs, n = np.unique(codes[:-1] * mj._BASE + codes[1:], return_counts=True)
+    model = mj.PairModel(pairs, n, words)
+    de, ru, fr = SENTENCES["de"], SENTENCES["ru"], SENTENCES["fr"]
+    two = garbled(de, "cp1252", "cp437") + "\n" + fr + "\n" + garbled(ru, "cp1251", "cp1252")
+    assert mj.restore(two, model)[0] == de + "\n" + fr + "\n" + ru
+    mixed = garbled(de, "utf-8", "cp1252") + "\n" + fr + "\n" + garbled(ru, "cp1251", "cp1252")
+    assert mj.restore(mixed, model)[0] == de + "\n" + fr + "\n" + ru
