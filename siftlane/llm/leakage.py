@@ -1,46 +1,58 @@
 """Evaluation texts leaking into training texts, by spaced-seed hashing.
 
-Texts become words in a plain form (layout, letter forms and markup gone). A spaced seed looks at the words of a window
-through a fixed mask that ignores some positions, so a changed word spoils only the windows that look at it. The seeds of the
-evaluation texts are hashed into a sorted table, which every task joins with the seeds of its own documents where they are read: the
-corpus isn't shuffled. A document that shares seeds with a passage along enough of its length is aligned with it around the densest
-diagonal, and is a leak if at least ``SHARE`` of the passage's words lie in matching runs, in order, with as much of the passage's
-information (words that few passages use count more, so a frame of stock phrases with other fillings is none).
-
-The evaluation set is taken in blocks of bounded size; each block meets all documents.
+1. *Words.* Texts become words in a plain form (layout, letter forms and markup gone); a character of a script that is written
+   without spaces is a word of its own. A word is a 32-bit number from there on.
+2. *Seeds.* A spaced seed looks at the words of a window through a fixed mask that ignores some positions, so a changed word spoils only
+   the windows that look at it. All seeds of the evaluation texts are a table ``hash, passage, place``; a seed that very many passages share
+   tells nothing about one of them and is left to the alignment, unless a passage has too few others.
+3. *One scan of the corpus* makes the same seeds. A bitmap of the test hashes, of bounded size, lets only documents through that share
+   some; these leave their words, as numbers, and the hashes they share. The same scan counts in how many documents each three words in a
+   row of the evaluation texts occur.
+4. *Join* on the hash, and per document and passage the words of the passage that the shared seeds span. Where they are at least
+   ``SPANNED`` of what the passage's seeds span, the two are aligned.
+5. *Alignment* around the hits: a leak has at least ``SHARE`` of the passage's words in matching runs, in order, and ``INFORMED`` of its
+   information: of each three words in a row, by how few documents of the corpus have them. Stock phrases and a frame with other fillings
+   are found all over the corpus, and what ties a frame to its fillings is what they lack.
+
+Nothing is collected on the driver but the bitmap and three numbers.
 """
 
 from __future__ import annotations
 
 import difflib
 import html
-import math
 import re
 import unicodedata
-from collections import Counter
+import zlib
 from collections.abc import Iterator, Sequence
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from siftlane.session import ship_package
+from siftlane.session import Scratch
 
 #: 1: a position that must agree, 0: one that is ignored.
 MASKS = ((1, 1, 0, 1, 1, 1), (1, 0, 1, 1, 0, 1, 1), (1, 1, 1, 0, 0, 1, 0, 1))
-#: Share of a passage's positions that seed hits must cover before it is aligned; of its words and of its information that must match.
-COVERED, SHARE = 0.4, 0.5
+#: Share of what a passage's seeds span that shared seeds must span; of its words that must match; of its information, where a changed word
+#: spoils the three runs that hold it: half of them, less one changed word in twenty.
+SPANNED, SHARE, INFORMED = 0.25, 0.5, 0.425
 #: Shortest matching run that counts, and by how many words of other text a copy may be interrupted in all.
 RUN, SLACK = 3, 150
-#: Passages with fewer words are stock phrases or short quotations.
+#: Passages with fewer words can't be told from stock phrases and short quotations; `too_short` lists them.
 LEAST_WORDS = 12
-#: Passages of one block.
-BLOCK = 2000
+#: A seed is common if more than this share of the passages have it, and at least so many.
+COMMON, COMMON_LEAST = 0.02, 8
+#: Bits of the bitmap: for each test hash, at least, and at most (32 MB; more hashes only let more through to the join).
+BITS_PER_HASH, LEAST_BITS, MOST_BITS = 16, 1 << 16, 1 << 28
 
-_INLINE = re.compile(r"</?(?:a|abbr|b|cite|code|em|font|i|mark|q|s|small|span|strong|sub|sup|tt|u)\b[^<>]{0,200}>", re.I)
-_TAG = re.compile(r"<[/a-zA-Z!][^<>]{0,200}>")
+_INLINE = re.compile(r"</?(?:a|abbr|b|cite|code|em|font|i|mark|q|s|small|span|strong|sub|sup|tt|u)\b(?:[^<>]{0,200}|[^<>=]{0,80}=\s*[\"'][^<>]*)>", re.I)
+_TAG = re.compile(r"<[/a-zA-Z!](?:[^<>]{0,200}|[^<>=]{0,80}=\s*[\"'][^<>]*)>")
 _BREAK = re.compile("[-‐­][ \\t]*\\r?\\n[ \\t>|*#]*")
-_NO_WORD = re.compile(r"[\W_]+")
+_NO_WORD = re.compile(r"(?:[^\w\s]|_)+")
+#: Letters of scripts without spaces between words: Thai to Burmese, Khmer, kana, Han.
+_UNSPACED = re.compile("([฀-໿က-႟ក-៿぀-ヿ㐀-䶿一-鿿豈-﫿\U00020000-\U0003134f])")
 # Letters that compatibility decomposition leaves whole, and dashes that part words.
 _LETTERS = str.maketrans({"œ": "oe", "æ": "ae", "ø": "o", "ł": "l", "đ": "d", "ı": "i", "—": " ", "–": " "})
 
@@ -57,148 +69,247 @@ def plain_words(text: str | None) -> list[str]:
     if not text.isascii():
         text = unicodedata.normalize("NFKD", text.translate(_LETTERS))
         text = "".join(c for c in text if c < "\x7f" or not (unicodedata.combining(c) or unicodedata.category(c) == "Cf"))
-    return [w for w in (_NO_WORD.sub("", x) for x in text.casefold().split()) if w]
+        text = _UNSPACED.sub(r" \1 ", text)
+    return _NO_WORD.sub("", text).casefold().split()
+
+
+class _Numbers(dict):
+    """The number of each word, the same on every task."""
+
+    def __missing__(self, word: str) -> int:
+        if len(self) > 1_000_000:
+            self.clear()
+        self[word] = number = zlib.crc32(word.encode("utf-8", "surrogatepass"))
+        return number
+
 
+def _numbered(texts: Sequence[str | None], numbers: _Numbers) -> tuple[np.ndarray, np.ndarray]:
+    """Word numbers of all texts in a row, and the row's length after each text."""
+    lists = [plain_words(t) for t in texts]
+    ends = np.cumsum([len(x) for x in lists], dtype=np.int64)
+    return np.fromiter((numbers[w] for x in lists for w in x), np.uint32, int(ends[-1]) if len(ends) else 0), ends
 
-def _seeds(ids: np.ndarray, mask: Sequence[int]) -> tuple[np.ndarray, np.ndarray]:
-    """Hashes of all windows of ``ids`` whose looked-at words are all known (above 0), and where they start."""
-    n = len(ids) - len(mask) + 1
+
+def _seeds(words: np.ndarray, owner: np.ndarray, mask: Sequence[int]) -> tuple[np.ndarray, np.ndarray]:
+    """Hashes of all windows that lie within one text, and where they start."""
+    n = len(words) - len(mask) + 1
     if n <= 0:
         return np.zeros(0, np.uint64), np.zeros(0, np.int64)
-    value, good = np.full(n, 0x9E3779B97F4A7C15, np.uint64), np.ones(n, bool)
+    value = np.full(n, int("".join(map(str, mask)), 2) * 0x9E3779B97F4A7C15 & 0xFFFFFFFFFFFFFFFF, np.uint64)
     for k, look in enumerate(mask):
         if look:
-            part = ids[k : k + n]
-            good &= part > 0
-            value = (value ^ part.astype(np.uint64)) * np.uint64(0xBF58476D1CE4E5B9)
+            value = (value ^ words[k : k + n]) * np.uint64(0xBF58476D1CE4E5B9)
             value ^= value >> np.uint64(29)
-    at = np.flatnonzero(good)
+    at = np.flatnonzero(owner[:n] == owner[len(mask) - 1 :])
     return value[at], at
 
 
-class PassageBlock:
-    """The seeds of a block of passages, ready to meet documents."""
-
-    def __init__(self, passages: Sequence[tuple[int, str | None]]) -> None:
-        listed = [(p, plain_words(t)) for p, t in passages]
-        listed = [(p, w) for p, w in listed if len(w) >= LEAST_WORDS]
-        self.names = [p for p, _ in listed]
-        self.words = [w for _, w in listed]
-        spread = Counter(w for ws in self.words for w in set(ws))
-        self.vocabulary = {w: k + 1 for k, w in enumerate(sorted(spread))}
-        self.weight = {w: math.log(len(self.words) / n) + 0.05 for w, n in spread.items()}
-        self.total = [sum(self.weight[w] for w in ws) for ws in self.words]
-        self.tables = []
-        for mask in MASKS:
-            parts = [_seeds(np.array([self.vocabulary[w] for w in ws], np.int64), mask) for ws in self.words]
-            keys = np.concatenate([h for h, _ in parts]) if parts else np.zeros(0, np.uint64)
-            owner = np.repeat(np.arange(len(parts)), [len(h) for h, _ in parts])
-            place = np.concatenate([at for _, at in parts]) if parts else np.zeros(0, np.int64)
-            order = np.argsort(keys, kind="stable")
-            self.tables.append((keys[order], owner[order].astype(np.int64), place[order].astype(np.int64)))
-
-    def hits(self, ids: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """(document position, passage, passage position) of every shared seed."""
-        found = []
-        for mask, (keys, owner, place) in zip(MASKS, self.tables, strict=True):
-            seeds, at = _seeds(ids, mask)
-            low, high = np.searchsorted(keys, seeds, "left"), np.searchsorted(keys, seeds, "right")
-            n = high - low
-            hit = n > 0
-            if not hit.any():
-                continue
-            low, n, at = low[hit], n[hit], at[hit]
-            first = np.repeat(np.cumsum(n) - n, n)
-            entry = np.repeat(low, n) + np.arange(n.sum()) - first
-            found.append((np.repeat(at, n), owner[entry], place[entry]))
-        if not found:
-            return (np.zeros(0, np.int64),) * 3
-        return tuple(np.concatenate(c) for c in zip(*found, strict=True))  # type: ignore[return-value]
-
-    def aligned(self, passage: int, window: list[str]) -> tuple[float, float]:
-        """Shares of a passage's words and of its information that a window holds in matching runs, in order."""
-        words = self.words[passage]
-        blocks = difflib.SequenceMatcher(None, words, window, autojunk=False).get_matching_blocks()
-        runs = [words[b.a : b.a + b.size] for b in blocks if b.size >= RUN]
-        return sum(map(len, runs)) / len(words), sum(self.weight[w] for r in runs for w in r) / self.total[passage]
-
-    def leaks(self, words: list[str]) -> list[tuple[int, float]]:
-        """(passage id, share of its words) of every passage that a text of these words holds."""
-        if len(words) < LEAST_WORDS * SHARE or not self.names:
-            return []
-        ids = np.array([self.vocabulary.get(w, 0) for w in words], np.int64)
-        at, owner, place = self.hits(ids)
-        if not len(at):
-            return []
-        wide = 1 << 32
-        order = np.argsort(owner, kind="stable")
-        at, owner, place = at[order], owner[order], place[order]
-        covered = np.unique(owner * wide + place) // wide
-        which, count = np.unique(covered, return_counts=True)
-        out = []
-        for p, n in zip(which.tolist(), count.tolist(), strict=True):
-            size = len(self.words[p])
-            if n < COVERED * (size - len(MASKS[0]) + 1):
-                continue
-            a, b = np.searchsorted(owner, p, "left"), np.searchsorted(owner, p, "right")
-            best = max(((*self.aligned(p, words[s:e]),) for s, e in _windows(at[a:b] - place[a:b], size, len(words))), key=min)
-            if min(best) >= SHARE:
-                out.append((self.names[p], round(best[0], 4)))
-        return out
-
-
-def _windows(diagonals: np.ndarray, size: int, length: int) -> list[tuple[int, int]]:
-    """The stretches of a document around its densest diagonals: a copy may be interrupted, and there may be several."""
-    lines = np.sort(diagonals)
+_THREE = (1,) * RUN
+
+
+def _all_seeds(words: np.ndarray, owner: np.ndarray, masks: Sequence[Sequence[int]]) -> tuple[np.ndarray, np.ndarray]:
+    parts = [_seeds(words, owner, m) for m in masks]
+    return np.concatenate([v for v, _ in parts]), np.concatenate([a for _, a in parts])
+
+
+class Bitmap:
+    """Two bits for each hash; what isn't set in both was never put in."""
+
+    def __init__(self, words: np.ndarray) -> None:
+        self.words, self.mask = words, np.uint64(len(words) * 64 - 1)
+
+    def may_hold(self, hashes: np.ndarray) -> np.ndarray:
+        good = np.ones(len(hashes), bool)
+        for shift in (np.uint64(0), np.uint64(32)):
+            bit = (hashes >> shift) & self.mask
+            good &= ((self.words[(bit >> np.uint64(6)).astype(np.int64)] >> (bit & np.uint64(63))) & np.uint64(1)).astype(bool)
+        return good
+
+
+def _bitmap(hashes: DataFrame, count: int) -> np.ndarray:
+    bits = LEAST_BITS
+    while bits < min(MOST_BITS, count * BITS_PER_HASH):
+        bits *= 2
+    low = [c.bitwiseAND(F.lit(bits - 1)) for c in (F.col("hash"), F.shiftrightunsigned("hash", 32))]
+    flat = hashes.select(F.explode(F.array(*low)).alias("bit"))
+    rows = flat.groupBy(F.shiftright("bit", 6).alias("word")).agg(F.expr("bit_or(shiftleft(1L, CAST(bit & 63 AS INT)))").alias("v"))
+    out = np.zeros(bits // 64, np.int64)
+    got = rows.toPandas()
+    out[got["word"].to_numpy(dtype=np.int64)] = got["v"].to_numpy(dtype=np.int64)
+    return out.view(np.uint64)
+
+
+def too_short(passages: DataFrame, passage_id: str = "passage_id", text: str = "text") -> DataFrame:
+    """``passage_id, words`` of the passages that have too few words to be judged (NULL and empty ones have 0)."""
+    scratch = Scratch(passages.sparkSession, "short")
+    return scratch.keep(_passage_words(passages, passage_id, text), "words").select("passage_id", "n").where(F.col("n") < LEAST_WORDS).withColumnRenamed("n", "words")
+
+
+def _passage_words(passages: DataFrame, passage_id: str, text: str) -> DataFrame:
+    """``passage_id, w, n``: words of a passage as little-endian 32-bit numbers, and how many."""
+
+    def words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        numbers = _Numbers()
+        for b in batches:
+            lists = [np.fromiter((numbers[w] for w in plain_words(t)), np.uint32) for t in b.column(1).to_pylist()]
+            yield pa.RecordBatch.from_arrays([b.column(0), pa.array([x.tobytes() for x in lists], pa.binary()), pa.array([len(x) for x in lists], pa.int32())], names=["passage_id", "w", "n"])
+
+    kind = passages.schema[passage_id].dataType.simpleString()
+    return passages.where(F.col(passage_id).isNotNull()).select(passage_id, text).mapInArrow(words, f"passage_id {kind}, w binary, n int")
+
+
+def _passage_seeds(texts: DataFrame) -> DataFrame:
+    """``w, hash, place, three`` for every seed of every different passage; ``three`` marks the runs of three words."""
+
+    def seeds(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            for w in b.column(0).to_pylist():
+                words = np.frombuffer(w, np.uint32)
+                owner = np.zeros(len(words), np.int8)
+                for three, masks in ((False, MASKS), (True, (_THREE,))):
+                    value, at = _all_seeds(words, owner, masks)
+                    yield pa.RecordBatch.from_arrays(
+                        [pa.array([w] * len(value), pa.binary()), pa.array(value.view(np.int64)), pa.array(at.astype(np.int32)), pa.array(np.full(len(value), three))], names=["w", "hash", "place", "three"]
+                    )
+
+    return texts.select("w").mapInArrow(seeds, "w binary, hash long, place int, three boolean")
+
+
+def _spanned(places: Column) -> Column:
+    """How many words the seeds at these places span together; the places sorted."""
+    span = len(MASKS[0])
+    step = F.aggregate(places, F.struct(F.lit(0).alias("sum"), F.lit(-span).alias("last")), lambda a, p: F.struct((a["sum"] + F.least(p - a["last"], F.lit(span))).alias("sum"), p.alias("last")))
+    return step["sum"]
+
+
+def _windows(lines: np.ndarray, size: int, length: int) -> list[tuple[int, int]]:
+    """The stretches of a document around the densest diagonals that hold enough matching words together to reach the share, densest first. A
+    copy may be interrupted; every diagonal is in one stretch, and there may be any number of these."""
     out: list[tuple[int, int]] = []
-    left = np.ones(len(lines), bool)
-    for _ in range(3):
-        rest = lines[left]
-        if len(rest) < 0.2 * size:
-            break
+    rest = np.sort(lines)
+    while len(rest):
         near = np.searchsorted(rest, rest + SLACK, "right") - np.arange(len(rest))
         k = int(near.argmax())
+        # A run of r words has r - RUN + 1 hits, so SHARE of the words in runs of RUN has a third of these hits.
+        if near[k] * RUN < SHARE * size:
+            break
         low, high = int(rest[k]), int(rest[k + near[k] - 1])
         out.append((max(0, low - RUN), min(length, high + size + RUN)))
-        left &= (lines < low) | (lines > high)
-    return out or [(max(0, int(lines[0])), min(length, int(lines[-1]) + size))]
+        rest = rest[(rest < low) | (rest > high)]
+    return out
 
 
-def find_leaks(spark: SparkSession, docs: DataFrame, passages: DataFrame, doc_id: str = "doc_id", passage_id: str = "passage_id", text: str = "text", block: int = BLOCK) -> DataFrame:
+def alignment(words: np.ndarray, weight: np.ndarray, doc: np.ndarray) -> tuple[float, float]:
+    """Shares of a passage's words and of its information that a document holds in matching runs, in order, at its best place; ``weight``: the
+    information of the run of three words that begins at each word."""
+    mine, at = _seeds(words, np.zeros(len(words), np.int8), _THREE)
+    theirs, where = _seeds(doc, np.zeros(len(doc), np.int8), _THREE)
+    order = np.argsort(mine, kind="stable")
+    mine, at = mine[order], at[order]
+    low, high = np.searchsorted(mine, theirs, "left"), np.searchsorted(mine, theirs, "right")
+    n = high - low
+    entry = np.repeat(low, n) + np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
+    lines = np.repeat(where, n) - at[entry]
+    listed, total, best = words.tolist(), float(weight.sum()), (0.0, 0.0)
+    for a, b in _windows(lines, len(words), len(doc)):
+        blocks = difflib.SequenceMatcher(None, listed, doc[a:b].tolist(), autojunk=False).get_matching_blocks()
+        runs = [(x.a, x.a + x.size) for x in blocks if x.size >= RUN]
+        got = sum(y - x for x, y in runs) / len(words), sum(float(weight[x : y - RUN + 1].sum()) for x, y in runs) / total
+        best = max(best, got, key=lambda g: min(g[0] / SHARE, g[1] / INFORMED))
+    return best
+
+
+def find_leaks(spark: SparkSession, docs: DataFrame, passages: DataFrame, doc_id: str = "doc_id", passage_id: str = "passage_id", text: str = "text") -> DataFrame:
     """``doc_id, passage_id, share``: every document that holds at least half of a passage, with the share of its words found.
 
     Whole texts of any length are searched. NULL and empty texts hold nothing and, like passages of fewer than
-    ``LEAST_WORDS`` words, leak nothing. Repeated documents are found each; a passage given twice is found under both ids. An empty side
-    gives an empty result.
+    ``LEAST_WORDS`` words (see `too_short`), leak nothing. Repeated documents are found each (``doc_id`` must be unique); a passage given twice is
+    found under both ids. An empty side gives an empty result. The result doesn't depend on how either side is partitioned.
     """
-    ship_package(spark)
-    kinds = docs.schema[doc_id].dataType.simpleString(), passages.schema[passage_id].dataType.simpleString()
-    schema = f"doc_id {kinds[0]}, passage_id {kinds[1]}, share double"
-    id_type = {"bigint": pa.int64(), "int": pa.int32(), "string": pa.string()}
-    result: DataFrame | None = None
-    rows = passages.select(passage_id, text).where(f"{passage_id} IS NOT NULL").orderBy(passage_id).toLocalIterator(prefetchPartitions=False)
-    batch: list[tuple] = []
-
-    def one_block(part: list[tuple]) -> DataFrame:
-        shared = spark.sparkContext.broadcast(part)
-
-        def search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            index = PassageBlock(shared.value)
-            for b in batches:
-                found = [(i, *leak) for i, t in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), strict=True) for leak in index.leaks(plain_words(t))]
-                cols = list(zip(*found, strict=True)) or [(), (), ()]
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(cols[0], id_type[kinds[0]]), pa.array(cols[1], id_type[kinds[1]]), pa.array(cols[2], pa.float64())], names=["doc_id", "passage_id", "share"]
-                )
-
-        return docs.select(doc_id, text).mapInArrow(search, schema)
-
-    for row in rows:
-        batch.append(tuple(row))
-        if len(batch) == block:
-            part = one_block(batch)
-            result, batch = (part if result is None else result.unionByName(part)), []
-    if batch:
-        part = one_block(batch)
-        result = part if result is None else result.unionByName(part)
-    return spark.createDataFrame([], schema) if result is None else result
+    scratch = Scratch(spark, "leaks")
+    doc_kind = docs.schema[doc_id].dataType.simpleString()
+    named = scratch.keep(_passage_words(passages, passage_id, text).where(F.col("n") >= LEAST_WORDS), "passages")
+    # Equal passages are one for all that follows.
+    texts = named.select("w", "n").distinct()
+    seeds = scratch.keep(_passage_seeds(texts), "seeds")
+    total = texts.count()
+    shape = f"doc_id {doc_kind}, passage_id {passages.schema[passage_id].dataType.simpleString()}, share double"
+    if not total:
+        return spark.createDataFrame([], shape)
+
+    # Seeds for the join: the rare ones; all of them for a passage whose rare ones span less than half of it.
+    spaced = seeds.where("NOT three").select("w", "hash", "place")
+    spread = spaced.groupBy("hash").agg(F.count_distinct("w").alias("df"))
+    ranked = spaced.join(spread, "hash").withColumn("rare", F.col("df") <= F.lit(max(COMMON_LEAST, COMMON * total)))
+    rare = ranked.where("rare").groupBy("w").agg(_spanned(F.sort_array(F.collect_set("place"))).alias("rare_span"))
+    sized = texts.join(rare, "w", "left").withColumn("enough", F.coalesce(F.col("rare_span") >= F.col("n") / 2, F.lit(False)))
+    wanted = scratch.keep(ranked.join(sized, "w").where("rare OR NOT enough").select("w", "hash", "place"), "wanted")
+    needs = wanted.groupBy("w").agg(_spanned(F.sort_array(F.collect_set("place"))).alias("span"))
+    needs = scratch.keep(needs.withColumn("need", F.col("span") * F.lit(SPANNED)), "needs")
+    least = needs.agg(F.min("need")).first()[0]
+    least_hits = max(1, int(np.ceil(float(least or 0) / len(MASKS[-1]))))
+    threes = seeds.where("three").select("hash").distinct()
+    hashes = wanted.select("hash").unionByName(threes).distinct()
+    shared = spark.sparkContext.broadcast(_bitmap(hashes, hashes.count()))
+
+    def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        numbers, known = _Numbers(), Bitmap(shared.value)
+        for b in batches:
+            words, ends = _numbered(b.column(1).to_pylist(), numbers)
+            owner = np.repeat(np.arange(len(ends)), np.diff(ends, prepend=0))
+            value, at = _all_seeds(words, owner, MASKS)
+            hit = known.may_hold(value)
+            value, whose = value[hit], owner[at[hit]]
+            order = np.argsort(whose, kind="stable")
+            value, whose = value[order], whose[order]
+            first, last = np.searchsorted(whose, np.arange(len(ends)), "left"), np.searchsorted(whose, np.arange(len(ends)), "right")
+            take = np.flatnonzero(last - first >= least_hits)
+            found = [np.unique(value[first[k] : last[k]]).view(np.int64) for k in take]
+            three, at = _seeds(words, owner, _THREE)
+            hit = known.may_hold(three)
+            three, whose = three[hit], owner[at[hit]]
+            order = np.lexsort((three, whose))
+            three, whose = three[order], whose[order]
+            fresh = np.append(True, (three[1:] != three[:-1]) | (whose[1:] != whose[:-1])) if len(three) else np.zeros(0, bool)
+            runs, n = np.unique(three[fresh], return_counts=True)
+            rest = len(runs) + 1
+            blank = pa.nulls(rest)
+            yield pa.RecordBatch.from_arrays(
+                [
+                    pa.concat_arrays([b.column(0).take(pa.array(take)), blank.cast(b.column(0).type)]),
+                    pa.array([*[words[ends[k - 1] if k else 0 : ends[k]].tobytes() for k in take], *[None] * rest], pa.binary()),
+                    pa.array([*found, *[None] * rest], pa.list_(pa.int64())),
+                    pa.array([*[None] * len(take), *runs.view(np.int64).tolist(), None], pa.int64()),
+                    pa.array([*[None] * len(take), *n.tolist(), len(ends)], pa.int64()),
+                    pa.array([*["docs"] * len(take), *["counts"] * rest], pa.string()),
+                ],
+                names=["doc_id", "words", "seeds", "hash", "n", "kind"],
+            )
+
+    scanned = scratch.keep(docs.select(doc_id, text).mapInArrow(scan, f"doc_id {doc_kind}, words binary, seeds array<long>, hash long, n long, kind string"), "scan", partition_by="kind")
+    near = scanned.where("kind = 'docs'").select("doc_id", "words", "seeds")
+    counts = scanned.where("kind = 'counts'").groupBy("hash").agg(F.sum("n").alias("n"))
+    all_docs = counts.where("hash IS NULL").agg(F.sum("n")).first()[0] or 0
+
+    # The information of each run of three words, by how common it is in the corpus.
+    idf = F.log((F.lit(all_docs) + 1.0) / (F.coalesce("n", F.lit(0)) + 1.0)) + 0.05
+    informed = seeds.where("three").select("w", "hash", "place").join(counts.where("hash IS NOT NULL"), "hash", "left").select("w", "place", idf.alias("idf"))
+    weights = informed.groupBy("w").agg(F.transform(F.array_sort(F.collect_list(F.struct("place", "idf"))), lambda x: x["idf"]).alias("idf"))
+
+    hits = near.select("doc_id", F.explode("seeds").alias("hash")).join(wanted, "hash")
+    pairs = hits.groupBy("doc_id", "w").agg(F.sort_array(F.collect_set("place")).alias("places"))
+    pairs = pairs.join(needs, "w").where(_spanned(F.col("places")) >= F.col("need")).select("doc_id", "w")
+    cases = pairs.join(near.select("doc_id", "words"), "doc_id").join(weights, "w")
+
+    def align(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            kept, shares = [], []
+            for k, (w, words, idf) in enumerate(zip(b.column(1).to_pylist(), b.column(2).to_pylist(), b.column(3), strict=True)):
+                share, information = alignment(np.frombuffer(w, np.uint32), idf.values.to_numpy(zero_copy_only=False), np.frombuffer(words, np.uint32))
+                if share >= SHARE and information >= INFORMED:
+                    kept.append(k)
+                    shares.append(round(share, 4))
+            yield pa.RecordBatch.from_arrays([b.column(0).take(pa.array(kept, pa.int64())), b.column(1).take(pa.array(kept, pa.int64())), pa.array(shares, pa.float64())], names=["doc_id", "w", "share"])
+
+    leaks = cases.select("doc_id", "w", "words", "idf").mapInArrow(align, f"doc_id {doc_kind}, w binary, share double")
+    return leaks.join(named.select("w", "passage_id"), "w").select("doc_id", "passage_id", "share")
