@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -123,7 +124,7 @@ def _mix(spark: SparkSession, d: str) -> mixing.Mix:
 
 
 def p8_found(spark: SparkSession, d: str) -> DataFrame:
-    return _mix(spark, d).shares.where("short").select("mix_id", "source")
+    return _mix(spark, d).shares.where("short AND source IS NOT NULL").select("mix_id", "source")
 
 
 def p8_shares(spark: SparkSession, d: str) -> DataFrame:
@@ -146,7 +147,24 @@ def p9_restored(spark: SparkSession, d: str) -> DataFrame:
     return _garbled(spark, d)
 
 
-QUERIES = {f.__name__: f for f in (p2_found, p2_splits, p2_shares, p3_found, p3_top, p4_found, p4_same_class, p5_found, p5_sample, p5_report, p6_found, p6_group_sizes, p7_found, p7_leaked_passages, p8_found, p8_shares, p8_mix, p9_found, p9_restored)}
+#: German texts of which the letters and signs tell that they aren't garbled.
+_CLEAN = "^[\\x01-\\x7eäöüßÄÖÜ„“–…°×’‚‘±]*[äöüß][\\x01-\\x7eäöüßÄÖÜ„“–…°×’‚‘±]*$"
+
+
+def p9_round_trip(spark: SparkSession, d: str) -> DataFrame:
+    """Clean German documents, garbled as UTF-8 read as cp1252 and added to all documents under negative ids: what is restored of them."""
+    docs = table(spark, d, "documents").select("doc_id", "text")
+
+    @F.pandas_udf("string")
+    def garble(texts: pd.Series) -> pd.Series:
+        return texts.map(lambda t: t.encode("utf-8").decode("cp1252"))
+
+    planted = docs.where(F.col("text").rlike(_CLEAN)).select((-F.col("doc_id") - 1).alias("doc_id"), garble("text").alias("text"))
+    found = mojibake.find_garbled(spark, docs.unionByName(planted))
+    return found.where("doc_id < 0").select((-F.col("doc_id") - 1).alias("doc_id"), F.col("restored").alias("text"))
+
+
+QUERIES = {f.__name__: f for f in (p2_found, p2_splits, p2_shares, p3_found, p3_top, p4_found, p4_same_class, p5_found, p5_sample, p5_report, p6_found, p6_group_sizes, p7_found, p7_leaked_passages, p8_found, p8_shares, p8_mix, p9_found, p9_restored, p9_round_trip)}
 
 _IDENT = r"regexp_replace(regexp_extract(lower({0}), '(?:^|[/\\])\s*(?:(?:plastic|paper|cardboard|metal|glass|organic|wilderness)__)?([^/\\]*?)\s*(?:\.(?:jpg|jpeg|png|bmp|webp|txt))?\s*$', 1), '\s+', '', 'g')"
 
@@ -174,6 +192,7 @@ u AS (SELECT a, b FROM e UNION SELECT b, a FROM e),
 reach(v, w) AS (SELECT a, a FROM u UNION SELECT r.v, u.b FROM reach r JOIN u ON u.a = r.w)"""
 
 SQL = {
+    "p9_round_trip": f"SELECT doc_id, text FROM documents WHERE regexp_matches(text, '{_CLEAN}')",
     "p2_found": f"""WITH {_CURRENT}, torn AS (SELECT run_id, g FROM cur WHERE g IS NOT NULL GROUP BY 1, 2 HAVING count(DISTINCT sp) > 1)
 SELECT run_id, k AS key FROM cur WHERE (run_id, g) IN (SELECT run_id, g FROM torn) OR (src = lo AND sp <> 'test') OR (sp = 'test' AND src IS DISTINCT FROM lo)""",
     "p3_found": f"""WITH d AS (SELECT {ident_sql('object_id')} AS o, image_id, class_id, score, severity, min(det_id) AS det_id FROM detections

@@ -103,15 +103,50 @@ def test_maximal_segments(seed):
     assert len(got) == len(want)
 
 
-def test_long_text(spark, table):
-    docs, want = table
-    pairs, n = np.unique(mj._codes(docs)[:-1] * mj._BASE + mj._codes(docs)[1:], return_counts=True)
-    model = mj.PairModel(pairs, n, {})
+def model_of(texts):
+    codes = mj._codes(texts)
+    pairs, n = np.unique(codes[:-1] * mj._BASE + codes[1:], return_counts=True)
+    return mj.PairModel.of(pairs, n)
+
+
+def test_long_text(corpus):
+    model = model_of([t for _, t in corpus])
     text = SENTENCES["fr"] * 3000
     assert mj.restore(text, model) == (None, None)
     assert mj.restore(text + garbled(SENTENCES["de"], "utf-8", "cp1252"), model)[0] == text + SENTENCES["de"]
 
 
+def test_mutual_information_and_not_frequency():
+    """Ten times as many of a character, all in the same company: pair frequency would move by 3.3 bits, mutual information doesn't."""
+    base = ["the lané of thé thing that rané on and on to a plané " * 20, "no accents stand in the rest of this text and it is long " * 5000]
+    pair = ord("n") * mj._BASE + ord("é")
+    scores = []
+    for times in (1, 10):
+        codes = mj._codes(base)
+        pairs, n = np.unique(codes[:-1] * mj._BASE + codes[1:], return_counts=True)
+        odd = (pairs // mj._BASE == ord("é")) | (pairs % mj._BASE == ord("é"))
+        scores.append(float(mj.PairModel.of(pairs, np.where(odd, n * times, n) * 50).information(np.array([pair]))[0]))
+    assert abs(scores[0] - scores[1]) < 0.5
+
+
+def test_a_rare_character_is_fine_where_it_belongs(corpus):
+    texts = [t for _, t in corpus] + ["the word naïve is rare", "it is naïve too", "naïve words"]
+    model = model_of(texts)
+    assert mj.restore("a naïve one", model) == (None, None)
+    assert mj.improbable_runs("a na" + garbled("ï", "utf-8", "cp1252") + "ve one", model)
+
+
+def test_quoted_replacement_characters_are_no_loss(spark, corpus):
+    texts = [t for _, t in corpus] + ['decoders write "\ufffd" for a byte that is none', "the caf\ufffd is closed", "at 12 \ufffdC outside"]
+    got = mj.find_garbled(spark, spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string"))
+    assert {(r["doc_id"] - len(corpus), r["undone"]) for r in got.collect()} == {(1, "lost"), (2, "lost")}
+
+
+def test_unspaced_scripts_have_no_words():
+    text = "中文句子没有空格é 日本語のテキスト"
+    assert [text[a:b] for a, b in mj.odd_words(text)] == ["é"]
+
+
 def test_counting_in_chunks(corpus, monkeypatch):
     texts = [t for _, t in corpus[:60]] + ["x" * 250, "ab" * 200, "é"]
     codes = mj._codes(texts)
@@ -128,17 +163,18 @@ def test_counting_in_chunks(corpus, monkeypatch):
     assert all(abs(got[k] - want[k]) <= 0 for k in ends)
 
 
-def test_every_garbled_passage_is_restored(table, corpus):
+def test_every_garbled_passage_is_restored(corpus):
     texts = [t for _, t in corpus]
     words = {}
     for t in texts:
         for a, b in mj.odd_words(t):
             words[t[a:b]] = words.get(t[a:b], 0) + 1
-    codes = mj._codes(texts)
-    pairs, n = np.unique(codes[:-1] * mj._BASE + codes[1:], return_counts=True)
-    model = mj.PairModel(pairs, n, words)
+    model = model_of(texts)
     de, ru, fr = SENTENCES["de"], SENTENCES["ru"], SENTENCES["fr"]
-    two = garbled(de, "cp1252", "cp437") + "\n" + fr + "\n" + garbled(ru, "cp1251", "cp1252")
-    assert mj.restore(two, model)[0] == de + "\n" + fr + "\n" + ru
-    mixed = garbled(de, "utf-8", "cp1252") + "\n" + fr + "\n" + garbled(ru, "cp1251", "cp1252")
-    assert mj.restore(mixed, model)[0] == de + "\n" + fr + "\n" + ru
+
+    def check(bad, good):
+        known = mj.options_of(words | {bad[a:b]: 1 for a, b in mj.odd_words(bad) if bad[a:b] not in words})
+        assert mj.restore(bad, model, known)[0] == good
+
+    check(garbled(de, "cp1252", "cp437") + "\n" + fr + "\n" + garbled(ru, "cp1251", "cp1252"), de + "\n" + fr + "\n" + ru)
+    check(garbled(de, "utf-8", "cp1252") + "\n" + fr + "\n" + garbled(ru, "cp1251", "cp1252"), de + "\n" + fr + "\n" + ru)
