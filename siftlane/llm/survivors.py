@@ -5,8 +5,9 @@ to) form a bundle, which is taken whole from one member or not at all. A candida
 rank by the trust in it and *determinants*: values that functional dependencies between bundles compare (two bundles that name the same
 determinant must agree on it).
 
-For a group, branch and bound picks one candidate per bundle: bundles in order of importance, candidates from the most
-trusted, a branch is cut when its cost plus the least cost of the open bundles can't beat the best found. Only the
+For a group, branch and bound picks one candidate per bundle. Bundles have a level of importance: no gain in a lower level makes
+up for a loss in a higher one, within a level costs add up. Bundles are taken in order of importance, candidates from the most
+trusted; a branch is cut when its costs plus the least costs of the open bundles can't beat the best found. Only the
 most trusted candidate of each distinct determinant tuple can be part of an optimum, so only these leave the
 aggregation: a group of any size sends its few distinct determinants to a task, never its members.
 """
@@ -16,30 +17,35 @@ from __future__ import annotations
 from collections.abc import Mapping, Sequence
 
 import pandas as pd
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from siftlane.functions.idents import class_of_key, has_label, item_ident, source_of_ident
 from siftlane.session import ship_package
 
-#: Cost of leaving a bundle empty; more than any rank.
+#: Cost of leaving a bundle empty; more than any rank of its level.
 EMPTY = 1 << 40
 
 
-def branch_and_bound(bundles: Sequence[Sequence[tuple[int, Mapping[str, str | None]]]], weights: Sequence[float]) -> list[int | None]:
+def branch_and_bound(bundles: Sequence[Sequence[tuple[int, Mapping[str, str | None]]]], levels: Sequence[int] | None = None) -> list[int | None]:
     """For each bundle the position of the chosen candidate, None where none fits; candidates are (rank, determinants).
 
-    Minimises the weighted sum of ranks, of equal sums the one that is better in the earlier bundle. A NULL determinant agrees with everything.
+    levels: the level of each bundle from 0, by default all 0. Minimises the sums of ranks level by level, of equal sums the one that is better in
+    the earlier bundle. A NULL determinant agrees with everything.
     """
     n = len(bundles)
+    level = list(levels or [0] * n)
+    depth = max(level, default=0) + 1
     order = [sorted(range(len(b)), key=lambda i, b=b: b[i][0]) for b in bundles]
-    least = [0.0] * (n + 1)
+    # What the bundles from k on cost at least, level by level.
+    least = [(0,) * depth]
     for k in range(n - 1, -1, -1):
-        least[k] = least[k + 1] + weights[k] * min([EMPTY, *(bundles[k][i][0] for i in order[k][:1])])
-    best: list = [float("inf"), [None] * n]
+        least.append(_added(least[-1], level[k], min([EMPTY, *(bundles[k][i][0] for i in order[k][:1])])))
+    least.reverse()
+    best: list = [None, [None] * n]
 
-    def descend(k: int, cost: float, taken: list, known: dict) -> None:
-        if cost + least[k] >= best[0]:
+    def descend(k: int, cost: tuple[int, ...], taken: list, known: dict) -> None:
+        if best[0] is not None and tuple(map(sum, zip(cost, least[k], strict=True))) >= best[0]:
             return
         if k == n:
             best[:] = [cost, list(taken)]
@@ -48,30 +54,33 @@ def branch_and_bound(bundles: Sequence[Sequence[tuple[int, Mapping[str, str | No
             rank, det = bundles[k][i]
             if any(v is not None and known.get(d, v) != v for d, v in det.items()):
                 continue
-            descend(k + 1, cost + weights[k] * rank, [*taken, i], known | {d: v for d, v in det.items() if v is not None})
-        descend(k + 1, cost + weights[k] * EMPTY, [*taken, None], known)
+            descend(k + 1, _added(cost, level[k], rank), [*taken, i], known | {d: v for d, v in det.items() if v is not None})
+        descend(k + 1, _added(cost, level[k], EMPTY), [*taken, None], known)
 
-    descend(0, 0.0, [], {})
+    descend(0, (0,) * depth, [], {})
     return best[1]
 
 
-def best_representative(candidates: DataFrame, bundles: Sequence[str], weights: Mapping[str, float] | None = None) -> DataFrame:
+def _added(cost: tuple[int, ...], level: int, rank: int) -> tuple[int, ...]:
+    return (*cost[:level], cost[level] + rank, *cost[level + 1 :])
+
+
+def best_representative(candidates: DataFrame, bundles: Sequence[str], levels: Mapping[str, int] | None = None) -> DataFrame:
     """``group, bundle, candidate``: the bundles chosen for each group; a bundle that stays empty has no row.
 
     candidates: ``group, bundle, trust, determinants, candidate``; ``trust`` is any orderable value of which smaller is
     more trusted, equal within a bundle only for interchangeable candidates; ``determinants`` a map from string to string (empty
     or NULL: unconstrained); ``candidate`` a string that names the source of the bundle. Rows without group or candidate are
-    left out. The trust is turned into ranks among the few candidates that survive the aggregation.
+    left out. ``levels``: see `branch_and_bound`. The trust is turned into ranks among the few candidates that survive the aggregation; determinants
+    should be columns of few values in a group (a class, a source's priority), since each distinct tuple is an option.
     """
     ship_package(candidates.sparkSession)
-    weight = dict(weights or {b: 1.0 for b in bundles})
-    names, factors = list(bundles), [weight[b] for b in bundles]
+    names, level = list(bundles), [(levels or {}).get(b, 0) for b in bundles]
     rows = candidates.select("group", "bundle", "trust", "determinants", "candidate").where(F.col("group").isNotNull() & F.col("candidate").isNotNull())
     det = F.to_json(F.map_from_entries(F.array_sort(F.map_entries(F.coalesce("determinants", F.create_map().cast("map<string,string>"))))))
     kept = rows.withColumn("det", det).groupBy("group", "bundle", "det").agg(F.min(F.struct("trust", "candidate")).alias("top"))
     options = kept.groupBy("group", "bundle").agg(F.sort_array(F.collect_list(F.struct("top", "det"))).alias("o"))
     slim = options.select("group", "bundle", F.col("o.top.candidate").alias("candidates"), F.col("o.det").alias("dets"))
-    # A group whose bundles have one determinant each needs no search: its first candidates can't contradict one another if they share none.
     per_group = slim.groupBy("group").agg(F.collect_list(F.struct("bundle", "candidates", "dets")).alias("b"))
 
     def choose(batches):
@@ -82,7 +91,7 @@ def best_representative(candidates: DataFrame, bundles: Sequence[str], weights:
             for group, rows_ in zip(pdf["group"], pdf["b"], strict=True):
                 by = {r["bundle"]: r for r in rows_}
                 lists = [[(i, json.loads(d)) for i, d in enumerate(by[b]["dets"])] if b in by else [] for b in names]
-                for b, pick in zip(names, branch_and_bound(lists, factors), strict=True):
+                for b, pick in zip(names, branch_and_bound(lists, level), strict=True):
                     if pick is not None:
                         out.append((group, b, by[b]["candidates"][pick]))
             yield pd.DataFrame(out, columns=["group", "bundle", "candidate"])
@@ -105,15 +114,22 @@ def duplicate_members(dropped: DataFrame, items: DataFrame) -> DataFrame:
 
 
 def label_candidates(members: DataFrame, items: DataFrame, specs: DataFrame) -> DataFrame:
-    """Candidates for the label bundle: members with a label; trust is the source's priority, then the key.
+    """Candidates for the bundles ``priority`` and ``label``: members with a label.
 
-    items are item rows (``key, label``); any row's label counts. A source without a priority comes last.
+    A key determines its source, and the source its priority: the best priority is chosen first, then the smallest key of that priority. items
+    are item rows (``key, label``); any row's label counts. A source without a priority comes last.
     """
     labelled = items.where(has_label(F.col("label"))).select(item_ident(F.col("key")).alias("ident")).distinct()
     ranks = specs.select(F.regexp_replace(F.lower(F.trim("source")), r"[\s_]+", "-").alias("source"), "priority").where("source IS NOT NULL").groupBy("source").agg(F.min("priority").alias("priority"))
     with_label = members.select("group_key", "key", "ident").join(labelled, "ident").withColumn("source", source_of_ident(F.col("ident"))).join(ranks, "source", "left")
-    trust = F.struct(F.coalesce("priority", F.lit(2**31 - 1)).cast("double").alias("first"), F.lit(0.0).alias("second"), F.col("key").alias("third"))
-    return with_label.select(F.col("group_key").alias("group"), F.lit("label").alias("bundle"), trust.alias("trust"), F.col("key").alias("candidate"), class_of_key(F.col("key")).alias("class"))
+    first = F.coalesce("priority", F.lit(2**31 - 1))
+    trust = lambda value, text: F.struct(value.cast("double").alias("first"), F.lit(0.0).alias("second"), text.alias("third"))
+    bundles = F.array(
+        F.struct(F.lit("priority").alias("bundle"), trust(first, F.lit("")).alias("trust"), first.cast("string").alias("candidate")),
+        F.struct(F.lit("label").alias("bundle"), trust(F.lit(0), F.col("key")).alias("trust"), F.col("key").alias("candidate")),
+    )
+    listed = with_label.select(F.col("group_key").alias("group"), F.explode(bundles).alias("b"), first.cast("string").alias("priority"), class_of_key(F.col("key")).alias("class"))
+    return listed.select("group", "b.bundle", "b.trust", "b.candidate", "priority", F.when(F.col("b.bundle") == "label", F.col("class")).alias("class"))
 
 
 def box_candidates(members: DataFrame, records: DataFrame) -> DataFrame:
@@ -130,24 +146,21 @@ def box_candidates(members: DataFrame, records: DataFrame) -> DataFrame:
         F.lpad(F.col("record_id").cast("string"), 20, "0").alias("third"),
     )
     found = members.select("group_key", "key", "ident").join(usable, "ident")
-    return found.select(F.col("group_key").alias("group"), F.lit("box").alias("bundle"), trust.alias("trust"), F.col("record_id").cast("string").alias("candidate"), class_of_key(F.col("key")).alias("class"))
-
-
-def _free() -> Column:
-    return F.create_map().cast("map<string,string>").alias("determinants")
+    return found.select(F.col("group_key").alias("group"), F.lit("box").alias("bundle"), trust.alias("trust"), F.col("record_id").cast("string").alias("candidate"), F.lit(None).cast("string").alias("priority"), class_of_key(F.col("key")).alias("class"))
 
 
 def representatives(members: DataFrame, items: DataFrame, specs: DataFrame, records: DataFrame, same_class: bool = False) -> DataFrame:
     """``group_key, label_key, record_id``: '' and 0 where a group has no label or no usable record.
 
-    With ``same_class`` the class of the item is a determinant of both bundles: the box must then come from an item of the class the label
-    names, and a record of another class is not taken however recent it is.
+    With ``same_class`` the class of the item is a determinant of label and box: the box must then come from an item of the class the label
+    names, and a record of another class is not taken however recent it is. A group without a label takes any box.
     """
-    det = F.create_map(F.lit("class"), F.col("class")).alias("determinants") if same_class else _free()
+    named = ("priority", "class") if same_class else ("priority",)
+    det = F.map_from_entries(F.filter(F.array(*[F.struct(F.lit(d).alias("key"), F.col(d).alias("value")) for d in named]), lambda e: e["value"].isNotNull())).alias("determinants")
     cols = ["group", "bundle", "trust", "candidate", det]
     candidates = label_candidates(members, items, specs).select(*cols).unionByName(box_candidates(members, records).select(*cols))
-    # Labels first: no gain in boxes, not even one for none, makes up for a rank of trust in the label.
-    chosen = best_representative(candidates, ["label", "box"], {"label": 1.0, "box": 0.5 / EMPTY})
+    # Level by level: no gain in a label makes up for a source less trusted, and none in boxes for a label.
+    chosen = best_representative(candidates, ["priority", "label", "box"], {"priority": 0, "label": 1, "box": 2})
     wide = chosen.groupBy("group").agg(F.max(F.when(F.col("bundle") == "label", F.col("candidate"))).alias("label_key"), F.max(F.when(F.col("bundle") == "box", F.col("candidate"))).alias("record"))
     groups = members.select("group_key").distinct()
     return groups.join(wide, F.col("group_key") == F.col("group"), "left").select(

@@ -11,8 +11,15 @@ from siftlane.llm import survivors as sv
 from tests.conftest import rows
 
 
-def brute(bundles, weights):
-    best, pick = None, None
+def cost(bundles, levels, picks):
+    out = [0] * (max(levels) + 1)
+    for k, (i, level) in enumerate(zip(picks, levels, strict=True)):
+        out[level] += sv.EMPTY if i is None else bundles[k][i][0]
+    return out
+
+
+def brute(bundles, levels):
+    best = None
     for combo in product(*[[*range(len(b)), None] for b in bundles]):
         known: dict = {}
         fine = True
@@ -21,22 +28,25 @@ def brute(bundles, weights):
                 for d, v in bundles[k][i][1].items():
                     if v is not None:
                         fine &= known.setdefault(d, v) == v
-        cost = sum(w * (sv.EMPTY if i is None else bundles[k][i][0]) for k, (i, w) in enumerate(zip(combo, weights, strict=True)))
-        if fine and (best is None or cost < best):
-            best, pick = cost, combo
-    return best, pick
-
+        if fine and (best is None or cost(bundles, levels, combo) < best):
+            best = cost(bundles, levels, combo)
+    return best
 
-def cost(bundles, weights, picks):
-    return sum(w * (sv.EMPTY if i is None else bundles[k][i][0]) for k, (i, w) in enumerate(zip(picks, weights, strict=True)))
 
-
-@pytest.mark.parametrize("seed", range(30))
-def test_search_equals_all_combinations(seed):
+@pytest.mark.parametrize("levels", [(0, 0, 0), (0, 1, 1), (0, 1, 2), (1, 0, 1)])
+@pytest.mark.parametrize("seed", range(20))
+def test_search_equals_all_combinations(seed, levels):
     rng = random.Random(seed)
     bundles = [[(r, {"x": rng.choice("ab") if rng.random() < 0.8 else None, "y": rng.choice("pq")}) for r in rng.sample(range(9), rng.randint(0, 4))] for _ in range(3)]
-    weights = [1.0, 0.1, 0.01]
-    assert cost(bundles, weights, sv.branch_and_bound(bundles, weights)) == pytest.approx(brute(bundles, weights)[0])
+    assert cost(bundles, levels, sv.branch_and_bound(bundles, levels)) == brute(bundles, levels)
+
+
+def test_an_empty_bundle_of_a_lower_level_costs_no_trust():
+    """The most trusted label's class lacks a box."""
+    label = [(0, {"class": "paper"}), (1, {"class": "metal"})]
+    box = [(0, {"class": "metal"})]
+    assert sv.branch_and_bound([label, box], [0, 1]) == [0, None]
+    assert sv.branch_and_bound([label, box], [0, 0]) == [1, 0]
 
 
 T = datetime(2025, 1, 1)
