@@ -1,48 +1,40 @@
 """The N best rows of every group, by descending score bands.
 
-The rows are staged once, range-partitioned by score band. Bands are taken from the top: within a band
+The rows are staged once, range-partitioned by score band; the bands are quantiles of the score. Bands are taken from the top: within a band
 every group keeps its first N rows by the exact order, groups that higher bands have filled are
-anti-joined away, and a group that higher bands have filled in part takes only what it lacks. Equal
+anti-joined away before anything of theirs is shuffled or ranked, and a group that higher bands have filled in part takes only what it lacks. Equal
 scores share a band, so ties never cross a boundary and the order inside a band settles them.
 
+The anti-join is a broadcast of the filled groups, or a semi-join with the groups that are still open, where the smaller of the two has at most
+``LISTED`` keys by count; beyond that hot groups (more than 1/``HOT`` of all rows, so fewer than ``HOT``) go by a broadcast, and the others by a
+shuffled anti-join, which no hot key burdens.
+
 Hot groups: rows that are the same item are merged by a partial aggregation before any shuffle, on
 a hash of the whole order, which spreads a hot group; the ranking then sends at most N rows of a
-group per task to one place (the rank limit runs before its shuffle). Groups with more than
-1/``HOT`` of all rows (there can't be more than ``HOT`` of these) are dropped from a lower band by a
-broadcast of that bounded list as soon as they are full, before anything of theirs is shuffled.
+group per task to one place: the rank limit runs before its shuffle, by itself up to Spark's ``RANKED``, and over hashed parts of a
+group beyond that.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from siftlane.session import Scratch
 
-HOT = 1000
-#: Cells of the score histogram from which the bands are cut.
-CELLS = 256
+HOT, LISTED = 1000, 500_000
+#: Largest N for which Spark limits ranks before their shuffle, and rows of a group in one part for larger ones.
+RANKED, PART_ROWS = 1000, 500_000
 
 
 def band_edges(scored: DataFrame, score: str, bands: int) -> list[float]:
-    """Lower edges of ``bands`` bands of about equal row counts, from the top; the last is minus infinity.
-
-    One pass counts rows by cell of the observed score range, a table of at most ``CELLS`` rows.
-    """
-    low, high = scored.agg(F.min(score), F.max(score)).first()
-    if low is None or low == high:
+    """Lower edges of at most ``bands`` bands of about equal row counts, from the top; the last is minus infinity. One pass."""
+    if bands < 2:
         return [float("-inf")]
-    width = (float(high) - float(low)) / CELLS
-    cell = F.least(F.floor((F.col(score) - float(low)) / width), F.lit(CELLS - 1)).alias("cell")
-    counts = {int(r["cell"]): r["n"] for r in scored.groupBy(cell).agg(F.count("*").alias("n")).collect()}
-    total, seen, edges = sum(counts.values()), 0, []
-    for c in sorted(counts, reverse=True):
-        seen += counts[c]
-        if len(edges) < bands - 1 and seen >= total * (len(edges) + 1) / bands:
-            edges.append(float(low) + c * width)
-    return [*edges, float("-inf")]
+    cuts, low = scored.agg(F.percentile_approx(score, [1 - k / bands for k in range(1, bands)], 10_000), F.min(score)).first()
+    return [*sorted({float(c) for c in cuts or () if c > low}, reverse=True), float("-inf")]
 
 
 def top_n(
@@ -72,7 +64,10 @@ def top_n(
     for b in range(len(edges) - 2, -1, -1):
         band_of = F.when(F.col(score) >= F.lit(edges[b]), F.lit(b)).otherwise(band_of)
     staged = scratch.keep(clean.withColumn("band", band_of.cast("int")), "rows", partition_by="band")
-    total_hot = _hot_groups(staged, group)
+    sizes = scratch.keep(staged.groupBy(group).agg(F.count("*").alias("rows_of_group")), "sizes")
+    groups, everything, largest = sizes.agg(F.count("*"), F.sum("rows_of_group"), F.max("rows_of_group")).first()
+    hot = sizes.where(F.col("rows_of_group") > (everything or 0) / HOT).select(group)
+    parts = -(-(largest or 0) // PART_ROWS) if n > RANKED else 1
 
     order = [F.col(score).desc(), *[F.col(t).asc_nulls_first() for t in ties]]
     full: DataFrame | None = None  # group, have: what higher bands gave
@@ -80,10 +75,18 @@ def top_n(
     for b in range(len(edges)):
         band = staged.where(F.col("band") == b)
         if full is not None:
-            done = full.where(F.col("have") >= n)
-            hot_done = total_hot.join(done, group, "left_semi")
-            band = band.join(F.broadcast(hot_done), group, "left_anti")
+            done = full.where(F.col("have") >= n).select(group)
+            closed = done.count()
+            if closed <= LISTED:
+                band = band.join(F.broadcast(done), group, "left_anti")
+            elif groups - closed <= LISTED:
+                band = band.join(F.broadcast(sizes.select(group).join(done, group, "left_anti")), group, "left_semi")
+            else:
+                band = band.join(F.broadcast(hot.join(done, group, "left_semi")), group, "left_anti").join(done, group, "left_anti")
         items = band.groupBy(*cols).agg(F.min(row_id).alias(row_id))
+        if parts > 1:
+            inside = Window.partitionBy(group, "part").orderBy(*order)
+            items = items.withColumn("part", F.pmod(F.xxhash64(row_id), F.lit(parts))).withColumn("place", F.row_number().over(inside)).where(F.col("place") <= n).drop("part", "place")
         ranked = items.withColumn("rank", F.row_number().over(Window.partitionBy(group).orderBy(*order))).where(F.col("rank") <= n)
         if full is not None:
             ranked = (
@@ -99,16 +102,9 @@ def top_n(
             if full is not None:
                 counts = full.unionByName(counts).groupBy(group).agg(F.max("have").alias("have"))
             full = scratch.keep(counts, f"full{b}")
-    for name in ["rows", *[f"full{b}" for b in range(len(edges) - 1)]]:
+    for name in ["rows", "sizes", *[f"full{b}" for b in range(len(edges) - 1)]]:
         scratch.drop(name)
     out = results[0]
     for more in results[1:]:
         out = out.unionByName(more)
     return out
-
-
-def _hot_groups(staged: DataFrame, group: str) -> DataFrame:
-    """The groups with more than 1/HOT of all rows: fewer than HOT by their definition."""
-    sizes = staged.groupBy(group).agg(F.count("*").alias("rows_of_group"))
-    limit: Column = F.lit(staged.count() / HOT)
-    return sizes.where(F.col("rows_of_group") > limit).select(group)

@@ -5,6 +5,7 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
+from siftlane.llm import top_items
 from siftlane.llm.top_items import band_edges, top_n
 from tests.conftest import rows
 
@@ -37,6 +38,31 @@ def test_equal_to_sorting(spark, n, bands):
     assert rows(top_n(spark, df, "g", "score", ["tie"], "id", n=n, bands=bands), "g", "score", "tie", "id", "rank") == brute(data, n)
 
 
+def made(rng, rows_, groups):
+    return [(rng.choice(["hot"] * 5 + [f"g{k}" for k in range(groups)]), round(rng.random(), 4), rng.choice(["a", "b", None]), i, 7, 7, 7) for i in range(rows_)]
+
+
+def test_more_items_than_spark_limits_ranks_for(spark, monkeypatch):
+    monkeypatch.setattr(top_items, "PART_ROWS", 1000)
+    data = made(random.Random(8), 12_000, 2)
+    df = spark.createDataFrame(data, SCHEMA)
+    assert rows(top_n(spark, df, "g", "score", ["tie"], "id", n=2000), "g", "score", "tie", "id", "rank") == brute(data, 2000)
+
+
+@pytest.mark.parametrize("listed", [0, 20])
+def test_every_way_of_leaving_filled_groups_out(spark, monkeypatch, listed):
+    monkeypatch.setattr(top_items, "LISTED", listed)
+    data = made(random.Random(9), 3000, 60)
+    df = spark.createDataFrame(data, SCHEMA)
+    assert rows(top_n(spark, df, "g", "score", ["tie"], "id"), "g", "score", "tie", "id", "rank") == brute(data, 3)
+
+
+def test_bands_where_scores_pile_up(spark):
+    df = spark.createDataFrame([(0.0,), *[(1 - 1e-6 * (x % 997),) for x in range(2000)]], "score double")
+    sizes = [df.where(F.col("score") >= e).count() for e in band_edges(df, "score", 4)]
+    assert len(sizes) == 4 and 300 < sizes[0] < 700 and 800 < sizes[1] < 1200
+
+
 def test_edges(spark):
     df = spark.createDataFrame([(float(x % 100),) for x in range(1000)], "score double")
     edges = band_edges(df, "score", 4)
