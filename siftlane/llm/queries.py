@@ -58,11 +58,6 @@ def p4_same_class(spark: SparkSession, d: str) -> DataFrame:
     return survivors.representatives(_members(spark, d), table(spark, d, "items"), table(spark, d, "source_specs"), table(spark, d, "box_records"), same_class=True)
 
 
-def _train_pool(spark: SparkSession, d: str) -> DataFrame:
-    pool = _current(spark, d).where("split = 'train'").select("run_id", "key", class_of_key(F.col("key")).alias("class_name"))
-    return Scratch(spark, "pool").keep(pool, "pool")
-
-
 def _plans(spark: SparkSession, d: str) -> DataFrame:
     weights = quota_sampling.class_weights(table(spark, d, "remap_manifests"))
     return Scratch(spark, "quota").keep(quota_sampling.quotas(table(spark, d, "sample_plans"), weights), "quota")
@@ -70,9 +65,9 @@ def _plans(spark: SparkSession, d: str) -> DataFrame:
 
 def _sample(spark: SparkSession, d: str) -> tuple[DataFrame, DataFrame, DataFrame]:
     """The drawn sample, the report that goes with it, and the quotas."""
-    pool, wanted = _train_pool(spark, d), _plans(spark, d)
-    counts = pool.groupBy("run_id", "class_name").agg(F.count("*").alias("available"))
-    return quota_sampling.draw(pool, wanted), quota_sampling.quota_report(counts, wanted), wanted
+    pool = _current(spark, d).where("split = 'train'").select("run_id", "key", class_of_key(F.col("key")).alias("class_name"))
+    wanted = _plans(spark, d)
+    return *quota_sampling.draw(pool, wanted), wanted
 
 
 def p5_found(spark: SparkSession, d: str) -> DataFrame:
@@ -191,6 +186,16 @@ _LINKED = f"""{_ITEMS}, e AS (SELECT DISTINCT a.k AS a, b.k AS b FROM near_edges
 u AS (SELECT a, b FROM e UNION SELECT b, a FROM e),
 reach(v, w) AS (SELECT a, a FROM u UNION SELECT r.v, u.b FROM reach r JOIN u ON u.a = r.w)"""
 
+_SURVIVORS = f"""{_ITEMS}, p AS (SELECT DISTINCT {ident_sql('duplicate_of')} AS g, {ident_sql('key')} AS m FROM dropped_dups),
+mem AS (SELECT g, m FROM p UNION SELECT g, g FROM p),
+m2 AS (SELECT gi.k AS gk, mi.k AS mk, mi.id AS mid FROM mem JOIN it gi ON gi.id = mem.g JOIN it mi ON mi.id = mem.m),
+lab AS (SELECT DISTINCT {ident_sql('key')} AS id FROM items WHERE label IS NOT NULL AND trim(lower(label)) NOT IN ('', '-', 'nan', 'none', 'n/a')),
+l AS (SELECT gk, mk FROM m2 JOIN lab ON lab.id = mid LEFT JOIN source_specs s ON s.source = split_part(mid, '__', 1)
+  QUALIFY row_number() OVER (PARTITION BY gk ORDER BY priority, mk) = 1),
+r AS (SELECT gk, mk, record_id, boxed_at, confidence FROM m2 JOIN (SELECT DISTINCT {ident_sql('image')} AS id, record_id, confidence, boxed_at FROM box_records
+  WHERE confidence > 0 AND confidence <= 1 AND NOT isnan(confidence)) b ON b.id = mid)"""
+_LATEST = "QUALIFY row_number() OVER (PARTITION BY gk ORDER BY boxed_at DESC, confidence DESC, record_id) = 1"
+
 SQL = {
     "p9_round_trip": f"SELECT doc_id, text FROM documents WHERE regexp_matches(text, '{_CLEAN}')",
     "p2_found": f"""WITH {_CURRENT}, torn AS (SELECT run_id, g FROM cur WHERE g IS NOT NULL GROUP BY 1, 2 HAVING count(DISTINCT sp) > 1)
@@ -201,15 +206,10 @@ SELECT det_id FROM d QUALIFY row_number() OVER (PARTITION BY o ORDER BY score DE
     "p3_top": f"""WITH d AS (SELECT {ident_sql('object_id')} AS object, image_id, class_id, score, severity, min(det_id) AS det_id FROM detections
   WHERE object_id IS NOT NULL AND NOT isnan(score) AND score BETWEEN 0 AND 1 GROUP BY ALL)
 SELECT * FROM (SELECT *, (row_number() OVER (PARTITION BY object ORDER BY score DESC, class_id, image_id, severity))::INT AS rank FROM d) WHERE rank <= 3""",
-    "p4_found": f"""WITH {_ITEMS}, p AS (SELECT DISTINCT {ident_sql('duplicate_of')} AS g, {ident_sql('key')} AS m FROM dropped_dups),
-mem AS (SELECT g, m FROM p UNION SELECT g, g FROM p),
-m2 AS (SELECT gi.k AS gk, mi.k AS mk, mi.id AS mid FROM mem JOIN it gi ON gi.id = mem.g JOIN it mi ON mi.id = mem.m),
-lab AS (SELECT DISTINCT {ident_sql('key')} AS id FROM items WHERE label IS NOT NULL AND trim(lower(label)) NOT IN ('', '-', 'nan', 'none', 'n/a')),
-l AS (SELECT gk, mk FROM m2 JOIN lab ON lab.id = mid LEFT JOIN source_specs s ON s.source = split_part(mid, '__', 1)
-  QUALIFY row_number() OVER (PARTITION BY gk ORDER BY priority, mk) = 1),
-r AS (SELECT gk, record_id FROM m2 JOIN (SELECT DISTINCT {ident_sql('image')} AS id, record_id, confidence, boxed_at FROM box_records WHERE confidence > 0 AND confidence <= 1 AND NOT isnan(confidence)) b ON b.id = mid
-  QUALIFY row_number() OVER (PARTITION BY gk ORDER BY boxed_at DESC, confidence DESC, record_id) = 1)
-SELECT g.gk AS group_key, coalesce(l.mk, '') AS label_key, coalesce(r.record_id, 0) AS record_id FROM (SELECT DISTINCT gk FROM m2) g LEFT JOIN l USING (gk) LEFT JOIN r USING (gk)""",
+    "p4_found": f"""WITH {_SURVIVORS} SELECT g.gk AS group_key, coalesce(l.mk, '') AS label_key, coalesce(r.record_id, 0) AS record_id FROM (SELECT DISTINCT gk FROM m2) g LEFT JOIN l USING (gk) LEFT JOIN (
+  SELECT gk, record_id FROM r {_LATEST}) r USING (gk)""",
+    "p4_same_class": f"""WITH {_SURVIVORS} SELECT g.gk AS group_key, coalesce(l.mk, '') AS label_key, coalesce(r.record_id, 0) AS record_id FROM (SELECT DISTINCT gk FROM m2) g LEFT JOIN l USING (gk) LEFT JOIN (
+  SELECT r.gk, record_id FROM r LEFT JOIN l ON l.gk = r.gk WHERE l.mk IS NULL OR split_part(l.mk, '/', 1) = split_part(r.mk, '/', 1) {_LATEST.replace('gk', 'r.gk')}) r USING (gk)""",
     "p5_found": f"""WITH {_QUOTAS} SELECT plan_id, c AS class_name FROM q WHERE available < quota""",
     "p5_report": f"""WITH {_QUOTAS} SELECT plan_id, c AS class_name, quota, available, least(quota, available) AS taken, available < quota AS exhausted FROM q""",
     "p5_sample": f"""WITH {_QUOTAS}, pool AS (SELECT run_id, split_part(k, '/', 1) AS c, k, row_number() OVER (PARTITION BY run_id, split_part(k, '/', 1) ORDER BY md5('42:' || run_id || ':' || split_part(k, '/', 1) || ':' || k), k) AS place FROM cur WHERE sp = 'train')
