@@ -8,8 +8,8 @@
 3. *One scan of the corpus* makes the same seeds. A bitmap of the test hashes, of bounded size, lets only documents through that share
    some; these leave their words, as numbers, and the hashes they share. The same scan counts in how many documents each three words in a
    row of the evaluation texts occur.
-4. *Join* on the hash, and per document and passage the words of the passage that the shared seeds span. Where they are at least
-   ``SPANNED`` of what the passage's seeds span, the two are aligned.
+4. *Join* on the hash, and per document and passage a count of the shared seeds. Where they are at least ``HIT`` of the passage's, the two are
+   aligned.
 5. *Alignment* around the hits: a leak has at least ``SHARE`` of the passage's words in matching runs, in order, and ``INFORMED`` of its
    information: of each three words in a row, by how few documents of the corpus have them. Stock phrases and a frame with other fillings
    are found all over the corpus, and what ties a frame to its fillings is what they lack.
@@ -28,16 +28,17 @@ from collections.abc import Iterator, Sequence
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from siftlane.session import Scratch
 
 #: 1: a position that must agree, 0: one that is ignored.
 MASKS = ((1, 1, 0, 1, 1, 1), (1, 0, 1, 1, 0, 1, 1), (1, 1, 1, 0, 0, 1, 0, 1))
-#: Share of what a passage's seeds span that shared seeds must span; of its words that must match; of its information, where a changed word
-#: spoils the three runs that hold it: half of them, less one changed word in twenty.
-SPANNED, SHARE, INFORMED = 0.25, 0.5, 0.425
+#: Share of a passage's seeds that must be shared before the two are aligned: half a passage has half of them, and one changed word in eight
+#: spoils no more than 70 % of these. Share of its words that must match; of its information, where a changed word spoils the three
+#: runs that hold it: half of them, less one changed word in twenty.
+HIT, SHARE, INFORMED = 0.15, 0.5, 0.425
 #: Shortest matching run that counts, and by how many words of other text a copy may be interrupted in all.
 RUN, SLACK = 3, 150
 #: Passages with fewer words can't be told from stock phrases and short quotations; `too_short` lists them.
@@ -159,27 +160,21 @@ def _passage_words(passages: DataFrame, passage_id: str, text: str) -> DataFrame
 
 
 def _passage_seeds(texts: DataFrame) -> DataFrame:
-    """``w, hash, place, three`` for every seed of every different passage; ``three`` marks the runs of three words."""
+    """``p, hash, place, three`` for every seed of every different passage; ``three`` marks the runs of three words."""
 
     def seeds(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            for w in b.column(0).to_pylist():
+            for k, w in enumerate(b.column(1).to_pylist()):
                 words = np.frombuffer(w, np.uint32)
                 owner = np.zeros(len(words), np.int8)
                 for three, masks in ((False, MASKS), (True, (_THREE,))):
                     value, at = _all_seeds(words, owner, masks)
                     yield pa.RecordBatch.from_arrays(
-                        [pa.array([w] * len(value), pa.binary()), pa.array(value.view(np.int64)), pa.array(at.astype(np.int32)), pa.array(np.full(len(value), three))], names=["w", "hash", "place", "three"]
+                        [b.column(0).take(pa.array([k] * len(value), pa.int64())), pa.array(value.view(np.int64)), pa.array(at.astype(np.int32)), pa.array(np.full(len(value), three))], names=["p", "hash", "place", "three"]
                     )
 
-    return texts.select("w").mapInArrow(seeds, "w binary, hash long, place int, three boolean")
-
-
-def _spanned(places: Column) -> Column:
-    """How many words the seeds at these places span together; the places sorted."""
-    span = len(MASKS[0])
-    step = F.aggregate(places, F.struct(F.lit(0).alias("sum"), F.lit(-span).alias("last")), lambda a, p: F.struct((a["sum"] + F.least(p - a["last"], F.lit(span))).alias("sum"), p.alias("last")))
-    return step["sum"]
+    kind = texts.schema["p"].dataType.simpleString()
+    return texts.select("p", "w").mapInArrow(seeds, f"p {kind}, hash long, place int, three boolean")
 
 
 def _windows(lines: np.ndarray, size: int, length: int) -> list[tuple[int, int]]:
@@ -229,25 +224,23 @@ def find_leaks(spark: SparkSession, docs: DataFrame, passages: DataFrame, doc_id
     scratch = Scratch(spark, "leaks")
     doc_kind = docs.schema[doc_id].dataType.simpleString()
     named = scratch.keep(_passage_words(passages, passage_id, text).where(F.col("n") >= LEAST_WORDS), "passages")
-    # Equal passages are one for all that follows.
-    texts = named.select("w", "n").distinct()
+    # Equal passages are one for all that follows, by the smallest id.
+    texts = scratch.keep(named.groupBy("w", "n").agg(F.min("passage_id").alias("p")), "texts")
     seeds = scratch.keep(_passage_seeds(texts), "seeds")
     total = texts.count()
-    shape = f"doc_id {doc_kind}, passage_id {passages.schema[passage_id].dataType.simpleString()}, share double"
     if not total:
-        return spark.createDataFrame([], shape)
+        return spark.createDataFrame([], f"doc_id {doc_kind}, passage_id {passages.schema[passage_id].dataType.simpleString()}, share double")
 
-    # Seeds for the join: the rare ones; all of them for a passage whose rare ones span less than half of it.
-    spaced = seeds.where("NOT three").select("w", "hash", "place")
-    spread = spaced.groupBy("hash").agg(F.count_distinct("w").alias("df"))
+    # Seeds for the join: the rare ones; all of them for a passage of which less than half are rare.
+    spaced = seeds.where("NOT three").select("p", "hash").distinct()
+    spread = spaced.groupBy("hash").agg(F.count("*").alias("df"))
     ranked = spaced.join(spread, "hash").withColumn("rare", F.col("df") <= F.lit(max(COMMON_LEAST, COMMON * total)))
-    rare = ranked.where("rare").groupBy("w").agg(_spanned(F.sort_array(F.collect_set("place"))).alias("rare_span"))
-    sized = texts.join(rare, "w", "left").withColumn("enough", F.coalesce(F.col("rare_span") >= F.col("n") / 2, F.lit(False)))
-    wanted = scratch.keep(ranked.join(sized, "w").where("rare OR NOT enough").select("w", "hash", "place"), "wanted")
-    needs = wanted.groupBy("w").agg(_spanned(F.sort_array(F.collect_set("place"))).alias("span"))
-    needs = scratch.keep(needs.withColumn("need", F.col("span") * F.lit(SPANNED)), "needs")
+    rare = ranked.groupBy("p").agg(F.count_if(F.col("rare")).alias("rares"), F.count("*").alias("all"))
+    enough = rare.withColumn("enough", F.col("rares") >= F.col("all") / 2).select("p", "enough")
+    wanted = scratch.keep(ranked.join(enough, "p").where("rare OR NOT enough").select("p", "hash"), "wanted")
+    needs = scratch.keep(wanted.groupBy("p").agg((F.count("*") * F.lit(HIT)).alias("need")), "needs")
     least = needs.agg(F.min("need")).first()[0]
-    least_hits = max(1, int(np.ceil(float(least or 0) / len(MASKS[-1]))))
+    least_hits = max(1, int(np.ceil(float(least or 0))))
     threes = seeds.where("three").select("hash").distinct()
     hashes = wanted.select("hash").unionByName(threes).distinct()
     shared = spark.sparkContext.broadcast(_bitmap(hashes, hashes.count()))
@@ -293,23 +286,24 @@ def find_leaks(spark: SparkSession, docs: DataFrame, passages: DataFrame, doc_id
 
     # The information of each run of three words, by how common it is in the corpus.
     idf = F.log((F.lit(all_docs) + 1.0) / (F.coalesce("n", F.lit(0)) + 1.0)) + 0.05
-    informed = seeds.where("three").select("w", "hash", "place").join(counts.where("hash IS NOT NULL"), "hash", "left").select("w", "place", idf.alias("idf"))
-    weights = informed.groupBy("w").agg(F.transform(F.array_sort(F.collect_list(F.struct("place", "idf"))), lambda x: x["idf"]).alias("idf"))
+    informed = seeds.where("three").select("p", "hash", "place").join(counts.where("hash IS NOT NULL"), "hash", "left").select("p", "place", idf.alias("idf"))
+    weights = informed.groupBy("p").agg(F.transform(F.array_sort(F.collect_list(F.struct("place", "idf"))), lambda x: x["idf"]).alias("idf"))
 
     hits = near.select("doc_id", F.explode("seeds").alias("hash")).join(wanted, "hash")
-    pairs = hits.groupBy("doc_id", "w").agg(F.sort_array(F.collect_set("place")).alias("places"))
-    pairs = pairs.join(needs, "w").where(_spanned(F.col("places")) >= F.col("need")).select("doc_id", "w")
-    cases = pairs.join(near.select("doc_id", "words"), "doc_id").join(weights, "w")
+    pairs = hits.groupBy("doc_id", "p").agg(F.count("*").alias("n")).join(needs, "p").where(F.col("n") >= F.col("need"))
+    cases = pairs.select("doc_id", "p").join(near.select("doc_id", "words"), "doc_id").join(texts.join(weights, "p"), "p")
 
     def align(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             kept, shares = [], []
-            for k, (w, words, idf) in enumerate(zip(b.column(1).to_pylist(), b.column(2).to_pylist(), b.column(3), strict=True)):
+            for k, (w, words, idf) in enumerate(zip(b.column(2).to_pylist(), b.column(3).to_pylist(), b.column(4), strict=True)):
                 share, information = alignment(np.frombuffer(w, np.uint32), idf.values.to_numpy(zero_copy_only=False), np.frombuffer(words, np.uint32))
                 if share >= SHARE and information >= INFORMED:
                     kept.append(k)
                     shares.append(round(share, 4))
-            yield pa.RecordBatch.from_arrays([b.column(0).take(pa.array(kept, pa.int64())), b.column(1).take(pa.array(kept, pa.int64())), pa.array(shares, pa.float64())], names=["doc_id", "w", "share"])
+            yield pa.RecordBatch.from_arrays([b.column(0).take(pa.array(kept, pa.int64())), b.column(1).take(pa.array(kept, pa.int64())), pa.array(shares, pa.float64())], names=["doc_id", "p", "share"])
 
-    leaks = cases.select("doc_id", "w", "words", "idf").mapInArrow(align, f"doc_id {doc_kind}, w binary, share double")
-    return leaks.join(named.select("w", "passage_id"), "w").select("doc_id", "passage_id", "share")
+    id_kind = passages.schema[passage_id].dataType.simpleString()
+    leaks = cases.select("doc_id", "p", "w", "words", "idf").mapInArrow(align, f"doc_id {doc_kind}, p {id_kind}, share double")
+    same = texts.join(named, ["w", "n"]).select("p", "passage_id")
+    return leaks.join(same, "p").select("doc_id", "passage_id", "share")
