@@ -1,6 +1,10 @@
 """Splits that keep related records together.
 
-Components by random-mate contraction: each round every vertex flips a coin (a hash of vertex and
+What ties records is any number of columns (author, source, entity, group): records with an equal value in one of them belong together. Each value
+is a hub. A record is hooked to the smallest hub it has, so what is left to contract are edges between hubs, of the records that have
+several; stars, however large, cost one pass.
+
+Components of the hubs by random-mate contraction: each round every vertex flips a coin (a hash of vertex and
 round, so a retried task flips alike). A tail vertex with a head neighbour moves into its smallest
 one; joins put the new names into the edges, loops and repeats go. On average a quarter or more of the
 vertices that have edges move each round, until no edges remain. The moves of all rounds are then unwound, last first, to
@@ -11,21 +15,20 @@ Components are then laid out in a hashed order and cut where the running weight
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from siftlane.functions.idents import item_ident, plain_name, source_of_ident, split_name
+from siftlane.functions.ranking import running_sum
 from siftlane.session import Scratch
 
 MAX_ROUNDS = 200
-#: Buckets of the distributed running sum over components.
-BUCKETS = 1024
 
 
 def _heads(vertex: Column, step: int) -> Column:
-    return F.pmod(F.xxhash64(vertex, F.lit(step), F.lit("mate")), F.lit(2)) == 1
+    return F.substring(F.md5(F.concat_ws("|", F.lit("mate"), F.lit(str(step)), vertex)), 1, 1) < "8"
 
 
 def random_mate_components(spark: SparkSession, edges: DataFrame) -> DataFrame:
@@ -38,7 +41,7 @@ def random_mate_components(spark: SparkSession, edges: DataFrame) -> DataFrame:
     scratch = Scratch(spark, "mate")
     ends = edges.select(F.col("a").alias("x"), F.col("b").alias("y")).where("x <> y")
     current = scratch.keep(ends.select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).distinct(), "edges0")
-    left = current.count()
+    left = bool(current.take(1))
     moves: list[DataFrame] = []
     for step in range(MAX_ROUNDS):
         if not left:
@@ -57,7 +60,7 @@ def random_mate_components(spark: SparkSession, edges: DataFrame) -> DataFrame:
         current = scratch.keep(new, f"edges{step + 1}")
         scratch.drop(f"edges{step}")
         moves.append(move)
-        left = current.count()
+        left = bool(current.take(1))
     else:
         raise RuntimeError(f"edges remain after {MAX_ROUNDS} rounds")
     if not moves:
@@ -75,30 +78,56 @@ def random_mate_components(spark: SparkSession, edges: DataFrame) -> DataFrame:
     return labels.unionByName(roots)
 
 
+def tied_components(spark: SparkSession, rows: DataFrame, ties: Sequence[str], record: str, within: str | None = None) -> DataFrame:
+    """``rows`` with ``component``: the smallest ``record`` of all that are tied to a row, directly or through others.
+
+    ties: columns; rows with an equal value in one of them are tied (a value of one column has nothing to do with the same value of
+    another), a NULL ties nothing. ``record`` names a row and must not be NULL; with ``within`` only rows with the same value there are tied. A value that a third of all rows share
+    is no hot key: its rows are hooked where they are, and what is shuffled for them is combined first.
+    """
+    scratch = Scratch(spark, "tied")
+    spaces = [F.col(within)] if within else []
+    hubs = F.array_compact(F.array(*[F.when(F.col(t).isNotNull(), F.concat_ws("|", F.lit(str(k)), *spaces, F.col(t).cast("string"))) for k, t in enumerate(ties)]))
+    ready = scratch.keep(rows.withColumn("_hubs", hubs).withColumn("_hub", F.array_min("_hubs")), "rows")
+    several = ready.where(F.size("_hubs") > 1).select(F.col("_hub").alias("a"), F.explode("_hubs").alias("b"))
+    roots = random_mate_components(spark, several)
+    linked = ready.join(roots.select(F.col("v").alias("_hub"), F.col("root").alias("_root")), "_hub", "left")
+    linked = linked.withColumn("_root", F.coalesce("_root", "_hub"))
+    names = linked.where("_root IS NOT NULL").groupBy("_root").agg(F.min(record).alias("_name"))
+    named = linked.join(names, "_root", "left").withColumn("component", F.coalesce("_name", record))
+    return named.drop("_hubs", "_hub", "_root", "_name")
+
+
 def cumulative_cut(components: DataFrame, shares: Mapping[str, float], seed: int = 42, within: str | None = None) -> DataFrame:
     """``components`` (``root, weight`` and, if named, ``within``) with a ``split``: hashed order, cut by running weight.
 
     A component goes where the middle of its own weight lies, so no share is off by more than half of one component at each cut. The
-    running sum is taken over ``BUCKETS`` hash ranges: their totals are a table of bounded size, and only within a
+    running sum is taken over ranges of the hash: their totals are a small table, and only within a
     range are rows ordered. Shares must be positive and add up to 1. With ``within``, each of its values is cut by itself.
     """
     if not shares or min(shares.values()) <= 0 or abs(sum(shares.values()) - 1) > 1e-9:
         raise ValueError("shares must be positive and add up to 1")
-    key = [within] if within else []
-    spot = F.xxhash64(F.col("root"), F.lit(seed))
-    placed = components.withColumn("spot", spot).withColumn("bucket", F.pmod(F.shiftrightunsigned("spot", 40), F.lit(BUCKETS)).cast("int"))
-    totals = placed.groupBy(*key, "bucket").agg(F.sum("weight").alias("w"))
-    before = Window.partitionBy(*key).orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)
-    whole = Window.partitionBy(*key)
-    totals = totals.select(*key, "bucket", F.coalesce(F.sum("w").over(before), F.lit(0)).alias("base"), F.sum("w").over(whole).alias("all"))
-    running = Window.partitionBy(*key, "bucket").orderBy("spot", "root").rowsBetween(Window.unboundedPreceding, -1)
-    middle = (F.col("base") + F.coalesce(F.sum("weight").over(running), F.lit(0)) + F.col("weight") / 2) / F.col("all")
+    key = within or "_all"
+    ready = components if within else components.withColumn("_all", F.lit(0))
+    digest = F.md5(F.concat_ws(":", F.lit(str(seed)), "root"))
+    placed = running_sum(ready, [key], digest, "root", F.col("weight"), "_before")
+    totals = ready.groupBy(key).agg(F.sum("weight").alias("_total"))
+    middle = (F.col("_before") + F.col("weight") / 2) / F.col("_total")
     split, edge = None, 0.0
     for name, share in shares.items():
         edge += share
-        split = F.when(F.col("middle") < edge - 1e-12, F.lit(name)) if split is None else split.when(F.col("middle") < edge - 1e-12, F.lit(name))
-    joined = placed.join(totals, [*key, "bucket"])
-    return joined.withColumn("middle", middle).withColumn("split", split.otherwise(F.lit(list(shares)[-1]))).drop("spot", "bucket", "base", "all", "middle")
+        below = F.col("_middle") < edge - 1e-12
+        split = F.when(below, F.lit(name)) if split is None else split.when(below, F.lit(name))
+    cut = placed.join(totals, key).withColumn("_middle", middle).withColumn("split", split.otherwise(F.lit(list(shares)[-1])))
+    return cut.drop("_before", "_total", "_middle", "_all")
+
+
+def keep_together(spark: SparkSession, rows: DataFrame, ties: Sequence[str], record: str, shares: Mapping[str, float], seed: int = 42) -> DataFrame:
+    """``record, component, split`` for every row: splits of given shares in which rows that share a value in a column of ``ties`` stay together."""
+    tied = Scratch(spark, "together").keep(tied_components(spark, rows.select(record, *ties), ties, record), "tied")
+    sizes = tied.groupBy(F.col("component").alias("root")).agg(F.count("*").alias("weight"))
+    cut = cumulative_cut(sizes, shares, seed)
+    return tied.join(cut.select(F.col("root").alias("component"), "split"), "component").select(record, "component", "split")
 
 
 def current_assignments(results: DataFrame, items: DataFrame) -> DataFrame:
@@ -124,54 +153,39 @@ def current_assignments(results: DataFrame, items: DataFrame) -> DataFrame:
     )
 
 
-def tie_edges(current: DataFrame, with_source: bool) -> DataFrame:
-    """Edges between an item of a run and what ties it: its group, and with ``with_source`` the run's left-out source."""
-    vertex = F.concat_ws("|", "run_id", "ident").alias("a")
-    edges = current.where("group IS NOT NULL").select(vertex, F.concat_ws("|", "run_id", F.lit("group"), "group").alias("b"))
-    if with_source:
-        left_out = current.where("source = leave_out")
-        edges = edges.unionByName(left_out.select(vertex, F.concat_ws("|", "run_id", F.lit("source"), "source").alias("b")))
-    return edges
-
-
 def broken_ties(spark: SparkSession, current: DataFrame) -> DataFrame:
     """``run_id, key`` of the assignments that break a tie.
 
-    Broken is a component of items and groups whose items lie in several splits; an item of the left-out source outside
+    Broken is a component of items tied by their groups whose items lie in several splits; an item of the left-out source outside
     test; an item of another source in test.
     """
-    current = Scratch(spark, "ties").keep(current, "current")
-    roots = random_mate_components(spark, tie_edges(current, with_source=False))
-    tied = current.withColumn("v", F.concat_ws("|", "run_id", "ident")).join(roots, "v", "left")
-    torn = tied.where("root IS NOT NULL").groupBy("root").agg(F.min("split").alias("low"), F.max("split").alias("high")).where("low <> high").select("root", F.lit(True).alias("torn"))
+    rows = current.select("run_id", "key", "source", "split", "group", "leave_out")
+    tied = Scratch(spark, "ties").keep(tied_components(spark, rows, ["group"], "key", "run_id"), "tied")
+    torn = tied.groupBy("run_id", "component").agg(F.min("split").alias("low"), F.max("split").alias("high")).where("low <> high").select("run_id", "component", F.lit(True).alias("torn"))
     ours = F.col("source").eqNullSafe(F.col("leave_out"))
     return (
-        tied.join(torn, "root", "left")
+        tied.join(torn, ["run_id", "component"], "left")
         .where(F.coalesce("torn", F.lit(False)) | (ours & (F.col("split") != "test")) | (~ours & (F.col("split") == "test")))
         .select("run_id", "key")
     )
 
 
-def assign_splits(spark: SparkSession, current: DataFrame, shares: Mapping[str, float] | None = None, test_share: float = 0.15, seed: int = 42) -> DataFrame:
+def assign_splits(spark: SparkSession, current: DataFrame, shares: Mapping[str, float] | None = None, test_share: float = 0.15, seed: int = 42, ties: Sequence[str] = ("group",)) -> DataFrame:
     """``run_id, key, source, component, weight, split``: new splits in which whatever is tied stays together.
 
-    The left-out source of a run and everything tied to it become test; the other components are cut into
-    ``shares`` (train and val). A run without a left-out source also gets a test part of ``test_share``.
+    ties: columns of ``current`` that tie items of a run; its left-out source does so too. That source and everything tied to it become
+    test; the other components are cut into ``shares`` (train and val). A run without a left-out source also gets a test part of ``test_share``.
     """
     shares = dict(shares or {"train": 0.85, "val": 0.15})
-    current = Scratch(spark, "assign").keep(current, "current")
-    roots = random_mate_components(spark, tie_edges(current, with_source=True))
-    vertex = F.concat_ws("|", "run_id", "ident")
-    tied = current.withColumn("v", vertex).join(roots, "v", "left").withColumn("root", F.coalesce("root", "v"))
-    sizes = tied.groupBy("run_id", "root").agg(
-        F.count("*").alias("weight"),
-        F.max(F.coalesce(F.col("source") == F.col("leave_out"), F.lit(False))).alias("held"),
-        F.max(F.col("leave_out").isNotNull()).alias("leaves"),
+    rows = current.select("run_id", "key", "source", "leave_out", *ties).withColumn("_held", F.when(F.col("source") == F.col("leave_out"), F.col("source")))
+    tied = Scratch(spark, "assign").keep(tied_components(spark, rows, [*ties, "_held"], "key", "run_id"), "tied")
+    sizes = tied.groupBy("run_id", F.col("component").alias("root")).agg(
+        F.count("*").alias("weight"), F.max(F.col("_held").isNotNull()).alias("held"), F.max(F.col("leave_out").isNotNull()).alias("leaves")
     )
     held = sizes.where("held").withColumn("split", F.lit("test"))
     two = cumulative_cut(sizes.where("NOT held AND leaves"), shares, seed, "run_id")
     rest = {name: share * (1 - test_share) for name, share in shares.items()}
     three = cumulative_cut(sizes.where("NOT held AND NOT leaves"), {**rest, "test": test_share}, seed, "run_id")
     cols = ["run_id", "root", "weight", "split"]
-    placed = held.select(*cols).unionByName(two.select(*cols)).unionByName(three.select(*cols))
-    return tied.drop("split").join(placed, ["run_id", "root"]).select("run_id", "key", "source", F.col("root").alias("component"), "weight", "split")
+    placed = held.select(*cols).unionByName(two.select(*cols)).unionByName(three.select(*cols)).withColumnRenamed("root", "component")
+    return tied.join(placed, ["run_id", "component"]).select("run_id", "key", "source", "component", "weight", "split")

@@ -6,7 +6,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from siftlane.functions.idents import class_of_key, item_ident
+from siftlane.functions.idents import class_of_key, item_ident, plain_name
 from siftlane.llm import keeping_together, leakage, linking, mixing, mojibake, quota_sampling, survivors, top_items
 from siftlane.session import Scratch
 from siftlane.sources.tables import canonical_items, table
@@ -31,6 +31,16 @@ def p2_shares(spark: SparkSession, d: str) -> DataFrame:
     return counts.join(totals, "run_id").withColumn("share", F.round(F.col("items") / F.col("all_items"), 6))
 
 
+def p2_document_splits(spark: SparkSession, d: str) -> DataFrame:
+    """Documents tied by three columns: what they are about, an equal text, and what one source wrote at one time."""
+    docs = table(spark, d, "documents")
+    rows = docs.select(
+        F.lpad(F.col("doc_id").cast("string"), 12, "0").alias("doc"), item_ident(F.col("subject_key")).alias("subject"), F.md5("text").alias("words"),
+        F.when(F.col("written_at").isNotNull(), F.concat_ws("@", plain_name(F.col("source")), F.unix_micros(F.col("written_at").cast("timestamp")).cast("string"))).alias("moment"),
+    )
+    return keeping_together.keep_together(spark, rows, ["subject", "words", "moment"], "doc", {"train": 0.8, "val": 0.1, "test": 0.1})
+
+
 def _top_detections(spark: SparkSession, d: str) -> DataFrame:
     rows = table(spark, d, "detections").where("score >= 0 AND score <= 1 AND object_id IS NOT NULL")
     named = rows.select(item_ident(F.col("object_id")).alias("object"), "image_id", "class_id", "score", "severity", "det_id")
@@ -159,7 +169,7 @@ def p9_round_trip(spark: SparkSession, d: str) -> DataFrame:
     return found.where("doc_id < 0").select((-F.col("doc_id") - 1).alias("doc_id"), F.col("restored").alias("text"))
 
 
-QUERIES = {f.__name__: f for f in (p2_found, p2_splits, p2_shares, p3_found, p3_top, p4_found, p4_same_class, p5_found, p5_sample, p5_report, p6_found, p6_group_sizes, p7_found, p7_leaked_passages, p8_found, p8_shares, p8_mix, p9_found, p9_restored, p9_round_trip)}
+QUERIES = {f.__name__: f for f in (p2_found, p2_splits, p2_shares, p2_document_splits, p3_found, p3_top, p4_found, p4_same_class, p5_found, p5_sample, p5_report, p6_found, p6_group_sizes, p7_found, p7_leaked_passages, p8_found, p8_shares, p8_mix, p9_found, p9_restored, p9_round_trip)}
 
 _IDENT = r"regexp_replace(regexp_extract(lower({0}), '(?:^|[/\\])\s*(?:(?:plastic|paper|cardboard|metal|glass|organic|wilderness)__)?([^/\\]*?)\s*(?:\.(?:jpg|jpeg|png|bmp|webp|txt))?\s*$', 1), '\s+', '', 'g')"
 
@@ -175,6 +185,22 @@ _CURRENT = f"""{_ITEMS}, cur AS (
       arg_max(struct_pack(sp := regexp_replace(trim(lower(split)), '[\\s_\\-]+', '_', 'g'), g := nullif({ident_sql('group_id')}, ''), lo := leave_out_source), assigned_at) AS s
     FROM split_results GROUP BY 1, 2) JOIN it USING (id))"""
 
+#: What is tied in a run: the left-out source with the groups that touch it is one component, every other group is one.
+_SPLITS = f"""{_CURRENT}, touched AS (SELECT DISTINCT run_id, g FROM cur WHERE src = lo AND g IS NOT NULL),
+hub AS (SELECT cur.*, CASE WHEN src = lo OR t.g IS NOT NULL THEN '=held' ELSE coalesce('g|' || cur.g, 'i|' || id) END AS h FROM cur LEFT JOIN touched t ON t.run_id = cur.run_id AND t.g = cur.g),
+comp AS (SELECT run_id, h, min(k) AS component, count(*) AS weight, h = '=held' AS held, bool_or(lo IS NOT NULL) AS leaves FROM hub GROUP BY 1, 2),
+mid AS (SELECT *, (coalesce(sum(weight) OVER (PARTITION BY run_id, held, leaves ORDER BY md5('42:' || component), component ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) + weight / 2.0)::DOUBLE
+  / sum(weight) OVER (PARTITION BY run_id, held, leaves) AS middle FROM comp),
+cut AS (SELECT run_id, h, component, weight, CASE WHEN held THEN 'test' WHEN leaves THEN CASE WHEN middle < 0.85::DOUBLE - 1e-12 THEN 'train' ELSE 'val' END
+  WHEN middle < 0.7225::DOUBLE - 1e-12 THEN 'train' WHEN middle < 0.85::DOUBLE - 1e-12 THEN 'val' ELSE 'test' END AS split FROM mid),
+placed AS (SELECT hub.run_id, k AS key, src AS source, component, weight, split FROM hub JOIN cut USING (run_id, h))"""
+_DOCUMENT_TIES = f"""d AS (SELECT lpad(doc_id::VARCHAR, 12, '0') AS doc, list_filter([ '0|' || nullif({ident_sql('subject_key')}, ''), '1|' || md5(text),
+    '2|' || nullif(regexp_replace(trim(lower(source)), '[\\s_\\-]+', '-', 'g'), '') || '@' || epoch_us(written_at) ], lambda x: x IS NOT NULL) AS hubs FROM documents),
+e AS (SELECT DISTINCT list_min(hubs) AS a, unnest(hubs) AS b FROM d), u AS (SELECT a, b FROM e UNION SELECT b, a FROM e),
+reach(v, w) AS (SELECT a, a FROM u UNION SELECT r.v, u.b FROM reach r JOIN u ON u.a = r.w),
+root AS (SELECT v, min(w) AS r FROM reach GROUP BY v), tied AS (SELECT doc, coalesce(r, doc) AS r FROM d LEFT JOIN root ON v = list_min(hubs)),
+comp AS (SELECT r, min(doc) AS component, count(*) AS weight FROM tied GROUP BY 1),
+mid AS (SELECT *, (coalesce(sum(weight) OVER (ORDER BY md5('42:' || component), component ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) + weight / 2.0)::DOUBLE / sum(weight) OVER () AS middle FROM comp)"""
 _QUOTAS = f"""{_CURRENT}, have AS (SELECT run_id, split_part(k, '/', 1) AS c, count(*) AS n FROM cur WHERE sp = 'train' GROUP BY 1, 2),
 w AS (SELECT manifest_id, c, sum(n) AS n FROM (SELECT manifest_id, lower(trim(e.key)) AS c, e.value AS n FROM (SELECT manifest_id, unnest(map_entries(any_value(class_counts))) AS e FROM remap_manifests GROUP BY manifest_id))
   WHERE c IN ('plastic', 'paper', 'cardboard', 'metal', 'glass', 'organic') GROUP BY 1, 2),
@@ -200,6 +226,14 @@ SQL = {
     "p9_round_trip": f"SELECT doc_id, text FROM documents WHERE regexp_matches(text, '{_CLEAN}')",
     "p2_found": f"""WITH {_CURRENT}, torn AS (SELECT run_id, g FROM cur WHERE g IS NOT NULL GROUP BY 1, 2 HAVING count(DISTINCT sp) > 1)
 SELECT run_id, k AS key FROM cur WHERE (run_id, g) IN (SELECT run_id, g FROM torn) OR (src = lo AND sp <> 'test') OR (sp = 'test' AND src IS DISTINCT FROM lo)""",
+    "p2_splits": f"WITH {_SPLITS} SELECT run_id, key, split, component FROM placed",
+    "p2_shares": f"""WITH {_SPLITS}, c AS (SELECT run_id, split, count(*) AS items, count(DISTINCT component) AS components, max(weight) AS largest_component FROM placed GROUP BY 1, 2)
+SELECT c.*, all_items, round(items / all_items, 6) AS share FROM c JOIN (SELECT run_id, count(*) AS all_items FROM placed GROUP BY 1) USING (run_id)""",
+    "p2_document_splits": f"""WITH RECURSIVE {_DOCUMENT_TIES} SELECT doc, component, CASE WHEN middle < 0.8::DOUBLE - 1e-12 THEN 'train' WHEN middle < 0.9::DOUBLE - 1e-12 THEN 'val' ELSE 'test' END AS split FROM tied JOIN mid USING (r)""",
+    # No case is near its limit, so that any size of a text that grows with it gives the same rows.
+    "p8_found": """WITH s AS (SELECT regexp_replace(trim(lower(source)), '[\\s_\\-]+', '-', 'g') AS source, sum(length(text)) AS n FROM documents GROUP BY 1),
+a AS (SELECT sum(length(text)) AS n FROM documents)
+SELECT mix_id, t.source FROM mix_targets t CROSS JOIN a LEFT JOIN s ON s.source = t.source WHERE target_weight * size_factor * a.n > max_repeat * coalesce(s.n, 0)""",
     "p3_found": f"""WITH d AS (SELECT {ident_sql('object_id')} AS o, image_id, class_id, score, severity, min(det_id) AS det_id FROM detections
   WHERE object_id IS NOT NULL AND NOT isnan(score) AND score BETWEEN 0 AND 1 GROUP BY ALL)
 SELECT det_id FROM d QUALIFY row_number() OVER (PARTITION BY o ORDER BY score DESC, class_id, image_id, severity) <= 3""",

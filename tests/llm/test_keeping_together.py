@@ -85,6 +85,29 @@ def test_cut_refuses_bad_shares(spark):
             kt.cumulative_cut(df, shares)
 
 
+@pytest.mark.parametrize("seed", range(3))
+def test_ties_of_three_columns(spark, seed):
+    rng = random.Random(seed)
+    pick = lambda kind, n: rng.choice([None, None, *[f"{kind}{k}" for k in range(n)]])
+    data = [(f"d{i:03}", pick("x", 60), pick("x", 40), pick("e", 50)) for i in range(150)] + [("solo", None, None, None)]
+    df = spark.createDataFrame(data, "doc string, author string, source string, entity string")
+    placed = rows(kt.keep_together(spark, df, ["author", "source", "entity"], "doc", {"train": 0.6, "val": 0.2, "test": 0.2}))
+    edges = [(d, f"{k}{v}") for d, *values in data for k, v in enumerate(values) if v is not None]
+    want = {frozenset(x for x in c if x.startswith("d")) for c in components(edges)} | {frozenset([d]) for d, *v in data if not any(v)}
+    got: dict = {}
+    for doc, component, split in placed:
+        got.setdefault(component, set()).add((doc, split))
+    assert {frozenset(d for d, _ in c) for c in got.values()} == want
+    for component, members in got.items():
+        assert len({s for _, s in members}) == 1 and component == min(d for d, _ in members)
+
+
+def test_a_chain_through_different_columns(spark):
+    data = [(f"r{i:03}", f"a{i // 2}", f"b{(i + 1) // 2}") for i in range(80)]
+    df = spark.createDataFrame(data, "doc string, author string, entity string")
+    assert {r["component"] for r in kt.tied_components(spark, df, ["author", "entity"], "doc").collect()} == {"r000"}
+
+
 RESULTS = "run_id string, key string, split string, group_id string, leave_out_source string, assigned_at timestamp_ntz"
 T = datetime(2025, 1, 1)
 
@@ -126,6 +149,6 @@ def test_empty(spark, items):
 
 def test_extra_columns_with_clashing_names(spark, items):
     spec = [("r", "paper/a__1.jpg", "train", "paper/a__1.jpg", None, 1), ("r", "paper/a__2.jpg", "val", "paper/a__1.jpg", None, 1)]
-    noisy = results(spark, spec).withColumns({c: F.lit("x") for c in ("ident", "now", "source", "group", "v", "root")})
+    noisy = results(spark, spec).withColumns({c: F.lit("x") for c in ("ident", "now", "source", "group", "v", "root", "component", "_hub")})
     more = items.withColumns({c: F.lit("y") for c in ("run_id", "split", "group", "source")})
     assert rows(kt.broken_ties(spark, kt.current_assignments(noisy, more))) == {("r", "paper/a__1.jpg"), ("r", "paper/a__2.jpg")}
