@@ -15,8 +15,9 @@
    improbable runs. They are widened to whole sequences of non-ASCII characters.
 5. *Inverse mappings*, only inside runs. UTF-8 read as a one-byte encoding is undone where the bytes are valid UTF-8 again and
    give attested pairs, repeatedly until nothing changes. A one-byte encoding read as another always maps back, so there the words decide: a
-   stretch of words that holds a run is put back if its words become more common by ``GAIN`` bits together. The words of the texts in question
-   are joined with the table of all words; no word table is collected. Characters lost for good are reported as such.
+   stretch of words that holds a run is put back if its words become more common by ``GAIN`` bits together. A bitmap of bounded size knows the words that
+   some mapping makes more common; texts with such a word in a run have their words joined with the table of all words, which is never
+   collected. Characters lost for good are reported as such.
 
 Texts are read whole; a text without an improbable run leaves the batch it is read in.
 """
@@ -26,13 +27,14 @@ from __future__ import annotations
 import re
 import string
 import unicodedata
+import zlib
 from collections import Counter
 from collections.abc import Callable, Iterator, Mapping
 from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from siftlane.session import Scratch
@@ -67,6 +69,8 @@ _EDGE = string.punctuation + string.digits
 _BASE = 1 << 21
 #: Characters counted at once.
 CHUNK = 1 << 20
+#: Bits of the bitmap of words: for each word, at least, and at most (32 MB; more words only let more texts through to the join).
+BITS_PER_WORD, LEAST_BITS, MOST_BITS = 64, 1 << 16, 1 << 28
 
 
 def _codes(texts: list[str]) -> np.ndarray:
@@ -246,6 +250,9 @@ class PairModel:
         codes = [_plain(c) for c in text]
         return sum(self.level - self._one(x, y) for x, y in zip(codes, codes[1:], strict=False) if x > 127 or y > 127)
 
+    def knows(self, text: str) -> bool:
+        return not self._foreign(np.array([_plain(c) for c in text], np.int64)).any()
+
     def attested(self, text: str) -> float:
         """The share of the pairs with a non-ASCII character that the reference holds, or that it doesn't part."""
         codes = [_plain(c) for c in text]
@@ -363,13 +370,21 @@ def _around(text: str, a: int, b: int, run: str) -> str:
     return text[max(0, a - 1) : a] + run + text[b : b + 1]
 
 
+_TWO = re.compile(r"[^\x00-\x7f]{2}")
+
+
 def _undo_utf8_in_runs(text: str, runs: list[tuple[int, int]], model: PairModel) -> tuple[str, str] | None:
     best: tuple[float, str, str] | None = None
+    # A sequence has two bytes at least.
+    runs = [(a, b) for a, b in runs if _TWO.search(text, a, b)]
+    if not runs:
+        return None
     for codec in READ_AS:
 
         def accept(good: str, around: str, codec: str = codec) -> bool:
-            # Twice garbled text is attested only after the second step.
-            return model.attested(around) >= ATTESTED or undo_utf8(good, codec)[1] > 0
+            # Three bytes hardly ever form a sequence by chance: that the characters are known is enough. Twice garbled text is attested only
+            # after the second step.
+            return model.attested(around) >= ATTESTED or (min(good) >= "\u0800" and model.knows(good)) or undo_utf8(good, codec)[1] > 0
 
         new, saved, last = [], 0.0, 0
         for a, b in runs:
@@ -481,15 +496,16 @@ def restore(text: str, model: PairModel, options: Options | None = None) -> tupl
     return (text, "; ".join(undone + more)) if undone or more else (None, None)
 
 
-def _damaged(word: str, known: set[int]) -> bool:
-    """Whether a word is garbled by itself: it holds UTF-8 sequences that give pairs of ``known``, or characters were lost in it."""
+def _damaged(word: str, known: set[int], chars: set[int]) -> bool:
+    """Whether a word is garbled by itself: it holds UTF-8 sequences that give pairs of ``known`` or, of three bytes and more, known characters; or
+    characters were lost in it."""
     if LOST in word and (len(word) == 1 or _LOSS.search(word)):
         return True
 
     def accept(good: str, around: str, codec: str) -> bool:
         codes = [_plain(c) for c in around]
         odd = [x * _BASE + y in known for x, y in zip(codes, codes[1:], strict=False) if x > 127 or y > 127]
-        return sum(odd) >= ATTESTED * len(odd) or undo_utf8(good, codec)[1] > 0
+        return sum(odd) >= ATTESTED * len(odd) or (min(good) >= "\u0800" and all(_plain(c) in chars for c in good)) or undo_utf8(good, codec)[1] > 0
 
     return any(undo_utf8(word, codec, lambda good, around, codec=codec: accept(good, around, codec))[1] for codec in READ_AS)
 
@@ -519,6 +535,34 @@ def word_options(words: DataFrame) -> DataFrame:
     return words.join(listed, "word", "left")
 
 
+def _confusable(least: Column) -> Column:
+    """Whether an inverse mapping makes the word (``n``, ``options``) more common by more than ``least`` bits."""
+    none = F.array().cast("array<struct<k: int, fixed: string, m: bigint>>")
+    return F.exists(F.coalesce("options", none), lambda o: F.log2((o["m"] + 0.5) / (F.col("n") + 0.5)) >= least)
+
+
+class WordBitmap:
+    """A bit for each word; a word whose bit isn't set was never put in."""
+
+    def __init__(self, words: np.ndarray) -> None:
+        self.words, self.mask = words, len(words) * 64 - 1
+
+    @classmethod
+    def of(cls, words: DataFrame) -> WordBitmap:
+        bits = LEAST_BITS
+        while bits < min(MOST_BITS, words.count() * BITS_PER_WORD):
+            bits *= 2
+        spots = words.select(F.crc32(F.encode("word", "UTF-8")).bitwiseAND(F.lit(bits - 1)).alias("bit"))
+        got = spots.groupBy(F.shiftright("bit", 6).alias("at")).agg(F.expr("bit_or(shiftleft(1L, CAST(bit & 63 AS INT)))").alias("v")).toPandas()
+        out = np.zeros(bits // 64, np.int64)
+        out[got["at"].to_numpy(dtype=np.int64)] = got["v"].to_numpy(dtype=np.int64)
+        return cls(out.view(np.uint64))
+
+    def may_hold(self, word: str) -> bool:
+        bit = zlib.crc32(word.encode("utf-8", "surrogatepass")) & self.mask
+        return bool(int(self.words[bit >> 6]) >> (bit & 63) & 1)
+
+
 def fit_pairs(docs: DataFrame, scratch: Scratch, text: str = "text") -> tuple[tuple, DataFrame]:
     """(what a `PairModel` is made of, `word_options` of all words). The tables that are collected are bounded by the characters and their
     classes: see ``EPSILON``."""
@@ -530,12 +574,12 @@ def fit_pairs(docs: DataFrame, scratch: Scratch, text: str = "text") -> tuple[tu
 
     def damaged(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known = set(shared.value.tolist())
+        chars = {k // _BASE for k in known} | {k % _BASE for k in known}
         for b in batches:
-            bad = [c or _damaged(w, known) for w, c in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), strict=True)]
+            bad = [c or _damaged(w, known, chars) for w, c in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), strict=True)]
             yield pa.RecordBatch.from_arrays([b.column(0).filter(pa.array(bad, pa.bool_()))], names=["word"])
 
-    none = F.array().cast("array<struct<k: int, fixed: string, m: bigint>>")
-    confused = F.exists(F.coalesce("options", none), lambda o: F.log2((o["m"] + 0.5) / (F.col("n") + 0.5)) >= F.when(F.length("word") > 1, PRIOR).otherwise(2 * PRIOR))
+    confused = _confusable(F.when(F.length("word") > 1, PRIOR).otherwise(2 * PRIOR))
     bad = words.select("word", confused.alias("confused")).mapInArrow(damaged, "word string")
     out = placed.join(bad, "word").select("placed", "n").mapInArrow(_pairs_out, "pair long, n long")
     reference = scratch.keep(_classed(pairs.unionByName(out).groupBy("pair").agg(F.sum("n").alias("n")).where("n > 0")), "reference")
@@ -575,11 +619,12 @@ def find_garbled(spark: SparkSession, docs: DataFrame, doc_id: str = "doc_id", t
     scratch = Scratch(spark, "garbled")
     fitted, words = fit_pairs(docs, scratch, text)
     shared = spark.sparkContext.broadcast(fitted)
+    marked = spark.sparkContext.broadcast(WordBitmap.of(words.where(_confusable(F.lit(PRIOR)))).words)
     kind = docs.schema[doc_id].dataType.simpleString()
 
     def suspects(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        """Texts with an improbable run: UTF-8 steps undone; ``words`` are those of a text in which runs are left."""
-        model = PairModel(*shared.value)
+        """Texts with UTF-8 steps to undo, which are undone, and texts with a confusable word in a run; ``words`` are those of the latter."""
+        model, confusable = PairModel(*shared.value), WordBitmap(marked.value)
         for batch in batches:
             ids: list[int] = []
             cols: list[tuple] = []
@@ -593,7 +638,9 @@ def find_garbled(spark: SparkSession, docs: DataFrame, doc_id: str = "doc_id", t
                     row = (["lost"], None, None)
                 else:
                     t, undone, runs = undo_utf8_steps(t, runs, model)
-                    row = (undone, t, sorted({t[a:b] for a, b in odd_words(t)}) if runs else None)
+                    words = list(odd_words(t)) if runs else []
+                    doubtful = any(a < y and x < b and confusable.may_hold(t[a:b]) for x, y in runs for a, b in words)
+                    row = (undone, t, sorted({t[a:b] for a, b in words}) if doubtful else None)
                 if row[0] or row[2]:
                     ids.append(at)
                     cols.append(row)
