@@ -126,19 +126,17 @@ def seal(log: DataFrame) -> DataFrame:
     order = F.struct(
         ~F.coalesce("leftover", F.lit(False)), ~F.coalesce("renamed", F.lit(False)), F.col("modified_at"), F.col("n_bytes"), -F.col("file_id")
     )
-    best = log.groupBy("key", "kind").agg(F.max_by(F.struct("file_id", "body"), order).alias("best"), F.count("*").alias("copies"))
-    pick = lambda kind, field: F.max(F.when(F.col("kind") == kind, F.col(field)))
-    return (
-        best.groupBy("key")
-        .agg(
-            pick("image", "best.file_id").alias("image_file"),
-            pick("image", "best.body").alias("image"),
-            pick("label", "best.file_id").alias("label_file"),
-            pick("label", "best.body").alias("label"),
-            F.sum("copies").cast("bigint").alias("copies"),
-        )
-        .hint("rebalance")
-    )
+    # One aggregation by item: the bodies are shuffled once.
+    best = lambda kind: F.max_by(F.struct("file_id", "body"), F.when(F.col("kind") == kind, order))
+    one = log.groupBy("key").agg(best("image").alias("i"), best("label").alias("l"), F.count("*").cast("bigint").alias("copies"))
+    return one.select("key", F.col("i.file_id").alias("image_file"), F.col("i.body").alias("image"), F.col("l.file_id").alias("label_file"), F.col("l.body").alias("label"), "copies").hint("rebalance")
+
+
+def record_copies(log: DataFrame) -> DataFrame:
+    """``key, kind, representative, file_id``: the files of each record with the smallest of them; one row per file, however many copies there are."""
+    slim = log.select("key", "kind", "file_id").distinct()
+    first = slim.groupBy("key", "kind").agg(F.min("file_id").alias("representative"))
+    return slim.join(first, ["key", "kind"]).select("key", "kind", "representative", "file_id")
 
 
 def same_record_pairs(log: DataFrame) -> DataFrame:
