@@ -11,8 +11,9 @@ from pyspark.sql import functions as F
 
 from siftlane.functions.boxes import centre_box
 
-# Share of the image that a mask's box must cover at least and at most, and the centre box's margin.
-MASK_LOW, MASK_HIGH, MARGIN = 0.05, 0.95, 0.1
+# Share of the image that the largest part of a mask must cover at least and at most, the centre box's margin, and the least value
+# of a mask that is foreground.
+MASK_LOW, MASK_HIGH, MARGIN, FOREGROUND = 0.05, 0.95, 0.1, 128
 
 
 def best_proposal(proposals: DataFrame, least: float) -> DataFrame:
@@ -27,7 +28,7 @@ def best_proposal(proposals: DataFrame, least: float) -> DataFrame:
 
 
 def mask_box(mask: Column) -> Column:
-    """``struct<x1, y1, x2, y2, area>`` of the largest 4-connected part of a mask ``struct<h, w, data: binary>`` (any value above 0 is foreground).
+    """``struct<x1, y1, x2, y2, area>`` of the largest 4-connected part of a mask ``struct<h, w, data: binary>`` (128 and above is foreground).
 
     Right and bottom are exclusive; of equal parts the one whose first pixel comes first. NULL for no foreground and for masks that don't fit their size.
     """
@@ -38,7 +39,7 @@ def mask_box(mask: Column) -> Column:
             rows = []
             for h, w, data in zip(frame["h"], frame["w"], frame["data"], strict=True):
                 fits = data is not None and not pd.isna(h) and not pd.isna(w) and len(data) == h * w
-                rows.append(largest_part(np.frombuffer(data, np.uint8).reshape(int(h), int(w)) > 0) if fits else None)
+                rows.append(largest_part(np.frombuffer(data, np.uint8).reshape(int(h), int(w)) >= FOREGROUND) if fits else None)
             empty = (None,) * 5
             yield pd.DataFrame([r or empty for r in rows], columns=["x1", "y1", "x2", "y2", "area"]).astype("Int32")
 
@@ -74,14 +75,14 @@ def largest_part(mask: np.ndarray) -> tuple[int, int, int, int, int] | None:
 def chain(images: DataFrame, proposals: DataFrame, masks: DataFrame, order: tuple[str, ...] = ("dino", "birefnet")) -> DataFrame:
     """``image, method, box, confidence, flags``: the first step of ``order`` that gives a box, the centre box at last.
 
-    images: ``image, width, height``; proposals: as `best_proposal` gives them; masks: ``image, mask_area, box``. A mask counts if its box covers a
-    sensible share of the image. Only ``dino`` has a confidence; only it can be flagged ``multibox``.
+    images: ``image, width, height``; proposals: as `best_proposal` gives them; masks: ``image, mask_area, box`` of their largest parts. A mask counts if that part has a
+    sensible share of the image's pixels, whatever its box covers. Only ``dino`` has a confidence; only it can be flagged ``multibox``.
     """
     p = proposals.select("image", F.col("box").alias("p_box"), F.col("confidence").alias("p_conf"), "multibox")
-    m = masks.select("image", F.col("box").alias("m_box"))
+    m = masks.select("image", "mask_area", F.col("box").alias("m_box"))
     joined = images.join(p, "image", "left").join(m, "image", "left")
     double = lambda b: F.struct(*[F.col(f"{b}.{k}").cast("double").alias(k) for k in ("x1", "y1", "x2", "y2")])
-    share = (F.col("m_box.x2") - F.col("m_box.x1")) * (F.col("m_box.y2") - F.col("m_box.y1")) / (F.col("width") * F.col("height"))
+    share = F.col("mask_area") / (F.col("width").cast("double") * F.col("height"))
     usable = {"dino": F.col("p_box").isNotNull(), "birefnet": F.coalesce(share.between(MASK_LOW, MASK_HIGH), F.lit(False))}
     boxes = {"dino": double("p_box"), "birefnet": double("m_box")}
     left, top, right, bottom = centre_box(MARGIN)

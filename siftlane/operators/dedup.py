@@ -1,15 +1,16 @@
 """Near duplicates by Hamming distance, and the greedy choice of what stays.
 
 Items with equal hashes are collapsed first; the rest is found by multi-index hashing: a pair within distance d agrees, in one
-of a few bands of the hash, up to a few bits, so an equi-join on (band, value) finds it. Each pair is reported by its first
-agreeing band only, so no duplicates need removing.
+of a few keys made of blocks of the hash, up to a few bits, so an equi-join on (key, value) finds it. Keys are made wider for more hashes. Each pair is
+reported once, so no duplicates need removing.
 """
 
 from __future__ import annotations
 
-from itertools import combinations
+import math
+from itertools import combinations, pairwise
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from siftlane.functions.hashing import distance
@@ -20,44 +21,86 @@ SAME, NEAR = 2, 8
 MAX_ROUNDS = 200
 
 
-def _bands(bits: tuple[int, ...]) -> list[tuple[int, int]]:
-    """(shift, width) of each band."""
-    out, shift = [], 0
-    for width in bits:
-        out.append((shift, width))
-        shift += width
-    return out
+def _cuts(blocks: int) -> list[tuple[int, int]]:
+    """(shift, width) of the blocks that 64 bits are cut into."""
+    edges = [64 * k // blocks for k in range(blocks + 1)]
+    return [(a, b - a) for a, b in pairwise(edges)]
 
 
-def _flips(width: int, most: int) -> list[int]:
-    return [sum(1 << b for b in c) for k in range(most + 1) for c in combinations(range(width), k)]
+def plan(n: int, most: int) -> tuple[int, int, int]:
+    """(blocks, blocks of a key, bits of each that either side flips) for ``n`` hashes and distances up to ``most`` (11 at the most).
 
+    A pair within the distance agrees in at least ``blocks - most`` blocks, which make a key; where that takes too many keys, flips
+    stand for the bits in which blocks of a key differ: two sides that flip one bit each meet at two. Wider keys mean more of them for each hash and fewer
+    candidates by chance, so they pay for more hashes: the way with the fewest keys and candidates together is taken.
+    """
+    ways = [(most + 1, 1, 0), (most + 2, 2, 0), (most + 4, 4, 0)] if most <= 2 else [(4, 1, 1), (4, 2, 1)]
+
+    def cost(way: tuple[int, int, int]) -> float:
+        blocks, parts, flips = way
+        keys = math.comb(blocks, parts) * (1 + (64 // blocks) * flips) ** parts
+        return 2 * keys + n * keys * (1 + (64 // blocks) * flips) ** parts / 2.0 ** (64 * parts // blocks)
+
+    return min(ways, key=cost)
 
-def close_pairs(hashes: DataFrame, most: int) -> DataFrame:
+
+def close_pairs(hashes: DataFrame, most: int, way: tuple[int, int, int] | None = None) -> DataFrame:
     """``a, b, distance`` for all pairs of different hashes at most ``most`` (up to 11) apart, a < b as signed numbers, each once.
 
-    hashes: ``h``, distinct.
+    hashes: ``h``, distinct. ``way``: see `plan`, which chooses it by their number. With 4 blocks and distances to 8 two blocks differ in at most two
+    bits each, to 11 one does. A pair is reported by the first key and the first bits flipped by which it can be found, so nothing is
+    shuffled to take repeats out.
     """
-    if most <= 2:
-        bands, slack = _bands((22, 21, 21)), 0
-    elif most <= 11:
-        bands, slack = _bands((16, 16, 16, 16)), 2 if most >= 8 else 1
-    else:
-        raise ValueError("distances above 11 need other bands")
-    value = lambda h, k: F.shiftrightunsigned(h, bands[k][0]).bitwiseAND((1 << bands[k][1]) - 1)
-    listed = F.array(*[F.struct(F.lit(k).alias("band"), value(F.col("h"), k).alias("v")) for k in range(len(bands))])
-    left = hashes.select(F.col("h").alias("a"), F.explode(listed).alias("x")).select("a", "x.band", "x.v")
-    right = hashes.select(F.col("h").alias("b"), F.explode(listed).alias("x")).select("b", "x.band", "x.v")
-    if slack:
-        # Every width is the same here; one side is asked for under all its variants.
-        masks = F.array(*[F.lit(m).cast("bigint") for m in _flips(16, slack)])
-        left = left.withColumn("m", F.explode(masks)).withColumn("v", F.col("v").bitwiseXOR(F.col("m"))).drop("m")
-    found = left.join(right, ["band", "v"]).where("a < b").withColumn("distance", distance(F.col("a"), F.col("b"))).where(F.col("distance") <= most)
+    if not 0 <= most <= 11:
+        raise ValueError("distances above 11 need other keys")
+    blocks, parts, flips = way or plan(hashes.count(), most)
+    if flips and parts == 2 and most > 8:
+        parts = 1
+    cuts = _cuts(blocks)
+    combos = list(combinations(range(blocks), parts))
+    bits = lambda h, k: F.shiftrightunsigned(h, cuts[k][0]).bitwiseAND((1 << cuts[k][1]) - 1)
+
+    def keys(h: Column) -> Column:
+        """The blocks of each combination, moved together."""
+        out = []
+        for c, combo in enumerate(combos):
+            value = F.lit(0).cast("bigint")
+            for k in combo:
+                value = F.shiftleft(value, cuts[k][1]).bitwiseOR(bits(h, k))
+            out.append(F.struct(F.lit(c).alias("combo"), value.alias("v")))
+        return F.array(*out)
+
+    def side(name: str) -> DataFrame:
+        listed = hashes.select(F.col("h").alias(name), F.explode(keys(F.col("h"))).alias("x")).select(name, "x.combo", "x.v")
+        if not flips:
+            return listed
+        masks = [0]
+        width = cuts[0][1]
+        for _ in range(parts):
+            masks = [(m << width) | f for m in masks for f in (0, *[1 << b for b in range(width)])]
+        return listed.withColumn("m", F.explode(F.array(*[F.lit(m).cast("bigint") for m in masks]))).withColumn("v", F.col("v").bitwiseXOR(F.col("m")))
+
+    found = side("a").join(side("b").withColumnRenamed("m", "m2") if flips else side("b"), ["combo", "v"]).where("a < b")
+    found = found.withColumn("distance", distance(F.col("a"), F.col("b"))).where(F.col("distance") <= most)
     differs = F.col("a").bitwiseXOR(F.col("b"))
     first = F.lit(None).cast("int")
-    for k in range(len(bands) - 1, -1, -1):
-        first = F.when(F.bit_count(value(differs, k)) <= slack, F.lit(k)).otherwise(first)
-    return found.where(F.col("band") == first).select("a", "b", "distance")
+    for c in range(len(combos) - 1, -1, -1):
+        fits = F.lit(True)
+        for k in combos[c]:
+            fits = fits & (F.bit_count(bits(differs, k)) <= 2 * flips)
+        first = F.when(fits, F.lit(c)).otherwise(first)
+    found = found.where(F.col("combo") == first)
+    if flips:
+        # Of the ways to share the differing bits out to the two sides, the one in which the left side flips the highest bit of each block (and
+        # neither side one that doesn't differ).
+        both = F.col("m").bitwiseXOR(F.col("m2"))
+        clean = F.bit_count("m") + F.bit_count("m2") == F.bit_count(both)
+        width = cuts[0][1]
+        for p in range(parts):
+            piece = lambda c, p=p: F.shiftrightunsigned(c, p * width).bitwiseAND((1 << width) - 1)
+            clean = clean & (piece(F.col("m")) >= piece(F.col("m2")))
+        found = found.where(clean)
+    return found.select("a", "b", "distance")
 
 
 def greedy_dedup(spark: SparkSession, items: DataFrame) -> DataFrame:
@@ -135,8 +178,3 @@ def source_matrix(pairs: DataFrame, sources: DataFrame, left: str, right: str) -
 
 def unknown_sources(items: DataFrame, priorities: DataFrame) -> DataFrame:
     return items.select("source").distinct().join(priorities.select("source"), "source", "left_anti")
-
-
-def first_of_equal(items: DataFrame) -> DataFrame:
-    """The distance-0 case: of items with equal hashes the first by (prio, key)."""
-    return items.withColumn("rn", F.row_number().over(Window.partitionBy("h").orderBy("prio", "key"))).where("rn = 1").drop("rn")

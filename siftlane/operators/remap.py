@@ -32,7 +32,7 @@ def route(paths: DataFrame, lookup: DataFrame) -> DataFrame:
     parts = F.split(F.translate("path", "\\\\", "/"), "/")
     folders = F.filter(F.reverse(F.slice(parts, F.lit(1), F.greatest(F.size(parts) - 1, F.lit(0)))), lambda s: (s != "") & ~F.startswith(s, F.lit(".")))
     steps = paths.select("path", "source", F.posexplode(folders).alias("up", "folder")).withColumn("label", F.lower(F.trim("folder")))
-    hit = steps.join(F.broadcast(lookup), ["source", "label"]).groupBy("path", "source").agg(F.min_by("target", "up").alias("target"))
+    hit = steps.join(lookup, ["source", "label"]).groupBy("path", "source").agg(F.min_by("target", "up").alias("target"))
     return paths.select("path", "source").distinct().join(hit, ["path", "source"], "left")
 
 
@@ -50,7 +50,7 @@ def rewritten_lines(labels: DataFrame, names: DataFrame, lookup: DataFrame, clas
     tokens = F.split(F.trim("raw"), r"\s+")
     lines = lines.withColumn("tokens", tokens).withColumn("idx", F.get("tokens", F.lit(0)).try_cast("int"))
     named = names.join(lookup, ["source", "label"], "left").join(classes, "target", "left").select("source", "idx", "target", "class_id")
-    joined = lines.join(F.broadcast(named), ["source", "idx"], "left")
+    joined = lines.join(named, ["source", "idx"], "left")
     rest = F.slice("tokens", F.lit(2), F.greatest(F.size("tokens") - 1, F.lit(0)))
     line = F.when(F.col("class_id").isNotNull(), F.concat_ws(" ", F.col("class_id").cast("string"), F.array_join(rest, " ")))
     return joined.select("image", "pos", "source", "target", line.alias("line"))
@@ -90,17 +90,25 @@ def label_files(images: DataFrame, files: DataFrame) -> DataFrame:
 
 
 def destination_names(files: DataFrame) -> DataFrame:
-    """``path, destination``: ``<source>__<stem><tag><suffix>`` in the target's folder; of equal names all but the first get ``__1``, ``__2`` ...
+    """``path, destination``: ``<source>__<stem><tag><suffix>`` in the target's folder; no two files of a source share a destination's stem there.
 
-    files: ``path, source, target``. A label goes with its image, so a stem counts whatever its suffix. Order is that of the paths.
+    files: ``path, source, target``. A label goes with its image, so a stem counts whatever its suffix. Of equal stems the first by path keeps its own; the
+    others get ``__1``, ``__2`` ..., without the numbers that would give them the own stem of another file. (A tagged name has its number at
+    the end, so two of them are equal only if they come from one stem.)
     """
     name = F.substring_index("path", "/", -1)
     stem = F.regexp_replace(name, r"\.[^.]*$", "")
     suffix = F.regexp_extract(name, r"(\.[^.]*)$", 1)
+    keys = ["source", "target", "stem"]
     named = files.select("path", "source", "target", stem.alias("stem"), suffix.alias("suffix"))
-    place = F.row_number().over(Window.partitionBy("source", "target", "stem").orderBy("path")) - 1
-    tag = F.when(F.col("k") == 0, "").otherwise(F.concat(F.lit("__"), F.col("k").cast("string")))
-    return named.withColumn("k", place).select("path", F.concat("target", F.lit("/"), "source", F.lit("__"), "stem", tag, "suffix").alias("destination"))
+    placed = named.withColumn("k", F.row_number().over(Window.partitionBy(*keys).orderBy("path")) - 1)
+    # Numbers that stems of other files have taken, for the stem in front of them.
+    number = F.regexp_extract("stem", r"__([1-9]\d{0,8})$", 1)
+    own = named.where(number != "").select("source", "target", F.regexp_replace("stem", r"__[1-9]\d{0,8}$", "").alias("stem"), number.cast("int").alias("n")).distinct()
+    taken = own.groupBy(*keys).agg(F.array_sort(F.collect_list("n")).alias("taken"))
+    free = F.aggregate(F.coalesce("taken", F.array().cast("array<int>")), F.col("k"), lambda n, t: F.when(t <= n, n + 1).otherwise(n))
+    tag = F.when(F.col("k") == 0, "").otherwise(F.concat(F.lit("__"), free.cast("string")))
+    return placed.join(taken, keys, "left").select("path", F.concat("target", F.lit("/"), "source", F.lit("__"), "stem", tag, "suffix").alias("destination"))
 
 
 def class_totals(targets: DataFrame, classes: DataFrame) -> DataFrame:

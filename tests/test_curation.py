@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 import random
 from itertools import combinations
 
@@ -83,7 +84,16 @@ def test_close_pairs_are_all_and_once(spark, most):
     base = rng.getrandbits(64)
     hs = {signed(base)} | {signed(base ^ sum(1 << b for b in rng.sample(range(64), rng.randint(0, 7)))) for _ in range(80)}
     want = {(min(a, b), max(a, b), d) for a, b in combinations(hs, 2) if (d := ((a ^ b) & (2**64 - 1)).bit_count()) <= most}
-    assert rows(dedup.close_pairs(spark.createDataFrame([(h,) for h in hs], "h bigint"), most)) == want
+    df = spark.createDataFrame([(h,) for h in hs], "h bigint")
+    assert rows(dedup.close_pairs(df, most)) == want
+    for way in [(3, 1, 0), (4, 2, 0), (6, 4, 0)] if most <= 2 else [(4, 1, 1), (4, 2, 1)]:
+        assert rows(dedup.close_pairs(df, most, way)) == want
+
+
+def test_keys_get_wider_for_more_hashes():
+    for most in (2, 8):
+        work = [n * (2 * math.comb(b, p) * (1 + 64 // b * f) ** p + n * math.comb(b, p) * (1 + 64 // b * f) ** (2 * p) / 2.0 ** (64 * p // b)) for n in (10**4, 10**6, 10**8) for b, p, f in [dedup.plan(n, most)]]
+        assert work[2] / work[0] < (10**4) ** 1.45
 
 
 def test_unknown_source(spark):
@@ -300,17 +310,20 @@ def test_label_lines(spark):
 def test_proposals_masks_and_centre(spark):
     props = spark.createDataFrame([("a", 0, 10.0, 20.0, 60.0, 80.0, 0.4), ("a", 1, 50.0, 20.0, 150.0, 80.0, 0.8), ("b", 0, 0.0, 0.0, 9.0, 9.0, 0.4), ("c", 0, 1.0, 1.0, 5.0, 5.0, 0.9), ("c", 1, 2.0, 2.0, 5.0, 5.0, 0.9)], "image string, pos int, x1 double, y1 double, x2 double, y2 double, confidence double")
     mask = np.zeros((80, 100), np.uint8)
-    mask[20:60, 10:50] = 1
-    mask[0:3, 90:95] = 1
-    full = np.ones((80, 100), np.uint8)
-    masks = spark.createDataFrame([("b", (80, 100, mask.tobytes())), ("d", (80, 100, full.tobytes())), ("e", (80, 100, bytes(8000)))], "image string, mask struct<h: int, w: int, data: binary>")
-    boxed = masks.select("image", autobox.mask_box(F.col("mask")).alias("box"))
-    images = spark.createDataFrame([(i, 200 if i == "a" else 100, 100 if i == "a" else 80) for i in "abcde"], "image string, width int, height int")
+    mask[20:60, 10:50] = 200
+    mask[0:3, 90:95] = 255
+    mask[0:80, 96:100] = 127  # no foreground
+    full = np.full((80, 100), 255, np.uint8)
+    thin = np.zeros((80, 100), np.uint8)
+    thin[0, :], thin[:, 0] = 255, 255  # its box is the whole image, its pixels are not
+    masks = spark.createDataFrame([("b", (80, 100, mask.tobytes())), ("d", (80, 100, full.tobytes())), ("e", (80, 100, bytes(8000))), ("f", (80, 100, thin.tobytes()))], "image string, mask struct<h: int, w: int, data: binary>")
+    boxed = masks.select("image", autobox.mask_box(F.col("mask")).alias("box")).withColumn("mask_area", F.col("box.area"))
+    images = spark.createDataFrame([(i, 200 if i == "a" else 100, 100 if i == "a" else 80) for i in "abcdef"], "image string, width int, height int")
     got = {r["image"]: r for r in autobox.chain(images, autobox.best_proposal(props, 0.5), boxed).collect()}
     assert (got["a"]["method"], tuple(got["a"]["box"]), got["a"]["confidence"], got["a"]["flags"]) == ("dino", (50.0, 20.0, 150.0, 80.0), 0.8, ["multibox"])
     assert (got["b"]["method"], tuple(got["b"]["box"]), got["b"]["confidence"], got["b"]["flags"]) == ("birefnet", (10.0, 20.0, 50.0, 60.0), None, [])
     assert tuple(got["c"]["box"]) == (1.0, 1.0, 5.0, 5.0)
-    assert {got[i]["method"] for i in "de"} == {"centerbox"} and got["d"]["flags"] == ["centerbox"]
+    assert {got[i]["method"] for i in "def"} == {"centerbox"} and got["d"]["flags"] == ["centerbox"]
     line = spark.createDataFrame([(50.0, 20.0, 150.0, 80.0)], "a double, b double, c double, d double").select(bx.label_line(F.lit(0), tuple(F.col(x) for x in "abcd"), F.lit(200), F.lit(100))).first()[0]
     assert line == "0 0.500000 0.500000 0.500000 0.600000"
 
@@ -378,6 +391,15 @@ def test_destinations(spark):
     assert rows(remap.destination_names(files)) == {("train/x.jpg", "p/src__x.jpg"), ("val/x.jpg", "p/src__x__1.jpg"), ("val/x.png", "q/src__x.png"), ("y", "p/src__y")}
 
 
+def test_destinations_never_meet(spark):
+    paths = [f"{d}/{stem}.jpg" for d, stem in (("1", "a"), ("2", "a"), ("3", "a"), ("4", "a"), ("1", "a__1"), ("2", "a__1"), ("1", "a__3"), ("1", "a__1__1"), ("1", "a__01"))]
+    got = rows(remap.destination_names(spark.createDataFrame([(p, "s", "t") for p in paths], "path string, source string, target string")))
+    assert {p: d.removeprefix("t/s__").removesuffix(".jpg") for p, d in got} == {
+        "1/a.jpg": "a", "2/a.jpg": "a__2", "3/a.jpg": "a__4", "4/a.jpg": "a__5", "1/a__1.jpg": "a__1", "2/a__1.jpg": "a__1__2", "1/a__3.jpg": "a__3", "1/a__1__1.jpg": "a__1__1", "1/a__01.jpg": "a__01",
+    }
+    assert len({d for _, d in got}) == len(paths)
+
+
 def test_label_lookup(spark):
     images = spark.createDataFrame([("a/images/x.jpg",), ("a/images/y.jpg",), ("images/b/images/z.jpg",), ("q.jpg",)], "image string")
     files = spark.createDataFrame([("a/images/x.txt",), ("a/labels/x.txt",), ("a/labels/y.txt",), ("images/b/labels/z.txt",), ("labels/b/images/z.txt",)], "path string")
