@@ -20,7 +20,8 @@ def main(argv: list[str] | None = None) -> int:
     b = sub.add_parser("build", help="curate, balance and split a set")
     b.add_argument("--data", required=True)
     b.add_argument("--out", required=True)
-    b.add_argument("--stage")
+    b.add_argument("--stage", help="run this stage alone")
+    b.add_argument("--start", help="run this stage and all behind it")
     b.add_argument("--force", action="store_true")
     b.add_argument("--leave-out")
     b.add_argument("--wild", action="append", default=[])
@@ -46,7 +47,7 @@ def main(argv: list[str] | None = None) -> int:
         elif args.what == "build":
             from siftlane.plans.build import BuildConfig, build
 
-            build(spark, args.data, args.out, BuildConfig(cap=args.cap, val_fraction=args.val, leave_out=args.leave_out, wild=tuple(args.wild), ack_review=args.ack_review), args.stage, args.force)
+            build(spark, args.data, args.out, BuildConfig(cap=args.cap, val_fraction=args.val, leave_out=args.leave_out, wild=tuple(args.wild), ack_review=args.ack_review), args.stage, args.force, start=args.start)
         else:
             from siftlane.sources.tables import canonical_items
             from siftlane.streaming import compactor

@@ -56,30 +56,41 @@ def _stretch(small: int, size: int) -> np.ndarray:
 
 
 def lose_resolution(image: np.ndarray, severity: int) -> np.ndarray:
+    """Down to what a sensor of ``SENSOR_PIXELS`` resolves at the last severity, proportionally less before, and back to the old size."""
     h, w = image.shape[:2]
-    full = min(1.0, math.sqrt(SENSOR_PIXELS / (h * w))) * RESOLVED
-    scale = 1 - (1 - full) * severity / SEVERITIES[-1]
-    sh, sw = max(1, round(h * scale)), max(1, round(w * scale))
+    pixels = min(h * w, SENSOR_PIXELS)
+    side = np.interp(severity, (0, SEVERITIES[-1]), (1.0, RESOLVED * (pixels / (h * w)) ** 0.5))
+    sh, sw = (max(1, round(n * float(side))) for n in (h, w))
     rows, cols = _stretch(sh, h) @ _weights(h, sh), _stretch(sw, w) @ _weights(w, sw)
     return np.einsum("ij,jkc,lk->ilc", rows, image, cols, optimize=True)
 
 
+def sensor_noise(shape: tuple[int, int], severity: int, rng: np.random.Generator) -> np.ndarray:
+    """Noise for three channels: one part is common to them, and each has a smaller part of its own."""
+    mixing = np.vstack([np.ones(3), CHROMA * np.eye(3)]) * (NOISE_BASE + NOISE_STEP * severity)
+    return rng.standard_normal((*shape, 4)) @ mixing
+
+
+def white_balance(severity: int, rng: np.random.Generator) -> np.ndarray:
+    """Gains of the three channels: red and blue drift apart, either way, and green goes up a little."""
+    drift = DRIFT_STEP * severity * (1 - 0.5 * rng.random())
+    tint = rng.choice((-1.0, 1.0))
+    return 1.0 + drift * np.array([tint, DRIFT_GREEN, -tint])
+
+
 def degrade(image: np.ndarray, severity: int, seed: int, codec: Callable[[np.ndarray, int], np.ndarray] | None = None) -> np.ndarray:
-    """An RGB image (height x width x 3, bytes) at a severity of 1 to 5; the same input gives the same bytes."""
+    """An RGB image (height x width x 3, bytes) at a severity of 1 to 5; the same input gives the same bytes.
+
+    The order of the random draws is its own: angle of the blur, noise, size and direction of the drift.
+    """
     if image.ndim != 3 or image.shape[2] != 3 or image.dtype != np.uint8 or image.size == 0:
         raise ValueError("expected height x width x 3 bytes")
     if severity not in SEVERITIES or seed < 0:
         raise ValueError("severity must be 1 to 5 and the seed not negative")
     rng = np.random.default_rng([seed, severity])
-    out = line_blur(image, BLUR[severity], rng.uniform(0, math.pi))
-    out = lose_resolution(out, severity)
-    sigma = NOISE_BASE + NOISE_STEP * severity
-    h, w = image.shape[:2]
-    out = out + rng.normal(0, sigma, (h, w, 1)) + rng.normal(0, sigma * CHROMA, (h, w, 3))
-    drift = rng.uniform(0.5, 1.0) * DRIFT_STEP * severity
-    warm = 1 if rng.random() < 0.5 else -1
-    out = out * np.array([1 + warm * drift, 1 + DRIFT_GREEN * drift, 1 - warm * drift])
-    done = np.clip(out, 0, 255).astype(np.uint8)
+    seen = lose_resolution(line_blur(image, BLUR[severity], math.pi * rng.random()), severity)
+    noisy = seen + sensor_noise(image.shape[:2], severity, rng)
+    done = np.clip(noisy * white_balance(severity, rng), 0, 255).astype(np.uint8)
     return codec(done, severity) if codec else done
 
 

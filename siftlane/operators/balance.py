@@ -47,12 +47,12 @@ def balance(items: DataFrame, cap: int, seed: int = 42, exempt: list[str] | None
     pool = items.where(~free)
     counts = pool.groupBy("class_name", "source").agg(F.count("*").alias("all_items"))
     if source_caps is not None:
-        counts = counts.join(F.broadcast(source_caps.hint("broadcast")), ["source", "class_name"], "left")
+        counts = counts.join(source_caps, ["source", "class_name"], "left")
     else:
         counts = counts.withColumn("source_cap", F.lit(None).cast("int"))
     counts = counts.withColumn("size", F.least("all_items", F.coalesce("source_cap", "all_items")).cast("bigint"))
     takes = allocate(counts.select("class_name", "source", "size"), cap)
-    sized = pool.join(F.broadcast(takes), ["class_name", "source"])
+    sized = pool.join(takes, ["class_name", "source"])
     strata = ["class_name", "source"]
     if generator == "twister":
         first = twister_sample(sized, strata, "size", "srccap", "key", seed)
@@ -75,4 +75,4 @@ def below_floor(balanced: DataFrame, floor: int) -> DataFrame:
 def review_sample(items: DataFrame, strata: list[str], fraction: float, seed: int = 42, purpose: str = "review") -> DataFrame:
     """``ceil(fraction * n)`` items of each stratum."""
     counts = items.groupBy(*strata).agg(F.ceil(F.count("*") * F.lit(float(fraction)) - 1e-9).cast("bigint").alias("wanted"))
-    return hash_sample(items.join(F.broadcast(counts), strata), strata, "wanted", purpose, seed).drop("wanted")
+    return hash_sample(items.join(counts, strata), strata, "wanted", purpose, seed).drop("wanted")

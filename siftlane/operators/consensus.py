@@ -20,10 +20,11 @@ def top_scores(detections: DataFrame) -> DataFrame:
 def tally(votes: DataFrame, tau: DataFrame) -> DataFrame:
     """``cell, object, class_id, q, hi``: qualified votes and the highest score per class; ``tau``: ``cell, class_id, tau``.
 
-    A class without a threshold in a cell has no vote there. The number of rows is set by objects, classes and distinct thresholds, not by frames.
+    A vote for a class that has no threshold is an error. The number of rows is set by objects, classes and distinct thresholds, not by frames.
     """
-    joined = votes.join(F.broadcast(tau), "class_id")
-    return joined.groupBy("cell", "object", "class_id").agg(F.count_if(F.col("score") >= F.col("tau")).alias("q"), F.max("score").alias("hi"))
+    joined = votes.join(tau, "class_id", "left")
+    known = F.coalesce(F.col("tau"), F.raise_error(F.concat(F.lit("no threshold for class "), F.coalesce(F.col("class_id").cast("string"), F.lit("NULL")))).cast("double"))
+    return joined.groupBy("cell", "object", "class_id").agg(F.count_if(F.col("score") >= known).alias("q"), F.max("score").alias("hi"))
 
 
 def decide(tallies: DataFrame, min_votes: int | None = None, high_water: float | None = None) -> DataFrame:

@@ -28,7 +28,7 @@ def zscores(boxes: DataFrame) -> DataFrame:
         F.count("*").alias("n"), F.avg("area").alias("ma"), F.stddev_pop("area").alias("sa"), F.count("aspect").alias("np"), F.avg("aspect").alias("mp"), F.stddev_pop("aspect").alias("sp")
     )
     z = lambda x, m, s, n: F.when(F.col(n) >= 2, (F.col(x) - F.col(m)) / F.nullif(F.round(s, 12), F.lit(0.0)))
-    return shaped.join(F.broadcast(stats), "class_id").select(
+    return shaped.join(stats, "class_id").select(
         "image", "class_id", "cx", "cy", "w", "h", "area", "aspect", z("area", "ma", "sa", "n").alias("area_z"), z("aspect", "mp", "sp", "np").alias("aspect_z")
     )
 

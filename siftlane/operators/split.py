@@ -32,7 +32,7 @@ def clean_holdout(groups: DataFrame, sources: list[str], fraction: float, seed:
     """``group_id`` of the first ``round(n * fraction)`` groups of each stratum of the clean sources."""
     eligible = _places(groups.where(F.col("source").isin(sources)), "clean_holdout", seed, generator)
     counts = eligible.groupBy("source", "class_name").agg(F.floor(F.count("*") * F.lit(float(fraction)) + 0.5).alias("take"))
-    return eligible.join(F.broadcast(counts), ["source", "class_name"]).where("place <= take").select("group_id")
+    return eligible.join(counts, ["source", "class_name"]).where("place <= take").select("group_id")
 
 
 def train_val(spark: SparkSession, members: DataFrame, groups: DataFrame, fraction: float = 0.15, seed: int = 42, generator: str = "hash") -> DataFrame:
@@ -72,7 +72,7 @@ def train_val(spark: SparkSession, members: DataFrame, groups: DataFrame, fracti
         for r in taken.groupBy("ts", "tc").agg(F.sum("n").alias("n")).collect():
             start[r["ts"], r["tc"]] += r["n"]
     limits = spark.createDataFrame([(a, b, room[a, b]) for a, b in sizes], "source string, class_name string, room bigint")
-    return placed.join(F.broadcast(limits), ["source", "class_name"]).select("group_id", F.when(F.col("before") < F.col("room"), "val").otherwise("train").alias("split"))
+    return placed.join(limits, ["source", "class_name"]).select("group_id", F.when(F.col("before") < F.col("room"), "val").otherwise("train").alias("split"))
 
 
 def split_items(
@@ -123,5 +123,5 @@ def dense_composition(split: DataFrame) -> DataFrame:
     """The composition with a 0 in every cell of the splits, classes and sources that occur."""
     counts = composition(split)
     axes = [counts.select(c).distinct() for c in ("split", "class_name", "source")]
-    cells = axes[0].crossJoin(F.broadcast(axes[1])).crossJoin(F.broadcast(axes[2]))
+    cells = axes[0].crossJoin(axes[1]).crossJoin(axes[2])
     return cells.join(counts, ["split", "class_name", "source"], "left").withColumn("items", F.coalesce("items", F.lit(0)))

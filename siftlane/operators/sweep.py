@@ -47,14 +47,19 @@ def sweep(votes: DataFrame, truth: DataFrame, cells: DataFrame, taus: DataFrame)
     tallies = tally(votes, taus.withColumnRenamed("tau_frame", "cell"))
     top = F.max_by(F.struct("class_id", "q", "hi"), F.struct(F.col("q"), -F.col("class_id")))
     one = tallies.groupBy("cell", "object").agg(top.alias("t"), F.sum("q").alias("all_q"))
-    # What decides about an object in every cell of a threshold; the objects come down to counts of few distinct values per cell.
+    # What decides about an object in every cell of a threshold.
     facts = truth.withColumnRenamed("class_id", "truth").join(one, "object", "left")
     sides = F.when(F.col("truth").isNull(), "wild").when(F.col("t.class_id") == F.col("truth"), "right").otherwise("wrong")
     lead = F.coalesce(2 * F.col("t.q") > F.col("all_q"), F.lit(False))
     slim = facts.select("cell", sides.alias("side"), F.when(lead, F.col("t.q")).otherwise(F.lit(-1)).alias("q"), F.coalesce("t.hi", F.lit(-1.0)).alias("hi"))
-    flat = cells.join(slim, F.col("tau_frame") == F.col("cell"))
-    decided = (F.col("q") >= F.col("min_votes")) & (F.col("hi") >= F.col("high_water"))
-    hits = flat.where(decided).groupBy("cell_idx").agg(F.count_if(F.col("side") != "right").alias("bad"), F.count_if(F.col("side") != "wild").alias("binned"))
+    # The objects come down to counts: votes beyond the largest minimum are alike, and so are scores between two waters.
+    axes = cells.agg(F.max("min_votes").alias("most"), F.array_sort(F.collect_set("high_water")).alias("waters"))
+    level = lambda score: F.size(F.filter("waters", lambda w: w <= score))
+    counts = slim.crossJoin(axes).groupBy("cell", "side", F.least("q", "most").alias("q"), level(F.col("hi")).alias("level")).agg(F.count("*").alias("objects"))
+    flat = cells.crossJoin(axes).withColumn("need", level(F.col("high_water"))).join(counts, F.col("tau_frame") == F.col("cell"))
+    decided = (F.col("q") >= F.col("min_votes")) & (F.col("level") >= F.col("need"))
+    part = lambda side: F.sum(F.when(F.col("side") != side, F.col("objects")).otherwise(0))
+    hits = flat.where(decided).groupBy("cell_idx").agg(part("right").alias("bad"), part("wild").alias("binned"))
     totals = truth.agg(F.count("*").alias("n"), F.count("class_id").alias("known"))
     means = taus.groupBy("tau_frame").agg(F.avg("tau").alias("tau_mean"))
     return (

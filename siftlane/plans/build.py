@@ -5,7 +5,6 @@ from __future__ import annotations
 import json
 from collections.abc import Callable
 from dataclasses import dataclass, field, replace
-from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -16,6 +15,7 @@ from siftlane.operators import autobox, balance, dedup, qa, quality, remap, spli
 from siftlane.operators.checks import require_none, require_subset, require_unique
 from siftlane.plans import views
 from siftlane.plans.pipeline import Halt, Stage, fingerprint, run_stages
+from siftlane.sources.sinks import read_note, write_note
 from siftlane.sources.tables import table
 from siftlane.streaming.compactor import named_files
 
@@ -65,24 +65,24 @@ def stages(spark: SparkSession, data: str, out: str, config: BuildConfig, force:
     """
     mark = fingerprint(replace(config, ack_review=True), data.encode())
 
-    def path(name: str) -> Path:
-        return Path(out) / name
+    def path(name: str) -> str:
+        return f"{out.rstrip('/')}/{name}"
 
     def complete(name: str) -> bool:
-        note = path(name) / "_settings.json"
-        return note.is_file() and json.loads(note.read_text()).get("fingerprint") == mark
+        note = read_note(spark, f"{path(name)}/_settings.json")
+        return note is not None and json.loads(note).get("fingerprint") == mark
 
     def stage(name: str, make: Callable[[], DataFrame], hint: str, then: Callable[[], None] = lambda: None) -> Stage:
         def run() -> None:
-            (path(name) / "_settings.json").unlink(missing_ok=True)
-            make().write.mode("overwrite").parquet(str(path(name)))
+            write_note(spark, f"{path(name)}/_settings.json", None)
+            make().write.mode("overwrite").parquet(path(name))
             then()
-            (path(name) / "_settings.json").write_text(json.dumps({"fingerprint": mark}))
+            write_note(spark, f"{path(name)}/_settings.json", json.dumps({"fingerprint": mark}))
 
         return Stage(name, run, lambda: complete(name), hint)
 
     def read(name: str) -> DataFrame:
-        return spark.read.parquet(str(path(name)))
+        return spark.read.parquet(path(name))
 
     specs = table(spark, data, "source_specs")
 
@@ -142,8 +142,8 @@ def stages(spark: SparkSession, data: str, out: str, config: BuildConfig, force:
         rows = flagged.withColumnRenamed("image", "key")
         more = F.col("class_name").isin(*MORE)
         sample = balance.review_sample(rows.where(more), ["class_name"], REVIEWED_MORE, config.seed).unionByName(balance.review_sample(rows.where(~more), ["class_name"], REVIEWED, config.seed))
-        sample.write.mode("overwrite").parquet(str(path("review_sample")))
-        qa.review_queue(flagged).write.mode("overwrite").parquet(str(path("review_queue")))
+        sample.write.mode("overwrite").parquet(path("review_sample"))
+        qa.review_queue(flagged).write.mode("overwrite").parquet(path("review_queue"))
         groups = flagged.select("class_name").distinct().join(optional(spark, data, "review_results"), "class_name", "left")
         verdicts = {r["verdict"] for r in groups.select(qa.gate(F.col("review_fail"), F.col("location_fail"), F.col("median_iou")).alias("verdict")).distinct().collect()}
         if verdicts - {"pass"} and not config.ack_review:
@@ -212,7 +212,7 @@ def stages(spark: SparkSession, data: str, out: str, config: BuildConfig, force:
     ], steps
 
 
-def build(spark: SparkSession, data: str, out: str, config: BuildConfig | None = None, only: str | None = None, force: bool = False, say: Callable[[str], None] = print) -> list[str]:
-    """The stages that ran. ``only`` may also name a step of ``items``. `Halt` passes through where the QA gate waits for people."""
+def build(spark: SparkSession, data: str, out: str, config: BuildConfig | None = None, only: str | None = None, force: bool = False, say: Callable[[str], None] = print, start: str | None = None) -> list[str]:
+    """The stages that ran. ``only`` may also name a step of ``items``; ``start`` runs a stage and all behind it. `Halt` passes through where the QA gate waits for people."""
     main, steps = stages(spark, data, out, config or BuildConfig(), force)
-    return run_stages(steps if only in {s.name for s in steps} else main, only, force, say)
+    return run_stages(steps if only in {s.name for s in steps} else main, only, force, say, start)

@@ -28,21 +28,24 @@ class Stage:
     hint: str = ""
 
 
-def run_stages(stages: Sequence[Stage], only: str | None = None, force: bool = False, say: Callable[[str], None] = lambda _: None) -> list[str]:
+def run_stages(stages: Sequence[Stage], only: str | None = None, force: bool = False, say: Callable[[str], None] = lambda _: None, start: str | None = None) -> list[str]:
     """Run stages in order and return the names of those that ran.
 
-    Complete stages are skipped unless ``force``. With ``only``, that stage alone runs, and earlier ones must be complete. A failing
-    stage ends the run with its name and hint; `Halt` passes through.
+    Complete stages are skipped unless ``force``. With ``only`` that stage alone runs, with ``start`` that one and all behind it, and earlier ones
+    must be complete. A failing stage ends the run with its name and hint; `Halt` passes through.
     """
     names = [s.name for s in stages]
-    if only is not None and only not in names:
-        raise StageError(f"no stage {only}; there are {names}")
+    if len(set(names)) < len(names):
+        raise StageError(f"names of stages repeat: {names}")
+    first = only if only is not None else start
+    if first is not None and first not in names:
+        raise StageError(f"no stage {first}; there are {names}")
+    begin = names.index(first) if first is not None else 0
+    for s in stages[:begin]:
+        if not s.is_complete():
+            raise StageError(f"stage {s.name} must be complete before {first}")
     ran = []
-    for s in stages:
-        if only is not None and s.name != only:
-            if names.index(s.name) < names.index(only) and not s.is_complete():
-                raise StageError(f"stage {s.name} must be complete before {only}")
-            continue
+    for s in stages[begin : begin + 1 if only is not None else None]:
         if s.is_complete() and not force:
             say(f"{s.name}: complete")
             continue

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -79,6 +80,12 @@ def p1_compacted(spark: SparkSession, d: str) -> DataFrame:
     return sealed.select("key", *about("image"), *about("label"), "copies")
 
 
+@query(f"WITH {_STORED} SELECT DISTINCT k AS key, kind, min(file_id) OVER (PARTITION BY k, kind) AS representative, file_id FROM r")
+def p1_copies(spark: SparkSession, d: str) -> DataFrame:
+    """Every file that holds a record, with the first file of that record."""
+    return compactor.record_copies(_log(spark, d))
+
+
 # ---------------------------------------------------------------- decisions
 
 
@@ -311,9 +318,23 @@ def ca1_temperature(spark: SparkSession, d: str) -> DataFrame:
     return views.detections(spark, d).withColumn("calibrated", F.round(calibrate.with_temperature(F.col("score"), 1.5), 6))
 
 
-@query()
+#: Step of the logarithm to which a fitted temperature is reported.
+LOG_STEP = 0.01
+
+
+@query(
+    f"""WITH {DETS_SQL}, p AS (SELECT score, correct::DOUBLE AS y, count(*) AS n FROM scored GROUP BY 1, 2), l AS (SELECT n, y, ln(least(greatest(score, 1e-6), 1 - 1e-6) / (1 - least(greatest(score, 1e-6), 1 - 1e-6))) AS z FROM p),
+g AS (SELECT k, sum(n * -(y * ln(q) + (1 - y) * ln(1 - q))) AS loss FROM (SELECT k, n, y, least(greatest(1 / (1 + exp(-z / exp(k * {LOG_STEP}::DOUBLE))), 1e-6), 1 - 1e-6) AS q FROM l, range(-460, 461) r(k)) GROUP BY 1)
+SELECT round(exp(arg_min(k, loss) * {LOG_STEP}::DOUBLE), 6) AS temperature FROM g"""
+)
 def ca2_fit_temperature(spark: SparkSession, d: str) -> DataFrame:
-    return spark.createDataFrame([(round(calibrate.fit_temperature(_pairs(spark, d)), 4),)], "temperature double")
+    """The fitted temperature, to the nearest step of the logarithm that has the least loss."""
+    pairs = _pairs(spark, d)
+    near = round(math.log(calibrate.fit_temperature(pairs)) / LOG_STEP)
+    steps = range(near - 2, near + 3)
+    losses = calibrate.total_nll(pairs.groupBy("score", "label").agg(F.count("*").alias("n")), [k * LOG_STEP for k in steps])
+    best = min(zip(losses, steps, strict=True))[1]
+    return spark.createDataFrame([(round(math.exp(best * LOG_STEP), 6),)], "temperature double")
 
 
 @query(
@@ -338,9 +359,13 @@ def _boxes(spark: SparkSession, d: str) -> DataFrame:
     return bx.boxes_table(views.labels(spark, d)).where("ok").drop("ok")
 
 
-@query(f"WITH {LABELS_SQL} SELECT image, pos FROM allbox WHERE NOT ok")
+@query(f"WITH {LABELS_SQL} SELECT image, pos FROM allbox WHERE NOT ok UNION ALL SELECT image, max(pos) + 1 AS pos FROM allbox GROUP BY image")
 def sc3_bad_lines(spark: SparkSession, d: str) -> DataFrame:
-    return bx.boxes_table(views.labels(spark, d)).where("NOT ok").select("image", F.col("pos").cast("bigint").alias("pos"))
+    """Bad lines of all label files, to each of which that has lines a bad one has been added."""
+    labels = views.labels(spark, d)
+    worse = labels.withColumn("label_text", F.concat(F.rtrim("label_text"), F.lit("\nx 0.5 0.5 0.1")))
+    lines = labels.select("image", F.size(bx.label_lines(F.col("label_text"))).alias("n")).where("n > 0").select("image")
+    return bx.boxes_table(worse.join(lines, "image", "left_semi")).where("NOT ok").select("image", F.col("pos").cast("bigint").alias("pos"))
 
 
 @query(f"WITH {LABELS_SQL} SELECT l.image, round(CASE WHEN bool_and(ok) THEN max(w * h) END, 12) AS largest FROM labels l LEFT JOIN allbox b ON b.image = l.image GROUP BY 1")
@@ -498,15 +523,20 @@ def pf14_best_proposal(spark: SparkSession, d: str) -> DataFrame:
 @query(
     f"""WITH {_PROPOSALS}, n AS (SELECT image, count(*) AS n FROM prop GROUP BY 1),
 best AS (SELECT image, class_id_.* EXCLUDE (image, n, pos, det_id), n > 1 AS multibox FROM (SELECT prop.*, n.n FROM prop JOIN n USING (image) WHERE confidence >= 0.5 QUALIFY row_number() OVER (PARTITION BY image ORDER BY confidence DESC, pos) = 1) class_id_),
-img AS (SELECT DISTINCT image_id AS image FROM detections)
-SELECT image, CASE WHEN best.confidence IS NOT NULL THEN 'dino' ELSE 'centerbox' END AS method, best.confidence, CASE WHEN multibox THEN 'multibox' WHEN best.confidence IS NULL THEN 'centerbox' ELSE '' END AS flags,
-  concat_ws(' ', '0', {_six("(coalesce(x1, 64.0) + coalesce(x2, 576.0)) / 2 / 640")}, {_six("(coalesce(y1, 48.0) + coalesce(y2, 432.0)) / 2 / 480")}, {_six("(coalesce(x2, 576.0) - coalesce(x1, 64.0)) / 640")}, {_six("(coalesce(y2, 432.0) - coalesce(y1, 48.0)) / 480")}) AS line
-FROM img LEFT JOIN best USING (image)"""
+img AS (SELECT image_id AS image, min(class_id) AS c FROM detections GROUP BY 1),
+b AS (SELECT image, CASE WHEN best.confidence IS NOT NULL THEN 'dino' WHEN c BETWEEN 1 AND 4 THEN 'birefnet' ELSE 'centerbox' END AS method, best.confidence, multibox, c, best.x1, best.y1, best.x2, best.y2 FROM img LEFT JOIN best USING (image)),
+r AS (SELECT image, method, confidence, multibox, CASE method WHEN 'dino' THEN x1 WHEN 'birefnet' THEN 10.0 * c ELSE 64.0 END::DOUBLE AS x1, CASE method WHEN 'dino' THEN y1 WHEN 'birefnet' THEN 5.0 * c ELSE 48.0 END::DOUBLE AS y1,
+  CASE method WHEN 'dino' THEN x2 WHEN 'birefnet' THEN 300.0 + c ELSE 576.0 END::DOUBLE AS x2, CASE method WHEN 'dino' THEN y2 WHEN 'birefnet' THEN 200.0 + c ELSE 432.0 END::DOUBLE AS y2 FROM b)
+SELECT image, method, confidence, CASE WHEN multibox THEN 'multibox' WHEN method = 'centerbox' THEN 'centerbox' ELSE '' END AS flags,
+  concat_ws(' ', '0', {_six("(x1 + x2) / 2 / 640")}, {_six("(y1 + y2) / 2 / 480")}, {_six("(x2 - x1) / 640")}, {_six("(y2 - y1) / 480")}) AS line
+FROM r"""
 )
 def pf15_box_chain(spark: SparkSession, d: str) -> DataFrame:
-    images = table(spark, d, "detections").select(F.col("image_id").alias("image"), F.lit(640).alias("width"), F.lit(480).alias("height")).distinct()
-    none = spark.createDataFrame([], "image string, mask_area int, box struct<x1:int,y1:int,x2:int,y2:int>")
-    done = autobox.chain(images, autobox.best_proposal(_proposals(spark, d), 0.5), none)
+    """Boxes for all images of detections: from proposals, else from masks made of the smallest class, of which some cover too little or too much."""
+    images = table(spark, d, "detections").groupBy(F.col("image_id").alias("image")).agg(F.min("class_id").alias("c"), F.lit(640).alias("width"), F.lit(480).alias("height"))
+    corners = F.struct((F.col("c") * 10).alias("x1"), (F.col("c") * 5).alias("y1"), (F.col("c") + 300).alias("x2"), (F.col("c") + 200).alias("y2"))
+    masks = images.select("image", (F.col("c") * 61_440).alias("mask_area"), corners.alias("box"))
+    done = autobox.chain(images.drop("c"), autobox.best_proposal(_proposals(spark, d), 0.5), masks)
     box = tuple(F.col(f"box.{c}") for c in ("x1", "y1", "x2", "y2"))
     return done.select("image", "method", "confidence", F.array_join("flags", "|").alias("flags"), bx.label_line(F.lit(0), box, F.lit(640), F.lit(480)).alias("line"))
 
@@ -594,18 +624,19 @@ def pf5_label_lookup(spark: SparkSession, d: str) -> DataFrame:
 
 @query(
     rf"""WITH {ITEMS_SQL}, f AS (SELECT DISTINCT i.image AS path, source, class_name AS target, regexp_extract(i.image, '([^/]*)$', 1) AS name FROM (SELECT DISTINCT key, image FROM items) i JOIN it ON it.k = i.key),
-g AS (SELECT *, substr(md5(path), 1, 2) AS stem, regexp_extract(name, '(\.[^.]*)$', 1) AS suffix FROM f)
-SELECT path, target || '/' || source || '__' || stem || CASE WHEN k = 0 THEN '' ELSE '__' || k END || suffix AS destination FROM (SELECT *, row_number() OVER (PARTITION BY source, target, stem ORDER BY path) - 1 AS k FROM g)"""
+g AS (SELECT *, substr(md5(path), 1, 2) || CASE WHEN substr(md5(path), 3, 1) BETWEEN '1' AND '3' THEN '__' || substr(md5(path), 3, 1) ELSE '' END AS stem, regexp_extract(name, '(\.[^.]*)$', 1) AS suffix FROM f),
+own AS (SELECT source, target, regexp_replace(stem, '__[0-9]+$', '') AS stem, list(DISTINCT regexp_extract(stem, '__([0-9]+)$', 1)::BIGINT) AS taken FROM g WHERE stem LIKE '%\_\_%' ESCAPE '\' GROUP BY 1, 2, 3),
+n AS (SELECT g.*, row_number() OVER (PARTITION BY source, target, g.stem ORDER BY path) - 1 AS k, coalesce(taken, []) AS taken FROM g LEFT JOIN own USING (source, target, stem))
+SELECT path, target || '/' || source || '__' || stem || CASE WHEN k = 0 THEN '' ELSE '__' || list_filter(range(1, k + len(taken) + 1), lambda x: NOT list_contains(taken, x))[k] END || suffix AS destination FROM n"""
 )
 def pf6_dest_names(spark: SparkSession, d: str) -> DataFrame:
-    """Destinations of images that have been renamed to two letters of their hash, so that many collide."""
+    """Destinations of images that have been renamed to two letters of their hash, some with a number behind, so that many collide, also with tagged names."""
     keys = views.items(spark, d).join(table(spark, d, "items").select("key", "image").distinct(), "key")
-    short = F.concat(F.regexp_replace("image", r"[^/]*$", ""), F.substring(F.md5("image"), 1, 2), F.regexp_extract("image", r"(\.[^.]*)$", 1))
+    digit = F.substring(F.md5("image"), 3, 1)
+    letters = F.concat(F.substring(F.md5("image"), 1, 2), F.when(digit.between("1", "3"), F.concat(F.lit("__"), digit)).otherwise(""))
     # The order among equal names is that of the original paths, which the new path ends with behind a mark that is cut again.
-    files = keys.select("image", short.alias("short"), "source", F.col("class_name").alias("target")).distinct()
-    stem = F.regexp_replace(F.substring_index("short", "/", -1), r"\.[^.]*$", "")
-    suffix = F.regexp_extract("short", r"(\.[^.]*)$", 1)
-    marked = files.select(F.concat(F.col("image"), F.lit("/"), stem, suffix).alias("path"), "source", "target")
+    files = keys.select("image", letters.alias("stem"), F.regexp_extract("image", r"(\.[^.]*)$", 1).alias("suffix"), "source", F.col("class_name").alias("target")).distinct()
+    marked = files.select(F.concat(F.col("image"), F.lit("/"), "stem", "suffix").alias("path"), "source", "target")
     named = remap.destination_names(marked)
     return named.select(F.regexp_replace("path", r"/[^/]*$", "").alias("path"), "destination")
 
@@ -682,10 +713,23 @@ def dd4_overlap(spark: SparkSession, d: str) -> DataFrame:
     return dedup.source_matrix(pairs, views.items(spark, d).select(F.col("ident").alias("key"), "source"), "kept", "gone")
 
 
-@query(f"WITH {ITEMS_SQL} SELECT DISTINCT regexp_replace(trim(lower(b.source)), '[\\s_\\-]+', '-', 'g') AS source FROM box_records b WHERE b.source IS NOT NULL AND regexp_replace(trim(lower(b.source)), '[\\s_\\-]+', '-', 'g') NOT IN (SELECT source FROM source_specs)")
+@query("""SELECT DISTINCT source FROM (SELECT regexp_replace(trim(lower(source)), '[\\s_\\-]+', '-', 'g') AS source FROM box_records UNION ALL SELECT regexp_replace(trim(lower(source)), '[\\s_\\-]+', '-', 'g') FROM documents)
+WHERE source <> '' AND source NOT IN (SELECT source FROM source_specs)""")
 def dd5_unknown_sources(spark: SparkSession, d: str) -> DataFrame:
-    named = table(spark, d, "box_records").select(plain_name(F.col("source")).alias("source")).where("source IS NOT NULL")
-    return dedup.unknown_sources(named, table(spark, d, "source_specs"))
+    """Sources of box records and documents that have no priority among the sources of items; those of documents have none."""
+    named = table(spark, d, "box_records").select("source").unionByName(table(spark, d, "documents").select("source"))
+    return dedup.unknown_sources(named.select(plain_name(F.col("source")).alias("source")).where("source IS NOT NULL"), table(spark, d, "source_specs"))
+
+
+_DISTINCT_HASHES = f"WITH {_HASH}, x AS (SELECT DISTINCT h FROM hash)"
+
+
+@query(f"{_DISTINCT_HASHES} SELECT (SELECT count(*) FROM x) AS hashes, (SELECT min(bit_count(xor(a.h, b.h)))::INT FROM x a JOIN x b ON a.h < b.h AND bit_count(xor(a.h, b.h)) <= 8) AS nearest")
+def px9_separation(spark: SparkSession, d: str) -> DataFrame:
+    """How many different hashes there are, and the least distance between two of them where that is at most 8."""
+    hashes = Scratch(spark, "separation").keep(_hashed(spark, d).select("h").distinct(), "hashes")
+    pairs = dedup.close_pairs(hashes, dedup.NEAR)
+    return hashes.agg(F.count("*").alias("hashes")).crossJoin(pairs.agg(F.min("distance").cast("int").alias("nearest")))
 
 
 @query(f"WITH RECURSIVE {EDGES_SQL}, {reach_sql('e')} SELECT key, group_id FROM comp")
@@ -733,7 +777,7 @@ def _balanced(spark: SparkSession, d: str) -> DataFrame:
 def bl3_allocate(spark: SparkSession, d: str) -> DataFrame:
     caps = table(spark, d, "source_specs").select("source", F.explode("cap").alias("class_name", "source_cap"))
     counts = views.items(spark, d).where(~F.col("source").isin(WILD)).groupBy("class_name", "source").agg(F.count("*").alias("n"))
-    sized = counts.join(F.broadcast(caps), ["source", "class_name"], "left").select("class_name", "source", F.least("n", F.coalesce("source_cap", "n")).cast("bigint").alias("size"))
+    sized = counts.join(caps, ["source", "class_name"], "left").select("class_name", "source", F.least("n", F.coalesce("source_cap", "n")).cast("bigint").alias("size"))
     return balance.allocate(sized, CAP)
 
 

@@ -29,9 +29,12 @@ def build_session(app: str = "siftlane", master: str | None = None, **conf: str)
 
 
 def checkpoint_root(spark: SparkSession) -> str:
-    """The folder named by ``spark.checkpoint.dir``; where it is unset (tests, one machine), an own folder is made once."""
+    """The folder named by ``spark.checkpoint.dir``; where it is unset on one machine (a local master), an own folder is made once. On a cluster it
+    must be set: tables in a folder of one machine can't be read by the others."""
     root = spark.conf.get("spark.checkpoint.dir", None) or getattr(spark, "_siftlane_root", None)
     if not root:
+        if not spark.sparkContext.master.startswith("local["):
+            raise RuntimeError("spark.checkpoint.dir must name a folder that all machines share")
         root = "file://" + tempfile.mkdtemp(prefix="siftlane-")
         spark._siftlane_root = root
     if spark.sparkContext.getCheckpointDir() is None:

@@ -9,7 +9,9 @@ import tarfile
 import time
 import urllib.request
 import zipfile
+from collections.abc import Callable, Iterable
 from pathlib import Path
+from typing import IO
 
 from siftlane.sources.registry import ConfigError, Source
 
@@ -47,13 +49,26 @@ def _inside(dest: Path, name: str) -> Path:
     path = (dest / name).resolve()
     if not path.is_relative_to(dest.resolve()):
         raise FetchError(f"{name} leads out of the target folder")
-    if path.exists():
-        raise FetchError(f"{name} exists already")
     return path
 
 
+def _written(path: Path, source: Callable[[], IO[bytes] | None]) -> bool:
+    """Write a file unless it is there."""
+    if path.exists():
+        return False
+    path.parent.mkdir(parents=True, exist_ok=True)
+    part = path.with_name(path.name + ".unpacking")
+    src = source()
+    assert src is not None
+    with src, open(part, "wb") as out:
+        shutil.copyfileobj(src, out)
+    part.replace(path)
+    return True
+
+
 def extract(archive: Path, dest: Path) -> int:
-    """Unpack zip, tar or tar.gz; links, paths that lead out and existing files are refused before anything is written. Returns the files."""
+    """Unpack zip, tar or tar.gz; links and paths that lead out are refused before anything is written. A file that exists stays as it is, so an
+    interrupted unpacking goes on where it stopped: a file is written under another name first. Returns the files written."""
     dest.mkdir(parents=True, exist_ok=True)
     if zipfile.is_zipfile(archive):
         with zipfile.ZipFile(archive) as z:
@@ -62,12 +77,7 @@ def extract(archive: Path, dest: Path) -> int:
                 if (i.external_attr >> 16) & 0o170000 == 0o120000:
                     raise FetchError(f"{i.filename} is a link")
                 _inside(dest, i.filename)
-            for i in names:
-                path = dest / i.filename
-                path.parent.mkdir(parents=True, exist_ok=True)
-                with z.open(i) as src, open(path, "wb") as out:
-                    shutil.copyfileobj(src, out)
-            return len(names)
+            return sum(_written(dest / i.filename, lambda i=i: z.open(i)) for i in names)
     if tarfile.is_tarfile(archive):
         with tarfile.open(archive) as t:
             members = [m for m in t.getmembers() if not m.isdir()]
@@ -75,32 +85,40 @@ def extract(archive: Path, dest: Path) -> int:
                 if not m.isfile():
                     raise FetchError(f"{m.name} is no plain file")
                 _inside(dest, m.name)
-            for m in members:
-                path = dest / m.name
-                path.parent.mkdir(parents=True, exist_ok=True)
-                src = t.extractfile(m)
-                assert src is not None
-                with src, open(path, "wb") as out:
-                    shutil.copyfileobj(src, out)
-            return len(members)
+            return sum(_written(dest / m.name, lambda m=m: t.extractfile(m)) for m in members)
     raise FetchError(f"{archive.name}: unknown kind of archive")
 
 
-def download(source: Source, raw_root: Path, scratch: Path) -> dict:
-    """Fetch, verify and unpack a source once: with a manifest in place nothing is done, raw files are never changed."""
+def download(source: Source, raw_root: Path, scratch: Path, force: bool = False) -> dict:
+    """Fetch, verify and unpack a source once.
+
+    With a manifest in place nothing is done, unless ``force``; but one whose sha256 isn't the registry's is an error, since raw files are never
+    changed: the old ones must be moved away first.
+    """
     dest = raw_root / source.name
     manifest = dest / ".manifest.json"
-    if manifest.is_file():
-        return json.loads(manifest.read_text())
+    wanted = source.fetcher.sha256
+    if manifest.is_file() and not force:
+        record = json.loads(manifest.read_text())
+        if wanted not in (None, record["sha256"]):
+            raise FetchError(f"{source.name}: what is there has the sha256 {record['sha256']}, the registry wants {wanted}; move it away and fetch again")
+        return record
     archive = fetch(source, scratch)
     digest = sha256_of(archive)
-    if source.fetcher.sha256 is not None and digest != source.fetcher.sha256:
-        raise FetchError(f"{source.name}: the archive's sha256 is {digest}, not {source.fetcher.sha256}")
-    record = {"source": source.name, "sha256": digest, "files": extract(archive, dest), "fetched_at": time.strftime("%Y-%m-%dT%H:%M:%SZ", time.gmtime())}
+    if wanted not in (None, digest):
+        raise FetchError(f"{source.name}: the archive's sha256 is {digest}, not {wanted}")
+    extract(archive, dest)
+    files = sum(p.is_file() and p != manifest for p in dest.rglob("*"))
+    record = {"source": source.name, "sha256": digest, "files": files, "fetched_at": time.strftime("%Y-%m-%dT%H:%M:%SZ", time.gmtime())}
     manifest.write_text(json.dumps(record, sort_keys=True))
     return record
 
 
+def download_all(sources: Iterable[Source], raw_root: Path, scratch: Path, force: bool = False) -> list[dict]:
+    """`download` of each source in order; the first error ends it."""
+    return [download(s, raw_root, scratch / s.name, force) for s in sources]
+
+
 def pack(folder: Path, archive: Path) -> Path:
     """A tar.gz of a folder, entries in order of their names."""
     if not folder.is_dir():

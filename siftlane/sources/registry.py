@@ -6,7 +6,7 @@ import dataclasses
 import re
 import types
 import typing
-from collections.abc import Mapping
+from collections.abc import Iterator, Mapping
 from dataclasses import dataclass, field
 from pathlib import Path
 from typing import Any
@@ -15,6 +15,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 # What the enumerations of a source may say.
 FETCHERS, ANNOTATIONS, BACKGROUNDS, ROLES = ("kaggle", "http", "local"), ("cls", "det"), ("clean", "wild"), (None, "test_only")
+BOX_METHODS = ("dino", "birefnet", "centerbox")
 _SHA256 = re.compile(r"^[0-9a-f]{64}$")
 
 
@@ -103,30 +104,34 @@ def check_classes(classes: tuple[str, ...]) -> None:
         raise ConfigError("classes: rest is the outcome without a class, not a class")
 
 
+def _faults(s: Source, classes: tuple[str, ...]) -> Iterator[str]:
+    """What is wrong with a source, one rule after another."""
+    texts = {"name": s.name, "license": s.license, "attribution": s.attribution, "fetcher.ref": s.fetcher.ref}
+    yield from (f"{key} must not be blank" for key, text in texts.items() if not text.strip())
+    choices = {"fetcher.kind": (s.fetcher.kind, FETCHERS), "annotation_type": (s.annotation_type, ANNOTATIONS), "background": (s.background, BACKGROUNDS), "role": (s.role, ROLES)}
+    yield from (f"{key} must be one of {allowed}" for key, (value, allowed) in choices.items() if value not in allowed)
+    if not _SHA256.match(s.fetcher.sha256 or "0" * 64):
+        yield "fetcher.sha256 must be 64 hexadecimal digits"
+    if not s.mapping:
+        yield "mapping must not be empty"
+    targets: dict[str, set[str]] = {}
+    for label, target in [*s.mapping.items(), *((label, "DROP") for label in s.drops)]:
+        targets.setdefault(label.lower(), set()).add(target)
+    yield from (f"{label} has several targets, {sorted(t)}" for label, t in targets.items() if len(t) > 1)
+    yield from (f"mapping leads to {t}, which is no class" for t in sorted(set().union(*targets.values()) - {*classes, "DROP"}))
+    names = [n.strip().lower() for n in s.class_names or ()]
+    strange = {"no names": s.class_names == (), "blanks": "" in names, "repeats": len(set(names)) < len(names), "names neither mapped nor dropped": not targets.keys() >= set(names)}
+    yield from (f"class_names has {what}" for what, there in strange.items() if there)
+    yield from (f"cap.{target} must be a positive number for a class" for target, most in s.cap.items() if target not in classes or isinstance(most, bool) or most <= 0)
+    steps = s.box_order or ()
+    if len(set(steps)) < len(steps) or not set(steps) <= set(BOX_METHODS):
+        yield f"box_order must name methods of {BOX_METHODS}, each once"
+
+
 def check_source(s: Source, classes: tuple[str, ...]) -> None:
-    at = f"source {s.name}"
-    for value, allowed, name in ((s.fetcher.kind, FETCHERS, "fetcher.kind"), (s.annotation_type, ANNOTATIONS, "annotation_type"), (s.background, BACKGROUNDS, "background"), (s.role, ROLES, "role")):
-        if value not in allowed:
-            raise ConfigError(f"{at}: {name} must be one of {allowed}")
-    if s.fetcher.sha256 is not None and not _SHA256.match(s.fetcher.sha256):
-        raise ConfigError(f"{at}: fetcher.sha256 must be 64 hexadecimal digits")
-    seen: dict[str, str] = {}
-    for label, target in s.mapping.items():
-        if target != "DROP" and target not in classes:
-            raise ConfigError(f"{at}: mapping.{label} leads to {target}, which is no class")
-        if seen.setdefault(label.lower(), target) != target:
-            raise ConfigError(f"{at}: mapping.{label} has several targets")
-    for label in s.drops:
-        if seen.get(label.lower(), "DROP") != "DROP":
-            raise ConfigError(f"{at}: {label} is both mapped and dropped")
-    known = set(seen) | {d.lower() for d in s.drops}
-    if s.class_names is not None:
-        lower = [n.lower() for n in s.class_names]
-        if len(set(lower)) != len(lower) or not set(lower) <= known:
-            raise ConfigError(f"{at}: class_names must be unique and all mapped or dropped")
-    for target, most in s.cap.items():
-        if target not in classes or isinstance(most, bool) or most <= 0:
-            raise ConfigError(f"{at}: cap.{target} must be a positive number for a class")
+    fault = next(_faults(s, classes), None)
+    if fault:
+        raise ConfigError(f"source {s.name}: {fault}")
 
 
 def load_yaml(path: str | Path) -> Any:
@@ -140,6 +145,8 @@ def parse_registry(data: Any, classes: tuple[str, ...]) -> tuple[Source, ...]:
     check_classes(classes)
     if not isinstance(data, Mapping) or set(data) != {"sources"}:
         raise ConfigError("registry: expected exactly the key 'sources'")
+    if not data["sources"]:
+        raise ConfigError("registry: sources must not be empty")
     sources = tuple(build(Source, s, f"sources[{k}]") for k, s in enumerate(data["sources"]))
     names = [s.name for s in sources]
     if len(set(names)) != len(names):

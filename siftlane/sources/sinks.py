@@ -5,13 +5,43 @@ from __future__ import annotations
 import json
 from pathlib import Path
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from siftlane.functions.idents import SPLITS
 from siftlane.operators.checks import require_none
 
 
+def _at(spark: SparkSession, path: str) -> tuple:
+    where = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return where, where.getFileSystem(spark._jsc.hadoopConfiguration())
+
+
+def write_note(spark: SparkSession, path: str, text: str | None) -> None:
+    """A small text file in any file system that Spark reaches; None removes it."""
+    where, system = _at(spark, path)
+    if text is None:
+        system.delete(where, False)
+        return
+    out = system.create(where, True)
+    try:
+        out.write(bytearray(text.encode()))
+    finally:
+        out.close()
+
+
+def read_note(spark: SparkSession, path: str) -> str | None:
+    """A text file that `write_note` has written; None where there is none."""
+    where, system = _at(spark, path)
+    if not system.exists(where):
+        return None
+    stream = system.open(where)
+    try:
+        return spark._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
+    finally:
+        stream.close()
+
+
 def write_stage(df: DataFrame, path: str, order: list[str] | None = None) -> None:
     """A stage's table, replacing the former one; ordered, it is the same bytes for the same rows."""
     (df.orderBy(*order) if order else df).write.mode("overwrite").parquet(path)
@@ -32,8 +62,7 @@ def emit_dataset(split: DataFrame, path: str, classes: tuple[str, ...]) -> dict:
     flat.write.mode("overwrite").partitionBy("split").parquet(path)
     present = {r["split"] for r in split.select("split").distinct().collect()}
     about = {"splits": {s: f"split={s}" for s in SPLITS if s in present}, "names": dict(enumerate(classes))}
-    if "://" not in path:
-        (Path(path) / "_dataset.json").write_text(json.dumps(about, indent=1))
+    write_note(split.sparkSession, f"{path.rstrip('/')}/_dataset.json", json.dumps(about, indent=1))
     return about
 
 

@@ -189,3 +189,11 @@ def test_tiers_and_curves(spark):
     assert rows(evaluate.uneven_curves(curves)) == {("val", "c", 2)}
     got = evaluate.tier_curves(tiers.select("tier").distinct(), spark.createDataFrame([("val",), ("test1",)], "curve string"))
     assert rows(got.where("tier <> 'wild'")) == {("val", "val"), ("test1", "test1"), ("test2_s1", "val"), ("test2_s5", "val")}
+
+
+def test_a_class_without_a_threshold_is_an_error(spark):
+    votes = spark.createDataFrame([("o", 1, 0.9), ("o", 7, 0.8)], "object string, class_id int, score double")
+    tau = spark.createDataFrame([(0, 1, 0.5)], "cell int, class_id int, tau double")
+    with pytest.raises(Exception, match="no threshold for class 7"):
+        consensus.tally(votes, tau).collect()
+    assert consensus.tally(votes.where("class_id = 1"), tau).count() == 1

@@ -46,12 +46,14 @@ def test_threshold_file(tmp_path, spark):
     artifacts.write_thresholds(cell, 0.25, True, tmp_path / "t.yaml", {0: 0.3, 1: 0.5})
     assert artifacts.read_thresholds(tmp_path / "t.yaml")["tau_frame"] == {0: 0.3, 1: 0.5}
     good = "tau_frame: 0.4\nmin_votes: 3\nhigh_water: 0.6\nconf_floor: 0.25\n"
-    for text in (good + "x: 1\n", good.replace("min_votes: 3", "min_votes: 0"), good.replace("0.6", "1.6"), good.replace("conf_floor: 0.25\n", ""), "- 1\n"):
+    for text in (good + "x: 1\n", good.replace("min_votes: 3", "min_votes: 0"), good.replace("0.6", "high"), good.replace("0.4", "{}"), good.replace("0.4", '{"0": 0.4}'), good.replace("conf_floor: 0.25\n", ""), "- 1\n"):
         (tmp_path / "t.yaml").write_text(text)
         with pytest.raises(ConfigError):
             artifacts.read_thresholds(tmp_path / "t.yaml")
     with pytest.raises(ConfigError):
         artifacts.read_thresholds(tmp_path / "none.yaml")
+    (tmp_path / "t.yaml").write_text(good.replace("0.6", "1.6"))
+    assert artifacts.read_thresholds(tmp_path / "t.yaml")["high_water"] == 1.6
     swept = spark.createDataFrame([(1, 0.5, 2, 0.6, 0.0, 0.1), (0, 0.4, 2, 0.6, 0.1, 0.0)], "cell_idx int, tau_mean double, min_votes int, high_water double, wrong_bin_rate double, rest_rate double")
     artifacts.write_sweep(swept, 1, tmp_path / "s.csv")
     assert (tmp_path / "s.csv").read_text().splitlines()[1:] == ["0.4,2,0.6,0.1,0.0,0", "0.5,2,0.6,0.0,0.1,1"]
@@ -111,3 +113,13 @@ def test_scratch_can_be_cleared(spark):
     clear_scratch(spark)
     with pytest.raises(Exception):  # noqa: B017
         kept.count()
+
+
+def test_a_cluster_must_name_a_shared_folder():
+    from types import SimpleNamespace
+
+    from siftlane.session import checkpoint_root
+
+    bare = SimpleNamespace(conf=SimpleNamespace(get=lambda key, default: default), sparkContext=SimpleNamespace(master="spark://host:7077"))
+    with pytest.raises(RuntimeError, match="checkpoint"):
+        checkpoint_root(bare)

@@ -25,7 +25,7 @@ def source(**kw):
     ("change", "names"),
     [
         ({"colour": 1}, "colour"), ({"license": 3}, "license"), ({"fetcher": {"kind": "ftp", "ref": "x"}}, "fetcher.kind"), ({"fetcher": {"kind": "local", "ref": "x", "sha256": "zz"}}, "sha256"),
-        ({"mapping": {"a": "wood"}}, "wood"), ({"mapping": {"A": "plastic", "a": "paper"}}, "several"), ({"drops": ["plastic"]}, "both"), ({"cap": {"paper": 0}}, "cap.paper"), ({"cap": {"paper": True}}, "cap"),
+        ({"mapping": {"a": "wood"}}, "wood"), ({"mapping": {"A": "plastic", "a": "paper"}}, "several"), ({"drops": ["plastic"]}, "several"), ({"mapping": {}}, "empty"), ({"license": " "}, "license"), ({"name": ""}, "name"), ({"box_order": ["dino", "dino"]}, "box_order"), ({"box_order": ["sam"]}, "box_order"), ({"class_names": []}, "class_names"), ({"class_names": ["Plastic", " "]}, "class_names"), ({"cap": {"paper": 0}}, "cap.paper"), ({"cap": {"paper": True}}, "cap"),
         ({"cap": {"wood": 3}}, "cap.wood"), ({"class_names": ["Plastic", "plastic"]}, "class_names"), ({"class_names": ["wood"]}, "class_names"), ({"annotation_type": "seg"}, "annotation_type"), ({"role": "x"}, "role"),
     ],
 )
@@ -170,8 +170,10 @@ def zipped(path, names):
 def test_archives(tmp_path):
     good = zipped(tmp_path / "a.zip", ["p/a.jpg", "q/b.jpg"])
     assert archives.extract(good, tmp_path / "out") == 2 and (tmp_path / "out/p/a.jpg").read_text() == "data"
-    with pytest.raises(archives.FetchError):
-        archives.extract(good, tmp_path / "out")  # nothing is overwritten
+    (tmp_path / "out/p/a.jpg").write_text("mine")
+    (tmp_path / "out/q/b.jpg").unlink()
+    assert archives.extract(good, tmp_path / "out") == 1  # goes on where it stopped, and nothing is overwritten
+    assert (tmp_path / "out/p/a.jpg").read_text() == "mine" and (tmp_path / "out/q/b.jpg").read_text() == "data"
     with pytest.raises(archives.FetchError):
         archives.extract(zipped(tmp_path / "b.zip", ["../evil"]), tmp_path / "out2")
     assert not (tmp_path / "evil").exists()
@@ -201,6 +203,11 @@ def test_download(tmp_path):
     wrong = registry.build(registry.Source, source(name="w", fetcher={"kind": "local", "ref": str(archive), "sha256": "0" * 64}))
     with pytest.raises(archives.FetchError, match="sha256"):
         archives.download(wrong, tmp_path / "raw", tmp_path / "scratch")
+    other = registry.build(registry.Source, source(fetcher={"kind": "local", "ref": str(archive), "sha256": "1" * 64}))
+    with pytest.raises(archives.FetchError, match="move it away"):
+        archives.download(other, tmp_path / "raw", tmp_path / "scratch")
+    forced = archives.download_all([good], tmp_path / "raw", tmp_path / "scratch", force=True)
+    assert [f["sha256"] for f in forced] == [first["sha256"]] and forced[0]["files"] == 1
     for kind, ref in (("local", "gone.zip"), ("kaggle", "a/b")):
         with pytest.raises(archives.FetchError):
             archives.fetch(registry.build(registry.Source, source(fetcher={"kind": kind, "ref": ref})), tmp_path / "scratch")
@@ -219,6 +226,7 @@ def test_sinks(spark, tmp_path):
     sinks.write_by_source(spark.createDataFrame([("a", 1), ("b", 1)], "source string, n int"), str(tmp_path / "by"))
     sinks.write_by_source(spark.createDataFrame([("a", 2)], "source string, n int"), str(tmp_path / "by"))
     assert rows(spark.read.parquet(str(tmp_path / "by")), "source", "n") == {("a", 2), ("b", 1)}
+    assert json.loads(sinks.read_note(spark, str(tmp_path / "set/_dataset.json")))["names"]["0"] == CLASSES[0] and sinks.read_note(spark, str(tmp_path / "none")) is None
     sinks.append_run({"a": 1}, tmp_path / "log")
     sinks.append_run({"a": 2}, tmp_path / "log")
     assert spark.read.json(str(tmp_path / "log")).count() == 2
@@ -251,6 +259,12 @@ def test_stage_runner():
         pipeline.run_stages(stages(set(), []), only="two")
     with pytest.raises(pipeline.StageError):
         pipeline.run_stages(stages(set(), []), only="four")
+    assert pipeline.run_stages(stages({"one", "two", "three"}, []), start="two", force=True) == ["two", "three"]
+    assert pipeline.run_stages(stages({"one", "two"}, []), start="two") == ["three"]
+    with pytest.raises(pipeline.StageError, match="one"):
+        pipeline.run_stages(stages({"two"}, []), start="two")
+    with pytest.raises(pipeline.StageError, match="repeat"):
+        pipeline.run_stages([*stages(set(), []), *stages(set(), [])])
 
     def halt():
         raise pipeline.Halt("review")
