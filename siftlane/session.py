@@ -33,7 +33,7 @@ def checkpoint_root(spark: SparkSession) -> str:
     must be set: tables in a folder of one machine can't be read by the others."""
     root = spark.conf.get("spark.checkpoint.dir", None) or getattr(spark, "_siftlane_root", None)
     if not root:
-        if not spark.sparkContext.master.startswith("local["):
+        if spark.sparkContext.master != "local" and not spark.sparkContext.master.startswith("local["):
             raise RuntimeError("spark.checkpoint.dir must name a folder that all machines share")
         root = "file://" + tempfile.mkdtemp(prefix="siftlane-")
         spark._siftlane_root = root
