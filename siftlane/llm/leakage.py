@@ -25,6 +25,7 @@ import re
 import unicodedata
 import zlib
 from collections.abc import Iterator, Sequence
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -51,6 +52,7 @@ BITS_PER_HASH, LEAST_BITS, MOST_BITS = 16, 1 << 16, 1 << 28
 _INLINE = re.compile(r"</?(?:a|abbr|b|cite|code|em|font|i|mark|q|s|small|span|strong|sub|sup|tt|u)\b(?:[^<>]{0,200}|[^<>=]{0,80}=\s*[\"'][^<>]*)>", re.I)
 _TAG = re.compile(r"<[/a-zA-Z!](?:[^<>]{0,200}|[^<>=]{0,80}=\s*[\"'][^<>]*)>")
 _BREAK = re.compile("[-‐­][ \\t]*\\r?\\n[ \\t>|*#]*")
+_ODD = re.compile(r"[^\x00-\x7e]{1,64}")
 _NO_WORD = re.compile(r"(?:[^\w\s]|_)+")
 #: Letters of scripts without spaces between words: Thai to Burmese, Khmer, kana, Han.
 _UNSPACED = re.compile("([฀-໿က-႟ក-៿぀-ヿ㐀-䶿一-鿿豈-﫿\U00020000-\U0003134f])")
@@ -58,6 +60,16 @@ _UNSPACED = re.compile("([฀-໿က-႟ក-៿぀-ヿ㐀-䶿一-鿿豈-﫿\U000
 _LETTERS = str.maketrans({"œ": "oe", "æ": "ae", "ø": "o", "ł": "l", "đ": "d", "ı": "i", "—": " ", "–": " "})
 
 
+@lru_cache(maxsize=1 << 14)
+def _plain_form(chars: str) -> str:
+    whole = unicodedata.normalize("NFKD", chars.translate(_LETTERS))
+    return "".join(c for c in whole if c < "\x7f" or not (unicodedata.combining(c) or unicodedata.category(c) == "Cf"))
+
+
+def _plainer(hit: re.Match) -> str:
+    return _plain_form(hit.group())
+
+
 def plain_words(text: str | None) -> list[str]:
     """The words of a text: no markup, no words broken at line ends, no accents, case, ligatures, invisible or punctuation characters."""
     if not text:
@@ -68,8 +80,8 @@ def plain_words(text: str | None) -> list[str]:
         text = _TAG.sub(" ", _INLINE.sub("", text))
     text = _BREAK.sub("", text)
     if not text.isascii():
-        text = unicodedata.normalize("NFKD", text.translate(_LETTERS))
-        text = "".join(c for c in text if c < "\x7f" or not (unicodedata.combining(c) or unicodedata.category(c) == "Cf"))
+        # Sequence by sequence, of which there are few different ones.
+        text = _ODD.sub(_plainer, text)
         text = _UNSPACED.sub(r" \1 ", text)
     return _NO_WORD.sub("", text).casefold().split()
 
