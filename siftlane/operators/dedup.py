@@ -31,15 +31,17 @@ def plan(n: int, most: int) -> tuple[int, int, int]:
     """(blocks, blocks of a key, bits of each that either side flips) for ``n`` hashes and distances up to ``most`` (11 at the most).
 
     A pair within the distance agrees in at least ``blocks - most`` blocks, which make a key; where that takes too many keys, flips
-    stand for the bits in which blocks of a key differ: two sides that flip one bit each meet at two. Wider keys mean more of them for each hash and fewer
+    stand for the bits in which blocks of a key differ: one side flips up to two bits of a single block, or both sides flip one bit of each of two
+    blocks and meet at two. Wider keys mean more of them for each hash and fewer
     candidates by chance, so they pay for more hashes: the way with the fewest keys and candidates together is taken.
     """
     ways = [(most + 1, 1, 0), (most + 2, 2, 0), (most + 4, 4, 0)] if most <= 2 else [(4, 1, 1), (4, 2, 1)]
 
     def cost(way: tuple[int, int, int]) -> float:
         blocks, parts, flips = way
-        keys = math.comb(blocks, parts) * (1 + (64 // blocks) * flips) ** parts
-        return 2 * keys + n * keys * (1 + (64 // blocks) * flips) ** parts / 2.0 ** (64 * parts // blocks)
+        combos, width = math.comb(blocks, parts), 64 // blocks
+        left, right = (1, 1) if not flips else (1 + width + math.comb(width, 2), 1) if parts == 1 else ((1 + width) ** parts,) * 2
+        return combos * (left + right) + n * combos * left * right / 2.0 ** (width * parts)
 
     return min(ways, key=cost)
 
@@ -70,17 +72,22 @@ def close_pairs(hashes: DataFrame, most: int, way: tuple[int, int, int] | None =
             out.append(F.struct(F.lit(c).alias("combo"), value.alias("v")))
         return F.array(*out)
 
-    def side(name: str) -> DataFrame:
+    width = cuts[0][1]
+    ones = [0, *[1 << b for b in range(width)]]
+
+    def side(name: str, masks: list[int] | None, mark: str) -> DataFrame:
         listed = hashes.select(F.col("h").alias(name), F.explode(keys(F.col("h"))).alias("x")).select(name, "x.combo", "x.v")
-        if not flips:
+        if masks is None:
             return listed
-        masks = [0]
-        width = cuts[0][1]
-        for _ in range(parts):
-            masks = [(m << width) | f for m in masks for f in (0, *[1 << b for b in range(width)])]
-        return listed.withColumn("m", F.explode(F.array(*[F.lit(m).cast("bigint") for m in masks]))).withColumn("v", F.col("v").bitwiseXOR(F.col("m")))
-
-    found = side("a").join(side("b").withColumnRenamed("m", "m2") if flips else side("b"), ["combo", "v"]).where("a < b")
+        return listed.withColumn(mark, F.explode(F.array(*[F.lit(m).cast("bigint") for m in masks]))).withColumn("v", F.col("v").bitwiseXOR(F.col(mark)))
+
+    if not flips:
+        left = right = None
+    elif parts == 1:
+        left, right = sorted({x | y for x in ones for y in ones}), None
+    else:
+        left = right = [(x << width) | y for x in ones for y in ones]
+    found = side("a", left, "m").join(side("b", right, "m2"), ["combo", "v"]).where("a < b")
     found = found.withColumn("distance", distance(F.col("a"), F.col("b"))).where(F.col("distance") <= most)
     differs = F.col("a").bitwiseXOR(F.col("b"))
     first = F.lit(None).cast("int")
@@ -90,12 +97,11 @@ def close_pairs(hashes: DataFrame, most: int, way: tuple[int, int, int] | None =
             fits = fits & (F.bit_count(bits(differs, k)) <= 2 * flips)
         first = F.when(fits, F.lit(c)).otherwise(first)
     found = found.where(F.col("combo") == first)
-    if flips:
+    if right is not None:
         # Of the ways to share the differing bits out to the two sides, the one in which the left side flips the highest bit of each block (and
         # neither side one that doesn't differ).
         both = F.col("m").bitwiseXOR(F.col("m2"))
         clean = F.bit_count("m") + F.bit_count("m2") == F.bit_count(both)
-        width = cuts[0][1]
         for p in range(parts):
             piece = lambda c, p=p: F.shiftrightunsigned(c, p * width).bitwiseAND((1 << width) - 1)
             clean = clean & (piece(F.col("m")) >= piece(F.col("m2")))
