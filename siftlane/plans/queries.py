@@ -682,10 +682,9 @@ def dd2_dedup(spark: SparkSession, d: str) -> DataFrame:
     return dedup.greedy_dedup(spark, _hashed(spark, d))
 
 
-def _near(spark: SparkSession, d: str) -> tuple[DataFrame, DataFrame]:
+def _kept(spark: SparkSession, d: str) -> DataFrame:
     hashed = _hashed(spark, d)
-    kept = dedup.greedy_dedup(spark, hashed).where("kept").select("key")
-    return hashed, Scratch(spark, "near").keep(dedup.near_edges(hashed.join(kept, "key", "left_semi")), "edges")
+    return hashed.join(dedup.greedy_dedup(spark, hashed).where("kept").select("key"), "key", "left_semi")
 
 
 _NEAR = "ne AS (SELECT a.key AS key_a, b.key AS key_b, bit_count(xor(a.h, b.h))::INT AS distance, a.source AS sa, b.source AS sb FROM ranked a JOIN ranked b ON a.rn < b.rn AND bit_count(xor(a.h, b.h)) BETWEEN 3 AND 8 WHERE a.key IN (SELECT key FROM dd WHERE kept) AND b.key IN (SELECT key FROM dd WHERE kept))"
@@ -693,13 +692,12 @@ _NEAR = "ne AS (SELECT a.key AS key_a, b.key AS key_b, bit_count(xor(a.h, b.h)):
 
 @query(f"WITH RECURSIVE {_GREEDY}, {_NEAR} SELECT key_a, key_b, distance FROM ne")
 def dd3_near_edges(spark: SparkSession, d: str) -> DataFrame:
-    return _near(spark, d)[1]
+    return Scratch(spark, "near").keep(dedup.near_edges(_kept(spark, d)), "edges")
 
 
 @query(f"WITH RECURSIVE {_GREEDY}, {_NEAR} SELECT sa AS left_source, sb AS right_source, count(*) AS n FROM ne GROUP BY 1, 2")
 def dd4_near_matrix(spark: SparkSession, d: str) -> DataFrame:
-    hashed, edges = _near(spark, d)
-    return dedup.source_matrix(edges, hashed.select("key", "source"), "key_a", "key_b")
+    return dedup.near_matrix(_kept(spark, d))
 
 
 @query(
