@@ -179,6 +179,34 @@ def _distances(a: np.ndarray, b: np.ndarray, off: int) -> Iterator[tuple[int, np
         yield s, count[:k]
 
 
+def _listed(least: int, most: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """Work on tiles with ``prio, key, h``: ``key_a, key_b, distance`` of pairs from ``least`` (1 at least) to ``most`` apart, key_a first by (prio, key)."""
+
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for same, x, y in _both(batches):
+            a, b = _hashes(x), _hashes(y)
+            keys = pa.concat_arrays([x.field("key"), y.field("key")])
+            prios = pa.concat_arrays([x.field("prio"), y.field("prio")])
+            order = pc.sort_indices(pa.table({"p": prios, "k": keys}), sort_keys=[("p", "ascending"), ("k", "ascending")], null_placement="at_start").to_numpy()
+            place = np.empty(len(order), np.int64)
+            place[order] = np.arange(len(order))
+            for s, d in _distances(a, b, least):
+                flat = d.ravel()
+                at = np.flatnonzero(flat <= most - least)
+                i, j = np.divmod(at, len(b))
+                i += s
+                if same:
+                    upper = i < j
+                    at, i, j = at[upper], i[upper], j[upper]
+                j += len(a)
+                swap = place[i] > place[j]
+                first, second = np.where(swap, j, i), np.where(swap, i, j)
+                if len(at):
+                    yield pa.RecordBatch.from_arrays([keys.take(pa.array(first)), keys.take(pa.array(second)), pa.array(flat[at].astype(np.int32) + least)], ["key_a", "key_b", "distance"])
+
+    return work
+
+
 def _counted(least: int, most: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
     """Work on tiles with ``prio, h``: ``p, q, n``, how many pairs from ``least`` (1 at least) to ``most`` apart the tile has between two priorities."""
 
@@ -270,6 +298,11 @@ def greedy_dedup(spark: SparkSession, items: DataFrame) -> DataFrame:
 
 def near_edges(kept: DataFrame) -> DataFrame:
     """``key_a, key_b, distance`` for kept items 3 to 8 apart; key_a is the earlier. kept: ``key, prio, h`` with distinct hashes."""
+    kept = Scratch(kept.sparkSession, "near").keep(kept.select("key", "prio", "h").where("h IS NOT NULL"), "kept")
+    n = kept.count()
+    if n <= ALL_PAIRS:
+        key = kept.schema["key"].dataType.simpleString()
+        return _tiles(kept, n, ["key", "prio", "h"], _listed(SAME + 1, NEAR), f"key_a {key}, key_b {key}, distance int")
     pairs = close_pairs(kept.select("h"), NEAR).where(F.col("distance") > SAME)
     a = kept.select(F.col("h").alias("a"), F.struct("prio", "key").alias("pa"))
     b = kept.select(F.col("h").alias("b"), F.struct("prio", "key").alias("pb"))

@@ -692,7 +692,7 @@ _NEAR = "ne AS (SELECT a.key AS key_a, b.key AS key_b, bit_count(xor(a.h, b.h)):
 
 @query(f"WITH RECURSIVE {_GREEDY}, {_NEAR} SELECT key_a, key_b, distance FROM ne")
 def dd3_near_edges(spark: SparkSession, d: str) -> DataFrame:
-    return Scratch(spark, "near").keep(dedup.near_edges(_kept(spark, d)), "edges")
+    return dedup.near_edges(_kept(spark, d))
 
 
 @query(f"WITH RECURSIVE {_GREEDY}, {_NEAR} SELECT sa AS left_source, sb AS right_source, count(*) AS n FROM ne GROUP BY 1, 2")
