@@ -239,6 +239,28 @@ def _counted(least: int, most: int) -> Callable[[Iterator[pa.RecordBatch]], Iter
     return work
 
 
+def _least(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Work on tiles with ``h``: the least distance of two different hashes."""
+    for _, x, y in _both(batches):
+        d = 1 + min(int(d.min()) for _, d in _distances(_hashes(x), _hashes(y), 1))
+        if d <= 64:  # else one hash against itself
+            yield pa.RecordBatch.from_arrays([pa.array([d], pa.int32())], ["distance"])
+
+
+def nearest(hashes: DataFrame, most: int) -> DataFrame:
+    """``nearest``: one row with the least distance of two different hashes, NULL if that is above ``most`` (up to 11). hashes: ``h``, distinct."""
+    least = F.min("distance").cast("int").alias("nearest")
+    # Results are written, since a broadcast of this one row, as in a cross join, would have to end within its timeout, search and all.
+    scratch = Scratch(hashes.sparkSession, "nearest")
+    close = scratch.keep(close_pairs(hashes, min(most, SAME)).agg(least), "close")
+    if most <= SAME or close.first()[0] is not None:
+        return close
+    n = hashes.count()
+    if n > ALL_PAIRS:
+        return scratch.keep(close_pairs(hashes, most).agg(least), "far")
+    return scratch.keep(_tiles(hashes, n, ["h"], _least, "distance int").where(F.col("distance") <= most).agg(least), "far")
+
+
 def greedy_dedup(spark: SparkSession, items: DataFrame) -> DataFrame:
     """``key, kept, duplicate_of, distance``: items in order (``prio``, ``key``); one within ``SAME`` of an item kept before it is dropped as a duplicate
     of the first such.

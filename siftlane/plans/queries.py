@@ -726,8 +726,7 @@ _DISTINCT_HASHES = f"WITH {_HASH}, x AS (SELECT DISTINCT h FROM hash)"
 def px9_separation(spark: SparkSession, d: str) -> DataFrame:
     """How many different hashes there are, and the least distance between two of them where that is at most 8."""
     hashes = Scratch(spark, "separation").keep(_hashed(spark, d).select("h").distinct(), "hashes")
-    pairs = dedup.close_pairs(hashes, dedup.NEAR)
-    return hashes.agg(F.count("*").alias("hashes")).crossJoin(pairs.agg(F.min("distance").cast("int").alias("nearest")))
+    return hashes.agg(F.count("*").alias("hashes")).crossJoin(dedup.nearest(hashes, dedup.NEAR))
 
 
 @query(f"WITH RECURSIVE {EDGES_SQL}, {reach_sql('e')} SELECT key, group_id FROM comp")
